@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,6 +27,13 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def settle_counting(df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
+    """Settle the rows and say for how many of them the condition holds, in the same job."""
+    seen = Observation()
+    settled = settle(df.observe(seen, F.count_if(condition).alias("n")))
+    return settled, seen.get["n"]
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write the rows once and read them back.
 
@@ -35,5 +43,6 @@ def settle(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/panelkit-tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # the folder is new and read only after the job, so files may be moved into place by the tasks
+    df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -45,23 +45,22 @@ def exact_quantiles(
 
     sketches = _sketches(data, columns, cells)
     if before:
-        sketches = _merge_earlier(sketches, group, before)
-    wanted = _brackets(sketches, scope, probs, method, margin)
+        sketches = _merge_earlier(settle(sketches), group, before)
+    wanted = settle(_brackets(sketches, scope, probs, method, margin))
     tallies = _tally(data, columns, wanted, group, before)
     state = _coverage(wanted, tallies, scope)
-    if not state.filter("not covered").isEmpty():
-        missed = state.filter("not covered").select(*scope, "prob")
-        redo = wanted.join(missed, [*scope, "prob"], "left_semi").withColumns(
-            {"low": F.lit(float("-inf")), "high": F.lit(float("inf"))}
-        )
-        redo = settle(redo)
-        found = state.filter("covered").select(*scope, "prob")
-        tallies = tallies.join(found, [*scope, "prob"], "left_semi").unionByName(
-            _tally(data, columns, redo, group, before)
-        )
-        tallies = settle(tallies)
+    missed, biggest = state.agg(F.count_if(~F.col("covered")), F.coalesce(F.max("distinct"), F.lit(0))).first()
+    if missed:
+        state = settle(state)
+        lost, found = state.filter("not covered"), state.filter("covered")
+        keys = [*scope, "prob"]
+        everything = {"low": F.lit(float("-inf")), "high": F.lit(float("inf"))}
+        redo = settle(wanted.join(lost.select(*keys), keys, "left_semi").withColumns(everything))
+        again = _tally(data, columns, redo, group, before)
+        tallies = settle(tallies.join(found.select(*keys), keys, "left_semi").unionByName(again))
         state = _coverage(wanted, tallies, scope)
-    return settle(_pick(state, tallies, scope, tally_limit))
+        biggest = state.agg(F.max("distinct")).first()[0]
+    return _pick(state, tallies, scope, biggest <= tally_limit)
 
 
 def _value(column: str) -> Column:
@@ -80,17 +79,15 @@ def _sketches(data: DataFrame, columns: Sequence[str], cells: list[str]) -> Data
         ]
     )
     entries = F.explode(F.array(*[F.col(f"_{i}") for i in range(len(columns))])).alias("e")
-    return settle(wide.select(*cells, entries).select(*cells, "e.column", "e.n", "e.sketch"))
+    return wide.select(*cells, entries).select(*cells, "e.column", "e.n", "e.sketch")
 
 
 def _merge_earlier(sketches: DataFrame, group: list[str], before: str) -> DataFrame:
     """Sketch of everything strictly before each period; works on the small sketch table only."""
     targets = sketches.select(F.col(before).alias("_target")).distinct()
     earlier = sketches.join(F.broadcast(targets) if _few(targets) else targets, F.col(before) < F.col("_target"))
-    return settle(
-        earlier.groupBy(*group, F.col("_target").alias(before), "column").agg(
-            F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", SKETCH_SIZE).alias("sketch")
-        )
+    return earlier.groupBy(*group, F.col("_target").alias(before), "column").agg(
+        F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", SKETCH_SIZE).alias("sketch")
     )
 
 
@@ -108,19 +105,28 @@ def _brackets(sketches: DataFrame, scope: list[str], probs: Sequence[float], met
         last, share = first, F.lit(0.0)
     else:
         raise ValueError(f"unknown method {method!r}")
-    low, high = F.col("prob") - margin, F.col("prob") + margin
     at = F.kll_sketch_get_quantile_double
-    return settle(
+
+    def bracket(p: float) -> Column:
+        low, high = p - margin, p + margin
+        return F.struct(
+            F.lit(float(p)).alias("prob"),
+            (at("sketch", F.lit(low)) if low > 0 else F.lit(float("-inf"))).alias("low"),
+            (at("sketch", F.lit(high)) if high < 1 else F.lit(float("inf"))).alias("high"),
+        )
+
+    return (
         sketches.filter("n > 0")
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        .select(*scope, "n", F.explode(F.array(*[bracket(p) for p in probs])).alias("b"))
+        .select(*scope, "n", "b.prob", "b.low", "b.high")
         .select(
             *scope,
             "prob",
             first.cast("bigint").alias("first"),
             last.cast("bigint").alias("last"),
             share.alias("share"),
-            F.when(low > 0, at("sketch", F.greatest(low, F.lit(0.0)))).otherwise(F.lit(float("-inf"))).alias("low"),
-            F.when(high < 1, at("sketch", F.least(high, F.lit(1.0)))).otherwise(F.lit(float("inf"))).alias("high"),
+            "low",
+            "high",
         )
     )
 
@@ -152,18 +158,18 @@ def _coverage(wanted: DataFrame, tallies: DataFrame, scope: list[str]) -> DataFr
         F.count("v").alias("distinct"),
     )
     covered = (F.col("below") < F.col("first")) & (F.col("below") + F.col("inside") >= F.col("last"))
-    return settle(
+    return (
         wanted.select(*scope, "prob", "first", "last", "share")
         .join(counted, [*scope, "prob"], "left")
         .withColumn("covered", F.coalesce(covered, F.lit(False)))
     )
 
 
-def _pick(state: DataFrame, tallies: DataFrame, scope: list[str], tally_limit: int) -> DataFrame:
+def _pick(state: DataFrame, tallies: DataFrame, scope: list[str], short: bool) -> DataFrame:
+    """The value at the wanted rank; long tallies are ranked without sorting one in a single task."""
     keys = [*scope, "prob"]
     inside = tallies.filter("v is not null")
-    biggest = state.agg(F.max("distinct")).first()[0] or 0
-    if biggest <= tally_limit:
+    if short:
         upto = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
         summed = inside.withColumn("upto", F.sum("rows").over(upto))
     else:

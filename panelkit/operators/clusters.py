@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.columns import replace_columns
-from panelkit.functions.durable import settle
+from panelkit.functions.durable import settle, settle_counting
 from panelkit.functions.running import running
 
 
@@ -137,7 +138,7 @@ def _linked_cells(core: DataFrame, eps: float) -> DataFrame:
 
     ends = ["a_cx", "a_cy", "b_cx", "b_cy"]
     limit = F.lit(eps * eps)
-    links = None
+    links: list[DataFrame] = []
     level = 0
     while True:
         judged = settle(
@@ -147,21 +148,22 @@ def _linked_cells(core: DataFrame, eps: float) -> DataFrame:
                 (square(gap, "x") + square(gap, "y") > limit).alias("apart"),
             )
         )
-        found = judged.filter("close").select(*ends).distinct()
-        links = found if links is None else settle(links.unionByName(found))
-        open_ = settle(judged.filter("not close and not apart").join(found, ends, "left_anti").drop("close", "apart"))
-        if open_.isEmpty():
-            return links
+        links.append(judged.filter("close").select(*ends))
+        undecided = judged.filter("not close and not apart").join(links[-1], ends, "left_anti").drop("close", "apart")
+        open_, count = settle_counting(undecided, F.lit(True))
+        if not count:
+            return reduce(DataFrame.unionByName, links).distinct()
         before, level = side / SPLIT**level, level + 1
         fine = side / SPLIT**level
         parent = core.select(
-            *cell, "x", "y", _cell("x", before).alias("px") if level > 1 else F.col("cx").alias("px"),
-            _cell("y", before).alias("py") if level > 1 else F.col("cy").alias("py"),
+            *cell, "x", "y", _cell("x", before).alias("px"), _cell("y", before).alias("py"),
             _cell("x", fine).alias("bx"), _cell("y", fine).alias("by"),
         )
-        open_a = open_.select(*[F.col(f"a_{c}").alias(c) for c in cell], F.col("a_bx").alias("px"), F.col("a_by").alias("py"))
-        open_b = open_.select(*[F.col(f"b_{c}").alias(c) for c in cell], F.col("b_bx").alias("px"), F.col("b_by").alias("py"))
-        needed = settle(open_a.unionByName(open_b).distinct())
+        ends_of = [
+            open_.select(*[F.col(f"{k}_{c}").alias(c) for c in cell], F.col(f"{k}_bx").alias("px"), F.col(f"{k}_by").alias("py"))
+            for k in ("a", "b")
+        ]
+        needed = ends_of[0].unionByName(ends_of[1])
         parts = settle(_boxes(parent.join(needed, [*cell, "px", "py"], "left_semi"), [*cell, "px", "py", "bx", "by"]))
         todo = open_.select(
             *ends, F.col("a_bx").alias("a_px"), F.col("a_by").alias("a_py"),
@@ -178,8 +180,9 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     Each round hands a node, and the label it currently has, the smallest label seen
     across an edge, then lets every node take over its label's label.
     """
-    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = settle(nodes.select("node", F.col("node").alias("label")))
+    edges = settle(edges.select("a", "b"))
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = nodes.select("node", F.col("node").alias("label"))
     while True:
         seen = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("other")), "b")
         mine = labels.select(F.col("node").alias("a"), F.col("label").alias("own"))
@@ -188,16 +191,15 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             pairs.select(F.col("own").alias("node"), "other")
         )
         best = offers.groupBy("node").agg(F.min("other").alias("other"))
-        hooked = settle(
-            labels.join(best, "node", "left").select(
-                "node", F.least("label", F.coalesce("other", "label")).alias("label"), F.col("label").alias("old")
-            )
+        hooked = labels.join(best, "node", "left").select(
+            "node", F.least("label", F.coalesce("other", "label")).alias("label"), F.col("label").alias("old")
         )
         parents = hooked.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        jumped = settle(hooked.join(parents, "label").select("node", F.col("up").alias("label"), "old"))
-        if jumped.filter(F.col("label") != F.col("old")).isEmpty():
-            return jumped.select("node", "label")
-        labels = jumped.select("node", "label")
+        jumped = hooked.join(parents, "label").select("node", F.col("up").alias("label"), "old")
+        settled, changed = settle_counting(jumped, F.col("label") != F.col("old"))
+        labels = settled.select("node", "label")
+        if not changed:
+            return labels
 
 
 def density_clusters(

@@ -44,7 +44,7 @@ def undersample_exact(
     if last is None:
         return df.filter((F.col(target) == 1) | ((F.col(target) == 0) & (slice_of(bits) < edge["_slice"])))
     here = F.struct(bits.alias("_bits"), *keys)
-    limit = F.struct(F.lit(last["_bits"]), *[F.lit(last[k]).cast(df.schema[k].dataType) for k in keys])
+    limit = F.struct(F.lit(last["_bits"]).cast("bigint").alias("_bits"), *[F.lit(last[k]).cast(df.schema[k].dataType).alias(k) for k in keys])
     return df.filter((F.col(target) == 1) | ((F.col(target) == 0) & (here <= limit)))
 
 

@@ -148,7 +148,7 @@ core AS (
 
 PART_IMPORTANCES = """
 importances AS (
-  SELECT CASE WHEN l_partkey % 20 = 0 THEN 'canarito_' || lpad(CAST(l_partkey AS VARCHAR), greatest(3, length(CAST(l_partkey AS VARCHAR))), '0')
+  SELECT CASE WHEN l_partkey % 20 = 0 THEN 'canarito_' || lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(3, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0')
               ELSE 'part_' || CAST(l_partkey AS VARCHAR) END AS feature,
          l_linenumber AS seed,
          round(sum(l_extendedprice), 4) AS importance,
@@ -270,7 +270,7 @@ FROM o a LEFT JOIN o b ON b.id = a.id AND b.p = a.p - 1 LEFT JOIN o c ON c.id =
     "trend_window": f"""
 WITH {SUPPLIER_MONTH},
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ym) AS rn FROM supplier_month)
-SELECT id, ym, {SLOPE.format(c="cl", d=6)}, {SLOPE.format(c="mprice", d=2)}, {SLOPE.format(c="mqty", d=4)}
+SELECT id, ym, {SLOPE.format(c="cl", d=6)}, {SLOPE.format(c="mprice", d=3)}, {SLOPE.format(c="mqty", d=4)}
 FROM r WINDOW recent AS (PARTITION BY id ORDER BY ym ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""",
     "trend_window_nulls": f"""
 WITH {USER_DAY},
@@ -302,11 +302,11 @@ SELECT id, ym, cl, mprice, "Visa_mdisc", "Master_mtax", mqty,
             WHEN p < last AND (p1 IS NULL OR p + 1 < p1) THEN 'BAJA+1'
             WHEN p < last - 1 THEN 'CONTINUA' END AS label,
        {_each(MONEY, """lag({q}, 1) OVER w AS "{c}_lag_1", lag({q}, 2) OVER w AS "{c}_lag_2",
-       round({q} - lag({q}, 1) OVER w, 2) + 0.0 AS "{c}_delta_lag_1",
-       round(lag({q}, 1) OVER w - lag({q}, 2) OVER w, 2) + 0.0 AS "{c}_delta_lag_2",
-       CASE WHEN "n_{c}" >= 2 THEN round(regr_slope({q}, rn) OVER recent, 2) + 0.0 END AS "{c}_tend6",
-       CASE WHEN "n_{c}" >= 2 THEN round({q} / nullif("av_{c}", 0), 2) + 0.0 END AS "{c}_ratioavg6",
-       CASE WHEN "n_{c}" >= 2 THEN round({q} / nullif("hi_{c}", 0), 2) + 0.0 END AS "{c}_ratiomax6" """)}
+       round({q} - lag({q}, 1) OVER w, 4) + 0.0 AS "{c}_delta_lag_1",
+       round(lag({q}, 1) OVER w - lag({q}, 2) OVER w, 4) + 0.0 AS "{c}_delta_lag_2",
+       CASE WHEN "n_{c}" >= 2 THEN round(regr_slope({q}, rn) OVER recent, CASE '{c}' WHEN 'mprice' THEN 3 ELSE 5 END) + 0.0 END AS "{c}_tend6",
+       CASE WHEN "n_{c}" >= 2 THEN round({q} / nullif("av_{c}", 0), 8) + 0.0 END AS "{c}_ratioavg6",
+       CASE WHEN "n_{c}" >= 2 THEN round({q} / nullif("hi_{c}", 0), 8) + 0.0 END AS "{c}_ratiomax6" """)}
 FROM r WINDOW w AS (PARTITION BY id ORDER BY ym),
               recent AS (PARTITION BY id ORDER BY ym ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""",
     "history_p95": f"""
@@ -323,7 +323,7 @@ t AS (SELECT *, ym // 100 * 12 + ym % 100 AS p, min(ym // 100 * 12 + ym % 100) O
       FROM supplier_month)
 SELECT id, ym, CAST(ym % 100 AS INTEGER) AS kmes, CAST(p AS INTEGER) AS ordinal,
        round(cl * CASE p - p0 WHEN 1 THEN 5.0::DOUBLE WHEN 2 THEN 2.0 WHEN 3 THEN 1.2 ELSE 1.0 END, 6) + 0.0 AS cl_normalised,
-       round(mprice / nullif(mqty, 0), 6) + 0.0 AS mprice_per_qty
+       round(mprice / nullif(mqty, 0), 9) + 0.0 AS mprice_per_qty
 FROM t""",
     "family_sum": f"""
 WITH {USER_DAY}
@@ -392,7 +392,7 @@ k AS (SELECT *, {_each(MONEY, """
                     future AS (PARTITION BY id ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
 SELECT id, ym, cl, {_each(MONEY, """
        round(CASE WHEN {q} = 0 AND "pa_{c}" IS NOT NULL AND "pb_{c}" IS NOT NULL
-            THEN "va_{c}" + ("vb_{c}" - "va_{c}") * (p - "pa_{c}") / ("pb_{c}" - "pa_{c}") ELSE {q} END, 3) + 0.0 AS {q}""")}
+            THEN "va_{c}" + ("vb_{c}" - "va_{c}") * (p - "pa_{c}") / ("pb_{c}" - "pa_{c}") ELSE {q} END, 5) + 0.0 AS {q}""")}
 FROM k""",
     "median_drift": f"""
 WITH {SUPPLIER_MONTH},
@@ -400,15 +400,15 @@ f AS (SELECT median(mprice) FILTER (ym BETWEEN 199712 AND 199805) / nullif(media
              median(mqty) FILTER (ym BETWEEN 199712 AND 199805) / nullif(median(mqty) FILTER (ym = 199806), 0) AS b
       FROM supplier_month)
 SELECT id, ym, cl,
-       round(CASE WHEN ym = 199806 THEN mprice * coalesce(a, 1) ELSE mprice END, 2) + 0.0 AS mprice,
+       round(CASE WHEN ym = 199806 THEN mprice * coalesce(a, 1) ELSE mprice END, 3) + 0.0 AS mprice,
        "Visa_mdisc", "Master_mtax",
-       round(CASE WHEN ym = 199806 THEN mqty * coalesce(b, 1) ELSE mqty END, 3) + 0.0 AS mqty
+       round(CASE WHEN ym = 199806 THEN mqty * coalesce(b, 1) ELSE mqty END, 4) + 0.0 AS mqty
 FROM supplier_month, f""",
     "median_drift_reference": f"""
 WITH {SUPPLIER_MONTH},
 f AS (SELECT median(mprice) FILTER (ym >= 199797 AND ym < 199803) / nullif(median(mprice) FILTER (ym = 199803), 0) AS a
       FROM supplier_month)
-SELECT id, ym, cl, round(CASE WHEN ym = 199803 THEN mprice * coalesce(a, 1) ELSE mprice END, 2) + 0.0 AS mprice,
+SELECT id, ym, cl, round(CASE WHEN ym = 199803 THEN mprice * coalesce(a, 1) ELSE mprice END, 3) + 0.0 AS mprice,
        "Visa_mdisc", "Master_mtax", mqty
 FROM supplier_month, f""",
     "limit_means": f"""
@@ -419,14 +419,14 @@ FROM supplier_month GROUP BY ym""",
     "scale_by_limit": f"""
 WITH {SUPPLIER_MONTH},
 m AS (SELECT ym, avg(("Visa_mdisc" + "Master_mtax") / 2) AS lim FROM supplier_month GROUP BY ym)
-SELECT id, s.ym, cl, round(mprice * 10000 / nullif(lim, 0), 2) + 0.0 AS mprice, "Visa_mdisc", "Master_mtax",
-       round(mqty * 10000 / nullif(lim, 0), 4) + 0.0 AS mqty
+SELECT id, s.ym, cl, round(mprice * 10000 / nullif(lim, 0), 4) + 0.0 AS mprice, "Visa_mdisc", "Master_mtax",
+       round(mqty * 10000 / nullif(lim, 0), 5) + 0.0 AS mqty
 FROM supplier_month s JOIN m ON m.ym = s.ym""",
     "deflate": f"""
 WITH {SUPPLIER_MONTH}
 SELECT id, ym, cl,
        {_each(MONEY, """CASE WHEN ym < 200101
-            THEN round({q} / (1.0::DOUBLE + 0.005::DOUBLE * (ym // 100 * 12 + ym % 100 - 23941)), 3) + 0.0 END AS {q}""")}
+            THEN round({q} / (1.0::DOUBLE + 0.005::DOUBLE * (ym // 100 * 12 + ym % 100 - 23941)), 6) + 0.0 END AS {q}""")}
 FROM supplier_month""",
     "scale_by_p95": f"""
 WITH {SUPPLIER_MONTH},
@@ -442,8 +442,8 @@ SELECT id, s.period, cevents,
 FROM user_day s JOIN q ON q.period = s.period""",
     "period_moments": f"""
 WITH {SUPPLIER_MONTH}
-SELECT ym, round(avg(mprice), 3) + 0.0 AS mprice_mean, round(avg(cl), 6) + 0.0 AS cl_mean,
-       round(stddev_samp(mprice), 3) + 0.0 AS mprice_std, round(stddev_samp(cl), 6) + 0.0 AS cl_std
+SELECT ym, round(avg(mprice), 7) + 0.0 AS mprice_mean, round(avg(cl), 7) + 0.0 AS cl_mean,
+       round(stddev_samp(mprice), 5) + 0.0 AS mprice_std, round(stddev_samp(cl), 6) + 0.0 AS cl_std
 FROM supplier_month GROUP BY ym""",
     "projection_terms": f"""
 WITH {SUPPLIER_MONTH},

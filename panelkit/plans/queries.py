@@ -112,7 +112,7 @@ def lag_calendar(spark: SparkSession, sf: str) -> DataFrame:
 def trend_window(spark: SparkSession, sf: str) -> DataFrame:
     rows = history.add_history(supplier_month(spark, sf), ["cl", "mprice", "mqty"], slope=True)
     rows = rows.select("id", "ym", "cl_tend6", "mprice_tend6", "mqty_tend6")
-    return _round_all(rows, {"cl_tend6": 6, "mprice_tend6": 2, "mqty_tend6": 4})
+    return _round_all(rows, {"cl_tend6": 6, "mprice_tend6": 3, "mqty_tend6": 4})
 
 
 def trend_window_nulls(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,7 +132,15 @@ def feature_block(spark: SparkSession, sf: str) -> DataFrame:
     """Label, lags, both deltas, slope and ratios of the whole panel on one shuffle."""
     rows = labels.label_attrition(supplier_month(spark, sf))
     rows = history.add_history(rows, MONEY, lags=(1, 2), chained=2, slope=True, ratios=True)
-    return _round_all(rows, {c: 2 for c in rows.columns if "_delta" in c or "_tend" in c or "_ratio" in c})
+    return _round_all(rows, {c: _block_digits(c) for c in rows.columns if "_delta" in c or "_tend" in c or "_ratio" in c})
+
+
+def _block_digits(column: str) -> int:
+    if "_delta" in column:
+        return 4
+    if "_ratio" in column:
+        return 8
+    return 3 if column == "mprice_tend6" else 5
 
 
 def history_p95(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,7 +160,7 @@ def intra_row_features(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("ym") % 100).alias("kmes"),
         month_ordinal("ym").alias("ordinal"),
         rounded(snapshot.tenure_normalised("cl", "tenure"), 6).alias("cl_normalised"),
-        rounded(snapshot.ratio("mprice", "mqty"), 6).alias("mprice_per_qty"),
+        rounded(snapshot.ratio("mprice", "mqty"), 9).alias("mprice_per_qty"),
     )
 
 
@@ -225,17 +233,17 @@ def dead_month_interpolated(spark: SparkSession, sf: str) -> DataFrame:
 
 def time_interpolated(spark: SparkSession, sf: str) -> DataFrame:
     rows = repair.interpolate_zeros(dead_month(supplier_month(spark, sf)), MONEY)
-    return _round_all(rows, dict.fromkeys(MONEY, 3))
+    return _round_all(rows, dict.fromkeys(MONEY, 5))
 
 
 def median_drift(spark: SparkSession, sf: str) -> DataFrame:
     rows = repair.correct_median_drift(supplier_month(spark, sf), ["mprice", "mqty"], 199806)
-    return _round_all(rows, {"mprice": 2, "mqty": 3})
+    return _round_all(rows, {"mprice": 3, "mqty": 4})
 
 
 def median_drift_reference(spark: SparkSession, sf: str) -> DataFrame:
     rows = repair.correct_median_drift(supplier_month(spark, sf), ["mprice"], 199803, mode="reference")
-    return _round_all(rows, {"mprice": 2})
+    return _round_all(rows, {"mprice": 3})
 
 
 def limit_means(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,7 +254,7 @@ def limit_means(spark: SparkSession, sf: str) -> DataFrame:
 def scale_by_limit(spark: SparkSession, sf: str) -> DataFrame:
     panel = supplier_month(spark, sf)
     rows = scale.scale_by_limit(panel, family(panel), ("Visa_mdisc", "Master_mtax"))
-    return _round_all(rows, {"mprice": 2, "mqty": 4})
+    return _round_all(rows, {"mprice": 4, "mqty": 5})
 
 
 def deflate(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,7 +264,7 @@ def deflate(spark: SparkSession, sf: str) -> DataFrame:
         (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("ym")
     ).distinct().filter("ym < 200101")
     index = index.withColumn("index", F.lit(1.0) + F.lit(0.005) * (month_ordinal("ym") - 23941))
-    return _round_all(scale.deflate(panel, MONEY, index), dict.fromkeys(MONEY, 3))
+    return _round_all(scale.deflate(panel, MONEY, index), dict.fromkeys(MONEY, 6))
 
 
 def scale_by_p95(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,7 +280,7 @@ def scale_by_p95_interpolated(spark: SparkSession, sf: str) -> DataFrame:
 
 def period_moments(spark: SparkSession, sf: str) -> DataFrame:
     rows = scale.period_moments(supplier_month(spark, sf), ["mprice", "cl"])
-    return _round_all(rows, {"mprice_mean": 3, "mprice_std": 3, "cl_mean": 6, "cl_std": 6})
+    return _round_all(rows, {"mprice_mean": 7, "mprice_std": 5, "cl_mean": 7, "cl_std": 6})
 
 
 PROJECTION = {"mprice": (-0.5451, -0.6825), "cl": (-0.0264, -0.8541), "mqty": (0.0951, 0.3177), "mprice_lag_1": (0.2962, -0.5178)}
