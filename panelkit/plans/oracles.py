@@ -323,7 +323,7 @@ t AS (SELECT *, ym // 100 * 12 + ym % 100 AS p, min(ym // 100 * 12 + ym % 100) O
       FROM supplier_month)
 SELECT id, ym, CAST(ym % 100 AS INTEGER) AS kmes, CAST(p AS INTEGER) AS ordinal,
        round(cl * CASE p - p0 WHEN 1 THEN 5.0::DOUBLE WHEN 2 THEN 2.0 WHEN 3 THEN 1.2 ELSE 1.0 END, 6) + 0.0 AS cl_normalised,
-       round(mprice / nullif(mqty, 0), 9) + 0.0 AS mprice_per_qty
+       mprice / nullif(mqty, 0) AS mprice_per_qty
 FROM t""",
     "family_sum": f"""
 WITH {USER_DAY}
@@ -426,7 +426,7 @@ FROM supplier_month s JOIN m ON m.ym = s.ym""",
 WITH {SUPPLIER_MONTH}
 SELECT id, ym, cl,
        {_each(MONEY, """CASE WHEN ym < 200101
-            THEN round({q} / (1.0::DOUBLE + 0.005::DOUBLE * (ym // 100 * 12 + ym % 100 - 23941)), 6) + 0.0 END AS {q}""")}
+            THEN {q} / (1.0::DOUBLE + 0.005::DOUBLE * (ym // 100 * 12 + ym % 100 - 23941)) END AS {q}""")}
 FROM supplier_month""",
     "scale_by_p95": f"""
 WITH {SUPPLIER_MONTH},

@@ -160,7 +160,7 @@ def intra_row_features(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("ym") % 100).alias("kmes"),
         month_ordinal("ym").alias("ordinal"),
         rounded(snapshot.tenure_normalised("cl", "tenure"), 6).alias("cl_normalised"),
-        rounded(snapshot.ratio("mprice", "mqty"), 9).alias("mprice_per_qty"),
+        snapshot.ratio("mprice", "mqty").alias("mprice_per_qty"),
     )
 
 
@@ -264,7 +264,7 @@ def deflate(spark: SparkSession, sf: str) -> DataFrame:
         (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("ym")
     ).distinct().filter("ym < 200101")
     index = index.withColumn("index", F.lit(1.0) + F.lit(0.005) * (month_ordinal("ym") - 23941))
-    return _round_all(scale.deflate(panel, MONEY, index), dict.fromkeys(MONEY, 6))
+    return scale.deflate(panel, MONEY, index)
 
 
 def scale_by_p95(spark: SparkSession, sf: str) -> DataFrame:
