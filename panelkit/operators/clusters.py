@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.columns import replace_columns
-from panelkit.functions.durable import settle, settle_counting
+from panelkit.functions.durable import settle
 from panelkit.functions.running import running
 
 
@@ -150,8 +150,8 @@ def _linked_cells(core: DataFrame, eps: float) -> DataFrame:
         )
         links.append(judged.filter("close").select(*ends))
         undecided = judged.filter("not close and not apart").join(links[-1], ends, "left_anti").drop("close", "apart")
-        open_, count = settle_counting(undecided, F.lit(True))
-        if not count:
+        open_ = settle(undecided)
+        if open_.isEmpty():
             return reduce(DataFrame.unionByName, links).distinct()
         before, level = side / SPLIT**level, level + 1
         fine = side / SPLIT**level
@@ -196,9 +196,9 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         )
         parents = hooked.select(F.col("node").alias("label"), F.col("label").alias("up"))
         jumped = hooked.join(parents, "label").select("node", F.col("up").alias("label"), "old")
-        settled, changed = settle_counting(jumped, F.col("label") != F.col("old"))
+        settled = settle(jumped)
         labels = settled.select("node", "label")
-        if not changed:
+        if settled.filter(F.col("label") != F.col("old")).isEmpty():
             return labels
 
 

@@ -57,12 +57,8 @@ def select_by_canaries(
     """
     if importances.filter(F.col("feature").startswith(prefix)).isEmpty():
         return df
-    wanted = selected_features(importances.filter(F.col("feature").isin(*_with(df.columns, importances, prefix))), share, prefix)
+    wanted = selected_features(importances, share, prefix).filter(F.col("feature").isin(*df.columns))
     kept = {r["feature"] for r in wanted.select("feature").collect()}
     narrow = df.select(*[c for c in df.columns if c in kept or c in set(keys)])
     return ordered(narrow, keys, sort_rest=True)
 
-
-def _with(columns: Sequence[str], importances: DataFrame, prefix: str) -> list[str]:
-    canaries = importances.filter(F.col("feature").startswith(prefix)).select("feature").distinct()
-    return [*columns, *[r["feature"] for r in canaries.collect()]]
