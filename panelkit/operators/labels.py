@@ -17,16 +17,20 @@ def label_attrition(
     yyyymm: bool = True,
     horizon: int = 2,
     name: str = "label",
+    last: Column | int | None = None,
 ) -> DataFrame:
     """Label each row by how soon the customer is missing from the panel.
 
     BAJA+j: present for the next j-1 periods and absent in the j-th. CONTINUA: present
-    for the whole horizon. Null where the panel ends too early to tell. The panel's last
-    period is an uncorrelated scalar, so label before filtering periods.
+    for the whole horizon. Null where the panel ends too early to tell: `last` is the
+    ordinal of the panel's last period, looked up in the panel unless given, so label
+    before filtering periods.
     Windows hold one customer's periods, which the (id, period) key keeps short.
     """
     now = ordinal(period, yyyymm)
-    last = df.agg(F.max(now)).scalar()
+    if last is None:
+        last = df.agg(F.max(now)).scalar()
+    last = last if isinstance(last, Column) else F.lit(last)
     history = Window.partitionBy(id).orderBy(period)
     label = F.when(F.lit(False), F.lit(None).cast("string"))
     for j in range(1, horizon + 1):

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,32 +59,33 @@ class TreeParams:
 
 @dataclass
 class Prepared:
-    """How to turn rows into vectors: the features and the training medians."""
+    """How to turn rows into vectors: the features, their training medians, and which of them had gaps."""
 
     features: list[str]
     medians: dict[str, float]
+    gaps: list[str]
 
     @staticmethod
     def fit(train: DataFrame, features: Sequence[str]) -> Prepared:
+        """Approximate medians and gap counts, in one pass. A feature without any value gets 0."""
         names = list(features)
-        doubles = train.select(*[F.col(c).cast("double").alias(c) for c in names])
-        known = doubles.agg(*[F.count(c).alias(c) for c in names]).first().asDict()
-        filled = [c for c in names if known[c]]
-        fitted = Imputer(strategy="median", inputCols=filled, outputCols=[f"_{c}" for c in filled]).fit(doubles)
-        row = fitted.surrogateDF.first().asDict()
-        return Prepared(names, {c: row.get(c, 0.0) for c in names})
+        value = {c: F.col(c).cast("double") for c in names}
+        middle = train.agg(*[F.percentile_approx(value[c], 0.5, 10000).alias(c) for c in names],
+                           *[F.count_if(value[c].isNull()).alias(f"gaps of {c}") for c in names]).first().asDict()
+        medians = {c: 0.0 if middle[c] is None else float(middle[c]) for c in names}
+        return Prepared(names, medians, [c for c in names if middle[f"gaps of {c}"]])
 
     @property
     def entries(self) -> list[str]:
         """What each entry of the vector stands for."""
-        return [*self.features, *[f"{c}_missing" for c in self.features]]
+        return [*self.features, *[f"{c}_missing" for c in self.gaps]]
 
     def vectors(self, df: DataFrame) -> DataFrame:
         """Add the feature vector; the table's own columns stay as they are."""
         value = {c: F.col(c).cast("double") for c in self.features}
         filled = [F.coalesce(value[c], F.lit(self.medians[c])).alias(f"_v_{c}") for c in self.features]
-        flags = [value[c].isNull().cast("double").alias(f"_m_{c}") for c in self.features]
-        inputs = [*[f"_v_{c}" for c in self.features], *[f"_m_{c}" for c in self.features]]
+        flags = [value[c].isNull().cast("double").alias(f"_m_{c}") for c in self.gaps]
+        inputs = [*[f"_v_{c}" for c in self.features], *[f"_m_{c}" for c in self.gaps]]
         wide = df.select("*", *filled, *flags)
         return VectorAssembler(inputCols=inputs, outputCol=VECTOR).transform(wide).select(*df.columns, VECTOR)
 
@@ -313,7 +314,9 @@ def tune_by_gain(
         for draw in draws:
             number = draw["trial_number"]
             train = training_rows(df, train_periods, share, seeds[0] + number, target, id, period)
-            decoded = search.decode_trials(spark.createDataFrame([draw]), train.count()).first().asDict()
+            rows, unit = train.count(), spark.createDataFrame([draw])
+            suggested = search.suggest(unit, rows).drop("trial_number").first().asDict()
+            decoded = search.decode_trials(unit, rows).first().asDict()
             if decoded["rejected"]:
                 value = search.REJECTED
             else:
@@ -323,8 +326,7 @@ def tune_by_gain(
                 scored = fit_ensemble(train, features, seeds, params, target).score(valid)
                 curve = gain.gain_curve(scored, "score", target, [id, period], positive=1)
                 value = gain.peak_gain(curve, half_window=half_window).first()["value"]
-            drawn = {k: float(v) for k, v in draw.items() if k != "trial_number"}
             trial_log.append_trial(
-                spark, log, number, drawn, value, seeds=seeds, train_periods=train_periods, valid_periods=valid_periods
+                spark, log, number, suggested, value, seeds=seeds, train_periods=train_periods, valid_periods=valid_periods
             )
     return trial_log.read_trials(spark, log)

@@ -20,31 +20,41 @@ SEARCH_RANGES = {
 REJECTED = -1000000.0
 
 
-def decode_trials(trials: DataFrame, rows: Column | int) -> DataFrame:
-    """Turn unit draws (one column per searched parameter) into parameters, and flag impossible ones.
-
-    A trial is rejected when its leaves could not all reach their minimum size.
-    """
+def suggest(draws: DataFrame, rows: Column | int) -> DataFrame:
+    """Spread unit draws, one column per searched parameter, over the search ranges."""
     n = rows if isinstance(rows, Column) else F.lit(rows)
-    top = {"min_data_exp": F.log2(n / F.lit(2.0))}
 
     def at(name: str) -> Column:
         low, high = SEARCH_RANGES[name]
-        return F.lit(low) + F.col(name) * ((F.lit(high) if high is not None else top[name]) - F.lit(low))
+        top = F.log2(n / F.lit(2.0)) if high is None else F.lit(high)
+        return F.lit(low) + F.col(name) * (top - F.lit(low))
+
+    return draws.select(*[at(c).alias(c) if c in SEARCH_RANGES else F.col(c) for c in draws.columns])
+
+
+def to_params(suggested: DataFrame) -> DataFrame:
+    """Turn suggested values into the learner's parameters; other columns stay."""
 
     def power(name: str) -> Column:
-        return F.pow(F.lit(2.0), at(name))
+        return F.pow(F.lit(2.0), F.col(name))
 
-    others = [c for c in trials.columns if c not in SEARCH_RANGES]
-    decoded = trials.select(
-        *others,
+    return suggested.select(
+        *[c for c in suggested.columns if c not in SEARCH_RANGES],
         F.rint(power("num_iterations_exp")).cast("bigint").alias("num_iterations"),
         power("learning_rate_exp").alias("learning_rate"),
-        at("feature_fraction").alias("feature_fraction"),
+        "feature_fraction",
         F.rint(power("min_data_exp")).cast("bigint").alias("min_data_in_leaf"),
         F.rint(power("num_leaves_exp")).cast("bigint").alias("num_leaves"),
-        n.cast("bigint").alias("rows"),
     )
+
+
+def decode_trials(draws: DataFrame, rows: Column | int) -> DataFrame:
+    """Parameters of unit draws for a number of training rows, impossible ones flagged.
+
+    A trial is rejected when its leaves could not all reach their minimum size.
+    """
+    n = rows if isinstance(rows, Column) else F.lit(rows)
+    decoded = to_params(suggest(draws, n)).withColumn("rows", n.cast("bigint"))
     return decoded.withColumn("rejected", F.col("min_data_in_leaf") * F.col("num_leaves") > F.col("rows"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.columns import ordered
+from panelkit.functions.quantiles import exact_quantiles
 
 
 def mean_importance(importances: DataFrame, seed: str = "seed") -> DataFrame:
@@ -39,7 +40,8 @@ def selected_features(importances: DataFrame, share: float = 0.05, prefix: str =
     Without canaries every feature is kept.
     """
     canary = F.col("feature").startswith(prefix)
-    threshold = importances.filter(canary).agg(F.percentile("importance", 1 - share)).scalar()
+    marks = exact_quantiles(importances.filter(canary), ["importance"], [1 - share])
+    threshold = marks.select("value").scalar()
     return importances.filter(~canary & F.coalesce(F.col("importance") > threshold, F.lit(True)))
 
 

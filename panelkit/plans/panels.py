@@ -22,6 +22,15 @@ def _sum(value: Column) -> Column:
     return F.round(F.sum(value), MONEY_DIGITS)
 
 
+def _day(column: str) -> Column:
+    return F.datediff(F.to_date(column), F.lit("2023-12-31").cast("date"))
+
+
+def last_day(spark: SparkSession, sf_dir: str) -> Column:
+    """Last day of the user panel, straight from the events."""
+    return table(spark, sf_dir, "events").agg(F.max(_day("ts"))).scalar()
+
+
 def user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per user and day; the period is a plain day number."""
     kinds = {"mpurchase": "purchase", "Visa_mclick": "click", "Master_mview": "view"}
@@ -29,7 +38,7 @@ def user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .groupBy(
             F.col("user_id").alias("id"),
-            F.datediff(F.to_date("ts"), F.lit("2023-12-31").cast("date")).alias("period"),
+            _day("ts").alias("period"),
         )
         .agg(
             F.count(F.lit(1)).alias("cevents"),

@@ -16,8 +16,9 @@ from panelkit.operators import (
     clusters, gain, history, labels, models, repair, sampling, scale, search, selection, snapshot,
 )
 from panelkit.plans.panels import (
-    customer_month, customer_points, dead_month, hash_scores, supplier_month, table, user_day,
+    customer_month, customer_points, dead_month, hash_scores, last_day, supplier_month, table, user_day,
 )
+from panelkit.plans import study
 from panelkit.sources import panel as panel_files
 from panelkit.sources import reports, trials
 
@@ -38,13 +39,26 @@ def _round_all(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf: str, horizon: int = 2) -> DataFrame:
-    return labels.label_attrition(user_day(spark, sf), period="period", yyyymm=False, horizon=horizon)
+    return labels.label_attrition(
+        user_day(spark, sf), period="period", yyyymm=False, horizon=horizon, last=last_day(spark, sf)
+    )
 
 
 def _with_target(spark: SparkSession, sf: str) -> DataFrame:
     return _labelled(spark, sf).select("*", labels.binary_target().alias("target"))
 
 
+# panels that a query reads more than once are landed first, as a panel would be
+
+
+def _suppliers(spark: SparkSession, sf: str) -> DataFrame:
+    return settle(supplier_month(spark, sf))
+
+
+def _broken_suppliers(spark: SparkSession, sf: str) -> DataFrame:
+    return dead_month(_suppliers(spark, sf))
+
+
 # labels and targets
 
 
@@ -194,7 +208,7 @@ def canary_first_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def undersample_exact(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.undersample_exact(_with_target(spark, sf), 0.1, 102191, KEY).select(*KEY, "target")
+    return sampling.undersample_exact(settle(_with_target(spark, sf)), 0.1, 102191, KEY).select(*KEY, "target")
 
 
 def undersample_bernoulli(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,14 +216,14 @@ def undersample_bernoulli(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def class_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.class_weights(_labelled(spark, sf)).select(*KEY, "label", "weight")
+    return sampling.class_weights(settle(_labelled(spark, sf))).select(*KEY, "label", "weight")
 
 
 # repair and scaling
 
 
 def dead_flags(spark: SparkSession, sf: str) -> DataFrame:
-    panel = dead_month(supplier_month(spark, sf))
+    panel = _broken_suppliers(spark, sf)
     both = repair.dead_flags(panel, MONEY).join(
         repair.dead_flags(panel, MONEY, rule="zero_sum").toDF("ym", *[f"zero_{c}" for c in MONEY]), "ym"
     )
@@ -217,17 +231,17 @@ def dead_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dead_all_zero(spark: SparkSession, sf: str) -> DataFrame:
-    panel = dead_month(supplier_month(spark, sf))
+    panel = _broken_suppliers(spark, sf)
     return repair.blank_dead_columns(panel, numeric(panel, exclude=["id", "ym"]))
 
 
 def dead_zero_sum(spark: SparkSession, sf: str) -> DataFrame:
-    panel = dead_month(supplier_month(spark, sf))
+    panel = _broken_suppliers(spark, sf)
     return repair.blank_dead_columns(panel, MONEY, rule="zero_sum")
 
 
 def dead_month_interpolated(spark: SparkSession, sf: str) -> DataFrame:
-    rows = repair.interpolate_dead_periods(dead_month(supplier_month(spark, sf)), MONEY)
+    rows = repair.interpolate_dead_periods(_broken_suppliers(spark, sf), MONEY)
     return _round_all(rows, dict.fromkeys(MONEY, 5))
 
 
@@ -237,12 +251,12 @@ def time_interpolated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def median_drift(spark: SparkSession, sf: str) -> DataFrame:
-    rows = repair.correct_median_drift(supplier_month(spark, sf), ["mprice", "mqty"], 199806)
+    rows = repair.correct_median_drift(_suppliers(spark, sf), ["mprice", "mqty"], 199806)
     return _round_all(rows, {"mprice": 3, "mqty": 4})
 
 
 def median_drift_reference(spark: SparkSession, sf: str) -> DataFrame:
-    rows = repair.correct_median_drift(supplier_month(spark, sf), ["mprice"], 199803, mode="reference")
+    rows = repair.correct_median_drift(_suppliers(spark, sf), ["mprice"], 199803, mode="reference")
     return _round_all(rows, {"mprice": 3})
 
 
@@ -252,28 +266,26 @@ def limit_means(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scale_by_limit(spark: SparkSession, sf: str) -> DataFrame:
-    panel = supplier_month(spark, sf)
+    panel = _suppliers(spark, sf)
     rows = scale.scale_by_limit(panel, family(panel), ("Visa_mdisc", "Master_mtax"))
     return _round_all(rows, {"mprice": 4, "mqty": 5})
 
 
 def deflate(spark: SparkSession, sf: str) -> DataFrame:
-    panel = supplier_month(spark, sf)
+    panel = _suppliers(spark, sf)
     # an index growing by half a percent a month, unknown from 2001 on
-    index = table(spark, sf, "lineitem").select(
-        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("ym")
-    ).distinct().filter("ym < 200101")
-    index = index.withColumn("index", F.lit(1.0) + F.lit(0.005) * (month_ordinal("ym") - 23941))
+    months = panel.select("ym").distinct().filter("ym < 200101")
+    index = months.withColumn("index", F.lit(1.0) + F.lit(0.005) * (month_ordinal("ym") - 23941))
     return scale.deflate(panel, MONEY, index)
 
 
 def scale_by_p95(spark: SparkSession, sf: str) -> DataFrame:
-    panel = supplier_month(spark, sf)
+    panel = _suppliers(spark, sf)
     return _round_all(scale.scale_by_p95(panel, family(panel)), dict.fromkeys(MONEY, 6))
 
 
 def scale_by_p95_interpolated(spark: SparkSession, sf: str) -> DataFrame:
-    panel = user_day(spark, sf)
+    panel = settle(user_day(spark, sf))
     rows = scale.scale_by_p95(panel, family(panel), "period", "cont")
     return _round_all(rows, dict.fromkeys(family(panel), 6))
 
@@ -287,19 +299,19 @@ PROJECTION = {"mprice": (-0.5451, -0.6825), "cl": (-0.0264, -0.8541), "mqty": (0
 
 
 def projection_terms(spark: SparkSession, sf: str) -> DataFrame:
-    rows = history.add_history(supplier_month(spark, sf), ["mprice"], lags=(1,))
+    rows = history.add_history(_suppliers(spark, sf), ["mprice"], lags=(1,))
     rows = scale.projection_terms(rows, PROJECTION)
     return _round_all(rows.select("id", "ym", "ppr_term_1", "ppr_term_2"), {"ppr_term_1": 6, "ppr_term_2": 6})
 
 
 def class_quantile_global(spark: SparkSession, sf: str) -> DataFrame:
-    rows = scale.class_distance(_labelled(spark, sf), ["mvalue", "mpurchase"], TRAIN_DAYS, period="period")
+    rows = scale.class_distance(settle(_labelled(spark, sf)), ["mvalue", "mpurchase"], TRAIN_DAYS, period="period")
     made = [c for c in rows.columns if c.startswith("dist_")]
     return _round_all(rows.select(*KEY, *made), dict.fromkeys(made, 5))
 
 
 def class_quantile_rolling(spark: SparkSession, sf: str) -> DataFrame:
-    rows = scale.class_distance_rolling(_labelled(spark, sf), ["mvalue", "mpurchase"], period="period")
+    rows = scale.class_distance_rolling(settle(_labelled(spark, sf)), ["mvalue", "mpurchase"], period="period")
     made = [c for c in rows.columns if c.startswith("dist_")]
     return _round_all(rows.select(*KEY, *made), dict.fromkeys(made, 5))
 
@@ -321,8 +333,12 @@ def part_importances(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _mean_importances(spark: SparkSession, sf: str) -> DataFrame:
+    return settle(selection.mean_importance(settle(part_importances(spark, sf))))
+
+
 def importance_report(spark: SparkSession, sf: str) -> DataFrame:
-    means = settle(selection.mean_importance(part_importances(spark, sf)))
+    means = _mean_importances(spark, sf)
     return _round_all(selection.extremes(means), {"importance": 4})
 
 
@@ -332,7 +348,7 @@ def importance_detail(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def canary_selection(spark: SparkSession, sf: str) -> DataFrame:
-    means = settle(selection.mean_importance(part_importances(spark, sf)))
+    means = _mean_importances(spark, sf)
     return _round_all(selection.selected_features(means, 0.95), {"importance": 4})
 
 
@@ -340,7 +356,7 @@ def canary_selection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    return hash_scores(_labelled(spark, sf))
+    return hash_scores(settle(_labelled(spark, sf)))
 
 
 def _curve(spark: SparkSession, sf: str) -> DataFrame:
@@ -375,8 +391,9 @@ def gain_smoothed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def update_join_gain(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = gain.mark_first(_scored(spark, sf), 500, keys=KEY, group=["replicate"])
-    return gain.campaign_gain(_labelled(spark, sf), flagged, KEY, group=["replicate"])
+    truth = settle(_labelled(spark, sf))
+    flagged = gain.mark_first(hash_scores(truth), 500, keys=KEY, group=["replicate"])
+    return gain.campaign_gain(truth, flagged, KEY, group=["replicate"])
 
 
 def ensemble_mean(spark: SparkSession, sf: str) -> DataFrame:
@@ -542,7 +559,7 @@ def predictions_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def importances_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    means = selection.mean_importance(part_importances(spark, sf))
+    means = _mean_importances(spark, sf)
     path = _scratch(spark, "importances")
     reports.write_importances(_round_all(means, {"importance": 4}), path)
     return reports.read_importances(spark, path)
@@ -618,6 +635,35 @@ def tuned_gain(spark: SparkSession, sf: str) -> DataFrame:
     return search.top_trials(log).select("trial_number", "value", "state")
 
 
+# whole studies
+
+
+def _setup(**changes: object) -> study.Setup:
+    usual = dict(
+        train=TRAIN_DAYS, valid=[23], test=[25, 26], future=[29], seeds=SEEDS[:2], share=0.5, period="period",
+        yyyymm=False, drop=["not_there"], params=FAST, half_window=50,
+    )
+    return study.Setup(**{**usual, **changes})
+
+
+def fixed_study(spark: SparkSession, sf: str) -> DataFrame:
+    return study.fixed_study(settle(user_day(spark, sf)), _setup())
+
+
+def replicate_study(spark: SparkSession, sf: str) -> DataFrame:
+    matrix, _, _ = study.replicate_study(settle(user_day(spark, sf)), _setup(), 2, [10, 50, 100])
+    return matrix
+
+
+def search_study(spark: SparkSession, sf: str) -> DataFrame:
+    quick = models.TreeParams(iterations=2, leaves=32, rows_per_leaf=1)
+    curve, _ = study.search_study(
+        settle(user_day(spark, sf)), _setup(seeds=SEEDS[:1]), _scratch(spark, "study"), 2, quick,
+        {"mvalue": (0.3, -0.5), "cevents_lag_1": (0.6, 0.1)}, leaf_trees=3, max_iterations=3,
+    )
+    return curve
+
+
 REGISTERED: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -639,5 +685,6 @@ REGISTERED: dict[str, Query] = {
         panel_roundtrip, predictions_roundtrip, importances_roundtrip, curve_report, submission_roundtrip,
         leaf_features, overfit_importance, seed_ensemble, rolling_oof, tuned_gain,
         pca_project, density_clusters, projected_clusters,
+        fixed_study, replicate_study, search_study,
     )
 }

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelkit.functions.running import running
@@ -19,6 +20,33 @@ def _check(spark, rows, group):
     assert got == want
 
 
+@pytest.fixture(autouse=True, params=["one range", "many ranges", "coalesced ranges"])
+def ranges(spark, request):
+    """Small data would all land in one range; keep the shuffle's partitions apart as well."""
+    settings = {
+        "one range": {},
+        "many ranges": {"spark.sql.adaptive.coalescePartitions.enabled": "false"},
+        "coalesced ranges": {
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4000",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1000",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        },
+    }[request.param]
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_several_ranges_are_used(spark, ranges):
+    df = spark.range(5000).select(F.col("id"), F.lit(1).alias("score"))
+    placed = df.repartitionByRange("score", "id").select(F.spark_partition_id().alias("p")).groupBy("p").count()
+    n = placed.count()
+    assert n == 1 if ranges == "one range" else n > 1
+
+
 def test_groups(spark):
     rng = random.Random(1)
     _check(spark, [(g, i, rng.random(), rng.randint(-2, 78)) for g in range(4) for i in range(300)], ["g"])
