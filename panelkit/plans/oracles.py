@@ -377,7 +377,7 @@ WITH {DEAD},
 f AS (SELECT *, lag(ym) OVER (ORDER BY ym) AS prev, lead(ym) OVER (ORDER BY ym) AS next
       FROM (SELECT ym, {_each(MONEY, 'max(CASE WHEN {q} <> 0 THEN 1 END) IS NULL AS "d_{c}"')} FROM panel GROUP BY ym))
 SELECT t.id, t.ym, t.cl,
-       {_each(MONEY, 'CASE WHEN f."d_{c}" AND prev IS NOT NULL AND next IS NOT NULL THEN round((a.{q} + b.{q}) / 2, 5) ELSE round(t.{q}, 5) END + 0.0 AS {q}')}
+       {_each(MONEY, 'CASE WHEN f."d_{c}" AND prev IS NOT NULL AND next IS NOT NULL THEN (a.{q} + b.{q}) / 2 ELSE t.{q} END AS {q}')}
 FROM panel t JOIN f ON f.ym = t.ym
 LEFT JOIN panel a ON a.id = t.id AND a.ym = f.prev LEFT JOIN panel b ON b.id = t.id AND b.ym = f.next""",
     "time_interpolated": f"""
@@ -391,8 +391,8 @@ k AS (SELECT *, {_each(MONEY, """
       FROM o WINDOW past AS (PARTITION BY id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
                     future AS (PARTITION BY id ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
 SELECT id, ym, cl, {_each(MONEY, """
-       round(CASE WHEN {q} = 0 AND "pa_{c}" IS NOT NULL AND "pb_{c}" IS NOT NULL
-            THEN "va_{c}" + ("vb_{c}" - "va_{c}") * (p - "pa_{c}") / ("pb_{c}" - "pa_{c}") ELSE {q} END, 5) + 0.0 AS {q}""")}
+       CASE WHEN {q} = 0 AND "pa_{c}" IS NOT NULL AND "pb_{c}" IS NOT NULL
+            THEN "va_{c}" + ("vb_{c}" - "va_{c}") * (p - "pa_{c}") / ("pb_{c}" - "pa_{c}") ELSE {q} END AS {q}""")}
 FROM k""",
     "median_drift": f"""
 WITH {SUPPLIER_MONTH},
@@ -413,8 +413,8 @@ SELECT id, ym, cl, round(CASE WHEN ym = 199803 THEN mprice * coalesce(a, 1) ELSE
 FROM supplier_month, f""",
     "limit_means": f"""
 WITH {SUPPLIER_MONTH}
-SELECT ym, round(avg("Visa_mdisc"), 4) + 0.0 AS mean_a, round(avg("Master_mtax"), 4) + 0.0 AS mean_b,
-       round(avg(("Visa_mdisc" + "Master_mtax") / 2), 4) + 0.0 AS mean_both
+SELECT ym, round(avg("Visa_mdisc"), 7) + 0.0 AS mean_a, round(avg("Master_mtax"), 7) + 0.0 AS mean_b,
+       round(avg(("Visa_mdisc" + "Master_mtax") / 2), 7) + 0.0 AS mean_both
 FROM supplier_month GROUP BY ym""",
     "scale_by_limit": f"""
 WITH {SUPPLIER_MONTH},
@@ -471,7 +471,7 @@ SELECT feature, round(importance, 4) + 0.0 AS importance, 'top' AS part FROM r W
 UNION ALL SELECT feature, round(importance, 4) + 0.0, 'bottom' FROM r WHERE b <= 10""",
     "importance_detail": f"""
 WITH {PART_IMPORTANCES}
-SELECT feature, round(avg(importance), 3) + 0.0 AS importance, round(avg(cover), 4) + 0.0 AS cover,
+SELECT feature, round(avg(importance), 6) + 0.0 AS importance, round(avg(cover), 6) + 0.0 AS cover,
        round(avg(frequency), 6) + 0.0 AS frequency, count(*) AS models
 FROM importances GROUP BY feature""",
     "canary_selection": f"""

@@ -31,6 +31,11 @@ def last_day(spark: SparkSession, sf_dir: str) -> Column:
     return table(spark, sf_dir, "events").agg(F.max(_day("ts"))).scalar()
 
 
+def last_month(spark: SparkSession, sf_dir: str, name: str, column: str) -> Column:
+    """Ordinal of the last month of a table, straight from its rows."""
+    return table(spark, sf_dir, name).agg(F.max(F.year(column) * 12 + F.month(column))).scalar()
+
+
 def user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per user and day; the period is a plain day number."""
     kinds = {"mpurchase": "purchase", "Visa_mclick": "click", "Master_mview": "view"}

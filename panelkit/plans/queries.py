@@ -16,7 +16,7 @@ from panelkit.operators import (
     clusters, gain, history, labels, models, repair, sampling, scale, search, selection, snapshot,
 )
 from panelkit.plans.panels import (
-    customer_month, customer_points, dead_month, hash_scores, last_day, supplier_month, table, user_day,
+    customer_month, customer_points, dead_month, hash_scores, last_day, last_month, supplier_month, table, user_day,
 )
 from panelkit.plans import study
 from panelkit.sources import panel as panel_files
@@ -67,11 +67,13 @@ def label_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def label_counts_suppliers(spark: SparkSession, sf: str) -> DataFrame:
-    return labels.class_counts(labels.label_attrition(supplier_month(spark, sf)), ["ym"])
+    last = last_month(spark, sf, "lineitem", "l_shipdate")
+    return labels.class_counts(labels.label_attrition(supplier_month(spark, sf), last=last), ["ym"])
 
 
 def label_counts_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return labels.class_counts(labels.label_attrition(customer_month(spark, sf)), ["ym"])
+    last = last_month(spark, sf, "orders", "o_orderdate")
+    return labels.class_counts(labels.label_attrition(customer_month(spark, sf), last=last), ["ym"])
 
 
 def label_pivot(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,7 +146,8 @@ def window_ratios(spark: SparkSession, sf: str) -> DataFrame:
 
 def feature_block(spark: SparkSession, sf: str) -> DataFrame:
     """Label, lags, both deltas, slope and ratios of the whole panel on one shuffle."""
-    rows = labels.label_attrition(supplier_month(spark, sf))
+    last = last_month(spark, sf, "lineitem", "l_shipdate")
+    rows = labels.label_attrition(supplier_month(spark, sf), last=last)
     rows = history.add_history(rows, MONEY, lags=(1, 2), chained=2, slope=True, ratios=True)
     return _round_all(rows, {c: _block_digits(c) for c in rows.columns if "_delta" in c or "_tend" in c or "_ratio" in c})
 
@@ -241,13 +244,11 @@ def dead_zero_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dead_month_interpolated(spark: SparkSession, sf: str) -> DataFrame:
-    rows = repair.interpolate_dead_periods(_broken_suppliers(spark, sf), MONEY)
-    return _round_all(rows, dict.fromkeys(MONEY, 5))
+    return repair.interpolate_dead_periods(_broken_suppliers(spark, sf), MONEY)
 
 
 def time_interpolated(spark: SparkSession, sf: str) -> DataFrame:
-    rows = repair.interpolate_zeros(dead_month(supplier_month(spark, sf)), MONEY)
-    return _round_all(rows, dict.fromkeys(MONEY, 5))
+    return repair.interpolate_zeros(dead_month(supplier_month(spark, sf)), MONEY)
 
 
 def median_drift(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,7 +263,7 @@ def median_drift_reference(spark: SparkSession, sf: str) -> DataFrame:
 
 def limit_means(spark: SparkSession, sf: str) -> DataFrame:
     means = scale.limit_means(supplier_month(spark, sf), ("Visa_mdisc", "Master_mtax"))
-    return _round_all(means, {"mean_a": 4, "mean_b": 4, "mean_both": 4})
+    return _round_all(means, {"mean_a": 7, "mean_b": 7, "mean_both": 7})
 
 
 def scale_by_limit(spark: SparkSession, sf: str) -> DataFrame:
@@ -344,7 +345,7 @@ def importance_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def importance_detail(spark: SparkSession, sf: str) -> DataFrame:
     rows = selection.importance_detail(part_importances(spark, sf), ["importance", "cover", "frequency"])
-    return _round_all(rows, {"importance": 3, "cover": 4, "frequency": 6})
+    return _round_all(rows, {"importance": 6, "cover": 6, "frequency": 6})
 
 
 def canary_selection(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,6 +13,8 @@ def local_session(cores: int | str = "*", app: str = "panelkit") -> SparkSession
         .appName(app)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
+        # small tables on one machine: keep a few tasks busy instead of merging into one
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
