@@ -414,7 +414,7 @@ FROM supplier_month, f""",
     "limit_means": f"""
 WITH {SUPPLIER_MONTH}
 SELECT ym, round(avg("Visa_mdisc"), 7) + 0.0 AS mean_a, round(avg("Master_mtax"), 7) + 0.0 AS mean_b,
-       round(avg(("Visa_mdisc" + "Master_mtax") / 2), 7) + 0.0 AS mean_both
+       round(avg(("Visa_mdisc" + "Master_mtax") / 2), 8) + 0.0 AS mean_both
 FROM supplier_month GROUP BY ym""",
     "scale_by_limit": f"""
 WITH {SUPPLIER_MONTH},

@@ -263,7 +263,7 @@ def median_drift_reference(spark: SparkSession, sf: str) -> DataFrame:
 
 def limit_means(spark: SparkSession, sf: str) -> DataFrame:
     means = scale.limit_means(supplier_month(spark, sf), ("Visa_mdisc", "Master_mtax"))
-    return _round_all(means, {"mean_a": 7, "mean_b": 7, "mean_both": 7})
+    return _round_all(means, {"mean_a": 7, "mean_b": 7, "mean_both": 8})
 
 
 def scale_by_limit(spark: SparkSession, sf: str) -> DataFrame:
