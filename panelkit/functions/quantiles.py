@@ -19,6 +19,8 @@ from panelkit.functions.running import running
 
 SKETCH_SIZE = 2048
 MARGIN = 0.01
+# Groups up to this size are tallied whole: the margin spans less than two of their rows.
+SMALL_GROUP = 200
 TALLY_LIMIT = 1_000_000
 
 
@@ -109,10 +111,12 @@ def _brackets(sketches: DataFrame, scope: list[str], probs: Sequence[float], met
 
     def bracket(p: float) -> Column:
         low, high = p - margin, p + margin
+        large = F.col("n") > SMALL_GROUP
+        nothing, everything = F.lit(float("-inf")), F.lit(float("inf"))
         return F.struct(
             F.lit(float(p)).alias("prob"),
-            (at("sketch", F.lit(low)) if low > 0 else F.lit(float("-inf"))).alias("low"),
-            (at("sketch", F.lit(high)) if high < 1 else F.lit(float("inf"))).alias("high"),
+            (F.when(large, at("sketch", F.lit(low))).otherwise(nothing) if low > 0 else nothing).alias("low"),
+            (F.when(large, at("sketch", F.lit(high))).otherwise(everything) if high < 1 else everything).alias("high"),
         )
 
     return (

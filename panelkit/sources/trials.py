@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The record layout of an existing log.
 TRIAL_SCHEMA = """
 trial_number int, params map<string,double>, value double, datetime string, state string,
 configuracion struct<semilla: array<int>, mes_train: array<int>, mes_validacion: array<int>>

@@ -9,7 +9,7 @@ from panelkit.functions.quantiles import exact_quantiles
 PROBS = [0.0, 0.1, 0.5, 0.95, 1.0]
 
 
-def _rows(n=3000, seed=3):
+def _rows(n=9000, seed=3):
     rng = random.Random(seed)
     kinds = [lambda: rng.gauss(0, 1), lambda: float(rng.randint(0, 3)), lambda: rng.paretovariate(0.5), lambda: 7.0]
     return [(i % 3, 1 + i % 5, kinds[i % 4](), None if i % 11 == 0 else rng.random()) for i in range(n)]
