@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import mixing, oracles
+from panelkit.llm import mixing, oracles, quality
 from panelkit.llm.text import table
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document judged by the base rules and by its robust distance in its language and source."""
+    return quality.judge(table(spark, folder, "documents"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to their sources' target weights."""
     return mixing.mix(table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op3_quality": op3_quality,
     "op6_mixing": op6_mixing,
 }
 ORACLES = {
