@@ -1,5 +1,7 @@
 """DuckDB SQL that gives the rows of the registered queries."""
 
+from panelkit.llm import licenses as scans
+
 MIXING = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -57,3 +59,65 @@ SELECT doc_id, source, size, source_size, target,
         + greatest(0, least(lead + size, start + run - total) - lead))::BIGINT AS taken
 FROM spread s JOIN runs r ON r.place = s.place AND r.shard = s.shard
 """
+
+ROLLUPS = r"""
+WITH both_counts AS (
+  SELECT source, lang, coalesce(lang = 'en', false) AS english,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS blanks,
+         len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}]+|[^\x20\x09-\x0D\p{L}\p{N}]')) AS runs
+  FROM documents
+)
+SELECT source, lang, CASE WHEN english THEN 'blanks-1' ELSE 'runs-2' END AS tokenizer,
+       count(*)::BIGINT AS n_docs, sum(CASE WHEN english THEN blanks ELSE runs END)::BIGINT AS n_tokens
+FROM both_counts WHERE blanks >= 50 GROUP BY ALL
+"""
+
+
+def licenses() -> str:
+    """Words and grams as rows, joined on their text; spans are merged and covered as in the scan."""
+    listed = [(2, 1.0, 0, *x) for x in scans.PHRASES] + [(5, scans.COVERAGE, scans.DRIFT, *x) for x in scans.PASSAGES]
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    values = ", ".join(f"({i}, {k}, {need}, {drift}, {quoted(t)}, {quoted(label)})" for i, (k, need, drift, t, label) in enumerate(listed))
+    split = (
+        r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+        r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    )
+    return f"""
+WITH templates AS (
+  SELECT *, {split} AS w FROM (VALUES {values}) AS t(template, k, needed, drift, text, label)
+), template_grams AS (
+  SELECT template, k, needed, drift, label, len(w) - k + 1 AS grams, i AS position, array_to_string(w[i + 1:i + k], ' ') AS gram
+  FROM (SELECT *, unnest(range(0, len(w) - k + 1)) AS i FROM templates)
+), texts AS (
+  SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents
+), split_texts AS (
+  SELECT doc_id, text, {split} AS w FROM texts
+), doc_grams AS (
+  SELECT doc_id, text, 2 AS k, i AS place, w[i + 1] || ' ' || w[i + 2] AS gram
+  FROM (SELECT doc_id, text, w, unnest(range(0, len(w) - 1)) AS i FROM split_texts)
+  UNION ALL
+  SELECT doc_id, text, 5, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] || ' ' || w[i + 5]
+  FROM (SELECT doc_id, text, w, unnest(range(0, len(w) - 4)) AS i FROM split_texts)
+), votes AS (
+  SELECT doc_id, text, template, t.k AS k, needed, drift, label, grams, place - position AS diagonal, list(DISTINCT position) AS met
+  FROM doc_grams d JOIN template_grams t ON d.gram = t.gram AND d.k = t.k GROUP BY ALL
+), marked AS (
+  SELECT *, CASE WHEN coalesce(diagonal - lag(diagonal) OVER along <= drift, false) THEN 0 ELSE 1 END AS fresh
+  FROM votes WINDOW along AS (PARTITION BY doc_id, text, template ORDER BY diagonal)
+), numbered AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, text, template ORDER BY diagonal) AS span FROM marked
+), spans AS (
+  SELECT doc_id, text, k, needed, label, min(diagonal) AS start, len(list_distinct(flatten(list(met)))) / grams AS covered
+  FROM numbered GROUP BY doc_id, text, template, k, needed, label, grams, span
+), found AS (
+  SELECT doc_id, text, count(*) FILTER (k = 2) AS n_base, min(start) FILTER (k = 2) AS first_word,
+         max(start) FILTER (k = 2) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (k = 2) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(covered) AS score
+  FROM spans WHERE covered >= needed GROUP BY doc_id, text
+)
+SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM split_texts s LEFT JOIN found f ON f.doc_id IS NOT DISTINCT FROM s.doc_id AND f.text = s.text
+"""

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-from panelkit.llm import mixing, oracles, quality
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from panelkit.functions.durable import settle, shared_folder
+from panelkit.llm import licenses, mixing, oracles, quality, rollups
 from panelkit.llm.text import table
 
 
@@ -18,10 +21,40 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op7_rollups(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after three batches: every document comes in, those not in English are counted anew by a later
+    tokenizer (this batch is committed twice, as after a lost driver), and short ones are withdrawn."""
+    docs = table(spark, folder, "documents")
+    both = settle(docs.select("doc_id", "source", "lang", *[f("text").alias(v) for v, f in rollups.TOKENIZERS.items()]))
+
+    def of(rows: DataFrame, version: str) -> DataFrame:
+        return rows.select("doc_id", "source", "lang", F.lit(version).alias("tokenizer"), F.col(f"`{version}`").alias("n_tokens"))
+
+    other = both.filter(~F.col("lang").eqNullSafe("en"))
+    short = both.filter("`blanks-1` < 50")
+    store = f"{shared_folder(spark)}/panelkit-files/rollup-{uuid.uuid4().hex}"
+    rollups.commit(store, 1, rollups.inserts(of(both, "blanks-1")))
+    for _ in range(2):
+        rollups.commit(store, 2, rollups.revisions(of(other, "blanks-1"), of(other, "runs-2")))
+    now = of(short.filter(F.col("lang").eqNullSafe("en")), "blanks-1").unionByName(
+        of(short.filter(~F.col("lang").eqNullSafe("en")), "runs-2"))
+    rollups.commit(store, 3, rollups.deletes(now))
+    return rollups.totals(spark, store)
+
+
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and passages in every document."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op3_quality": op3_quality,
     "op6_mixing": op6_mixing,
+    "op7_rollups": op7_rollups,
+    "op8_licenses": op8_licenses,
 }
 ORACLES = {
     "op6_mixing": oracles.MIXING,
+    "op7_rollups": oracles.ROLLUPS,
+    "op8_licenses": oracles.licenses(),
 }
