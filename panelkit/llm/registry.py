@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions.durable import settle, shared_folder
-from panelkit.llm import licenses, mixing, oracles, quality, rollups
+from panelkit.llm import licenses, mixing, oracles, pieces, quality, rollups
 from panelkit.llm.text import table
 
 
@@ -16,6 +17,18 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+def op4_pieces(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
+    """Every text encoded and decoded again, as digests of the tokens and of the text."""
+    codec = pieces.Codec(spark, model or public_tokenizers.path("piece_bpe_32k.model"))
+    coded = table(spark, folder, "documents").select("doc_id", codec.encode("text").alias("ids"))
+    both = coded.withColumn("decoded", codec.decode("ids"))
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to their sources' target weights."""
     return mixing.mix(table(spark, folder, "documents"))
@@ -49,6 +62,7 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality": op3_quality,
+    "op4_pieces": op4_pieces,
     "op6_mixing": op6_mixing,
     "op7_rollups": op7_rollups,
     "op8_licenses": op8_licenses,
