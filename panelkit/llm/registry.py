@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions.durable import settle, shared_folder
-from panelkit.llm import licenses, mixing, oracles, pieces, quality, rollups
+from panelkit.llm import licenses, mixing, oracles, pieces, quality, rollups, secrets
 from panelkit.llm.text import table
 
 
@@ -19,7 +18,11 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_pieces(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
     """Every text encoded and decoded again, as digests of the tokens and of the text."""
-    codec = pieces.Codec(spark, model or public_tokenizers.path("piece_bpe_32k.model"))
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path("piece_bpe_32k.model")
+    codec = pieces.Codec(spark, model)
     coded = table(spark, folder, "documents").select("doc_id", codec.encode("text").alias("ids"))
     both = coded.withColumn("decoded", codec.decode("ids"))
     return both.select(
@@ -29,6 +32,18 @@ def op4_pieces(spark: SparkSession, folder: str, model: str | None = None) -> Da
     )
 
 
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document, as spans."""
+    found = secrets.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), count("novel"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to their sources' target weights."""
     return mixing.mix(table(spark, folder, "documents"))
@@ -63,6 +78,7 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_quality": op3_quality,
     "op4_pieces": op4_pieces,
+    "op5_secrets": op5_secrets,
     "op6_mixing": op6_mixing,
     "op7_rollups": op7_rollups,
     "op8_licenses": op8_licenses,
