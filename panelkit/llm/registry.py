@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions.durable import settle, shared_folder
-from panelkit.llm import licenses, mixing, oracles, pieces, quality, rollups, secrets
+from panelkit.llm import licenses, mixing, oracles, pieces, quality, rollups, secrets, vafile
 from panelkit.llm.text import table
 
 
@@ -75,6 +75,11 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op10_vafile(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best rows for every vector whose id is divisible by 20."""
+    return vafile.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op3_quality": op3_quality,
     "op4_pieces": op4_pieces,
@@ -82,9 +87,11 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_rollups": op7_rollups,
     "op8_licenses": op8_licenses,
+    "op10_vafile": op10_vafile,
 }
 ORACLES = {
     "op6_mixing": oracles.MIXING,
     "op7_rollups": oracles.ROLLUPS,
     "op8_licenses": oracles.licenses(),
+    "op10_vafile": oracles.NEAREST,
 }
