@@ -2,6 +2,18 @@
 
 from panelkit.llm import licenses as scans
 
+ARCHIVE = r"""
+WITH known AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha1(coalesce(html, '')) AS digest FROM pages
+), best AS (
+  SELECT *, max(page_id) OVER (PARTITION BY digest, size) AS top FROM known
+)
+SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN size >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= 1000 AND page_id < top THEN top END AS refers_to
+FROM best
+"""
+
 MIXING = r"""
 WITH sized AS (
   SELECT doc_id, source,

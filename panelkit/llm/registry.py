@@ -7,10 +7,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions.durable import settle, shared_folder
-from panelkit.llm import licenses, mixing, oracles, pieces, quality, rollups, secrets, vafile
+from panelkit.llm import licenses, mixing, oracles, pieces, quality, rollups, secrets, vafile, warc
 from panelkit.llm.text import table
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to archives and read back; digest and length of a response are those of the payload read."""
+    warc.register(spark)
+    archive = f"{shared_folder(spark)}/panelkit-files/warc-{uuid.uuid4().hex}"
+    warc.page_records(table(spark, folder, "pages")).write.format("warc").mode("append").save(archive)
+    stored = F.col("record_type") == "response"
+    return spark.read.format("warc").load(archive).select(
+        warc.page_number("record_id").alias("page_id"),
+        F.when(stored, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(stored, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", warc.page_number("refers_to").alias("refers_to"),
+    )
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Every document judged by the base rules and by its robust distance in its language and source."""
     return quality.judge(table(spark, folder, "documents"))
@@ -81,6 +95,7 @@ def op10_vafile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op3_quality": op3_quality,
     "op4_pieces": op4_pieces,
     "op5_secrets": op5_secrets,
@@ -90,6 +105,7 @@ QUERIES = {
     "op10_vafile": op10_vafile,
 }
 ORACLES = {
+    "op1_warc": oracles.ARCHIVE,
     "op6_mixing": oracles.MIXING,
     "op7_rollups": oracles.ROLLUPS,
     "op8_licenses": oracles.licenses(),
