@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions.durable import settle, shared_folder
-from panelkit.llm import licenses, mixing, oracles, pieces, quality, rollups, secrets, vafile, warc
+from panelkit.llm import hidden, licenses, mixing, oracles, pieces, quality, rollups, secrets, vafile, warc
 from panelkit.llm.text import table
 
 
@@ -25,6 +25,11 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_hidden(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text scored by a hidden Markov model that learns from the documents in training."""
+    return hidden.score(table(spark, folder, "documents"))
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Every document judged by the base rules and by its robust distance in its language and source."""
     return quality.judge(table(spark, folder, "documents"))
@@ -96,6 +101,7 @@ def op10_vafile(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_hidden": op2_hidden,
     "op3_quality": op3_quality,
     "op4_pieces": op4_pieces,
     "op5_secrets": op5_secrets,
