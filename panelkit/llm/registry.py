@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions.durable import settle, shared_folder
-from panelkit.llm import hidden, licenses, mixing, oracles, pieces, quality, rollups, secrets, vafile, warc
+from panelkit.llm import hidden, licenses, mixing, oracles, ordered, pieces, quality, rollups, secrets, vafile, warc
 from panelkit.llm.text import table
 
 
@@ -94,6 +94,11 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op9_ordered(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the class of its near-duplicates."""
+    return ordered.deduplicated(table(spark, folder, "documents"))
+
+
 def op10_vafile(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 best rows for every vector whose id is divisible by 20."""
     return vafile.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -108,6 +113,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_rollups": op7_rollups,
     "op8_licenses": op8_licenses,
+    "op9_ordered": op9_ordered,
     "op10_vafile": op10_vafile,
 }
 ORACLES = {
