@@ -161,16 +161,17 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     )
     whole = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size"))).otherwise(1)
     rest = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(0)
-    cut = F.array_join(F.slice(words("text"), 1, F.col("_rest").cast("int")), " ")
-    copies = F.when(F.col("_copies") > 0, F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    kept = (
-        docs.withColumn("_words", n_words("text"))
-        .join(plan, F.expr("doc_id <=> _doc_id and source <=> _source and _words = _size"))
+    copies = F.col("_whole") + (F.col("_rest") > 0).cast("int")
+    cut = F.array_join(F.slice(words("row.text"), 1, F.col("_rest").cast("int")), " ")
+    row = F.col("row")
+    shorter = row.withField("text", cut)
+    if "n_chars" in docs.columns:
+        shorter = shorter.withField("n_chars", F.length(cut).cast(docs.schema["n_chars"].dataType))
+    return (
+        docs.select(F.struct(*docs.columns).alias("row"), n_words("text").alias("_n"))
+        .join(plan, F.expr("row.doc_id <=> _doc_id and row.source <=> _source and _n = _size"))
         .withColumn("_whole", whole).withColumn("_rest", rest)
-        .withColumn("_copies", F.col("_whole") + (F.col("_rest") > 0).cast("int"))
-        .withColumn("_copy", F.explode(copies))
-        .withColumn("_partial", F.col("_copy") > F.col("_whole"))
-        .withColumn("text", F.when(F.col("_partial"), cut).otherwise(F.col("text")))
-        .withColumn("n_chars", F.when(F.col("_partial"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        .withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies.cast("int")))))
+        .select(F.when(F.col("_copy") > F.col("_whole"), shorter).otherwise(row).alias("row"))
+        .select("row.*")
     )
-    return kept.select(*docs.columns)

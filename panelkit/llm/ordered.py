@@ -319,10 +319,10 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One whole row of docs of each class: that of the smallest id, any one of those that share it."""
-    names = docs.columns
     chosen = (
         classes(docs, similarity).filter("least <=> class_id").groupBy("root")
         .agg(F.min("digest").alias("_digest"), F.first("class_id").alias("_id"))
     )
-    kept = docs.withColumn("_d", _digest()).join(chosen, F.expr("_d = _digest and doc_id <=> _id"))
-    return kept.dropDuplicates(["_digest"]).select(*names)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", _digest().alias("_d"))
+    kept = rows.join(chosen, F.expr("_d = _digest and doc_id <=> _id"))
+    return kept.groupBy("_digest").agg(F.first("row").alias("row")).select("row.*")

@@ -51,8 +51,13 @@ def _chi2_quantile(upper: float, even: int) -> float:
     return low
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the statistics of each row's whole text; null and blank texts have zeros.
+def _small(df: DataFrame) -> DataFrame:
+    """A table of a few rows a stratum, written as one file, so that its size is seen to be small."""
+    return settle(df.repartition(1))
+
+
+def statistics(docs: DataFrame, *also: str) -> DataFrame:
+    """doc_id, lang, source, the columns in `also` and the statistics of each row's whole text; null and blank texts have zeros.
 
     n_repeat_words: words in windows of three that the text has more than once. The windows are sorted by hash with
     their places, equal ones are neighbours then, and the places they cover are counted as a union of intervals.
@@ -77,14 +82,14 @@ def statistics(docs: DataFrame) -> DataFrame:
     )
     return (
         docs.select(
-            "doc_id", "lang", "source", words("text").alias("_w"), lines.alias("_lines"),
+            "doc_id", "lang", "source", *also, words("text").alias("_w"), lines.alias("_lines"),
             F.length(F.regexp_replace(text, SPACE, "")).cast("long").alias("word_chars"),
             only("#*$%&|<>").alias("n_symbols"), only("A-Z").alias("_capitals"), only(".,;:!?").alias("_marks"),
         )
         .withColumn("_g", F.sort_array(grams))
         .withColumn("_p", F.sort_array(F.transform(F.filter("_g", again), lambda g: g["i"])))
         .select(
-            "doc_id", "lang", "source", n.cast("long").alias("n_words"), "word_chars", "n_symbols",
+            "doc_id", "lang", "source", *also, n.cast("long").alias("n_words"), "word_chars", "n_symbols",
             (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
             F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
             F.size("_lines").cast("long").alias("_n_lines"), "_capitals", "_marks",
@@ -176,7 +181,7 @@ def robust_estimates(rows: DataFrame, share=SHARE, starts=STARTS, steps=STEPS, m
     factor = share / _chi2_cdf(cut, d + 2)
     quartiles = [F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"p{i}") for i, c in enumerate(NAMES)]
     counted = rows.groupBy("stratum").agg(F.count("*").alias("_n"), *quartiles).filter(F.col("_n") >= min_rows)
-    counted = settle(counted)
+    counted = _small(counted)
     middle = counted.select(
         "stratum", F.lit(0).alias("start"), F.col("_n").cast("double").alias("n"),
         *[F.col(f"p{i}")[1].alias(f"m{i}") for i in range(d)],
@@ -188,21 +193,21 @@ def robust_estimates(rows: DataFrame, share=SHARE, starts=STARTS, steps=STEPS, m
         .withColumn("start", F.pmod("draw", F.col("_slices")).cast("int") + 1)
         .filter(F.col("start") < starts)
     )
-    current = settle(_factored(middle.unionByName(_moments(drawn, "stratum", "start")), 1.0))
+    current = _small(_factored(middle.unionByName(_moments(drawn, "stratum", "start")), 1.0))
     for _ in range(steps):
         cells = _distances(rows, current).withColumn("cell", F.floor(16 * F.log(F.col("d2") + 1e-6)))
         edges = cells.groupBy("stratum", "start").agg(
             F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY cell)").alias("edge")
         )
-        nearest = cells.select("stratum", "start", "cell", *NAMES).join(settle(edges), ["stratum", "start"]).filter("cell <= edge")
-        current = settle(_factored(_moments(nearest, "stratum", "start"), factor))
+        nearest = cells.select("stratum", "start", "cell", *NAMES).join(_small(edges), ["stratum", "start"]).filter("cell <= edge")
+        current = _small(_factored(_moments(nearest, "stratum", "start"), factor))
     best = current.groupBy("stratum").agg(F.min_by("start", F.struct("log_size", "start")).alias("start"))
-    best = settle(current.join(best, ["stratum", "start"]))
+    best = _small(current.join(best, ["stratum", "start"]))
     inside = _distances(rows, best).filter(F.col("d2") <= _chi2_quantile(0.025, d))
-    return settle(_factored(_moments(inside, "stratum"), 0.975 / _chi2_cdf(_chi2_quantile(0.025, d), d + 2)))
+    return _small(_factored(_moments(inside, "stratum"), 0.975 / _chi2_cdf(_chi2_quantile(0.025, d), d + 2)))
 
 
-def judge(docs: DataFrame, one_in: float = ONE_IN, **settings) -> DataFrame:
+def judge(docs: DataFrame, one_in: float = ONE_IN, also: tuple[str, ...] = (), **settings) -> DataFrame:
     """Per row of docs (doc_id, text, lang, source): the statistics, base_failed, distance, kept.
 
     base_failed: fewer than MIN_WORDS words, or over MAX_REPEATED percent of them in repeated windows. Of the others,
@@ -211,7 +216,7 @@ def judge(docs: DataFrame, one_in: float = ONE_IN, **settings) -> DataFrame:
     are all too small is judged with the rest of the corpus, and if that is too small nothing more is rejected. Rows
     that repeat are judged each. No rows give no rows.
     """
-    measured = settle(statistics(docs))
+    measured = settle(statistics(docs, *also))
     measured = measured.withColumn(
         "base_failed",
         (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")),
@@ -222,9 +227,9 @@ def judge(docs: DataFrame, one_in: float = ONE_IN, **settings) -> DataFrame:
         .withColumn("draw", F.xxhash64("doc_id", *NAMES))
         .select("doc_id", "lang", "source", "draw", *NAMES)
     )
-    strata = settle(_strata(vectors, settings.get("min_rows", MIN_ROWS)))
+    strata = _small(_strata(vectors, settings.get("min_rows", MIN_ROWS)))
     key = F.expr("v.lang <=> s.lang and v.source <=> s.source")
-    located = vectors.alias("v").join(strata.alias("s"), key).select("stratum", "draw", *NAMES)
+    located = settle(vectors.alias("v").join(strata.alias("s"), key).select("stratum", "draw", *NAMES))
     estimates = robust_estimates(located, **settings).withColumnRenamed("n", "_inside")
     placed = (
         measured.withColumns(_features()).alias("v").join(strata.alias("s"), key, "left")
@@ -233,6 +238,15 @@ def judge(docs: DataFrame, one_in: float = ONE_IN, **settings) -> DataFrame:
     return (
         _distances(placed, estimates, "left")
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= _chi2_quantile(1 / one_in, len(NAMES)), F.lit(True)))
-        .select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        .select("doc_id", "lang", "source", *also, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                 "base_failed", F.sqrt("d2").alias("distance"), "kept")
     )
+
+
+def kept_documents(docs: DataFrame, **settings) -> DataFrame:
+    """All rows and columns of docs but for the documents that `judge` rejects."""
+    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    verdicts = judge(docs.select("doc_id", "text", "lang", "source", text.alias("_text")), also=("_text",), **settings)
+    rejected = verdicts.filter("not kept").select(F.col("doc_id").alias("_id"), "_text").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", text.alias("_hash"))
+    return rows.join(rejected, F.expr("doc_id <=> _id and _hash = _text"), "left_anti").select("row.*")
