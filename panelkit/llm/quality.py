@@ -26,7 +26,7 @@ GRAIN = 256
 #: in clean text may still vary a little
 FEATURES = {"word_length": 0.1, "symbols": 0.35, "repeated_lines": 0.8, "repeated_words": 0.8, "capitals": 0.3, "marks": 0.25}
 #: share of a stratum that the determinant is minimised over
-SHARE = 0.75
+SHARE = 0.55
 STARTS = 3
 STEPS = 3
 #: a stratum of fewer rows joins the rest of its language, then the rest of the corpus
