@@ -125,56 +125,50 @@ def similar(a: Text, b: Text, similarity: float = SIMILARITY) -> bool:
     return common >= similarity * (len(a) + len(b) - common) - 1e-9
 
 
-def _open_pairs(texts: list[Text], left: int, similarity: float):
-    """For each text the later ones that bitmaps of their shingles leave open. A bit that only one of two texts has is
-    a shingle that the other lacks, so shared bits bound the shared shingles from above. left: texts of the first of two
-    blocks, which are compared with the others only; 0 for one block."""
-    sizes = np.array([len(t) for t in texts], dtype=np.float64)
-    bits = 1 << int(8 * np.median(sizes)).bit_length()
-    bits = min(max(bits, 256), 1 << 14)
-    map_ = np.zeros((len(texts), bits), dtype=np.float32)
+def _open_pairs(texts: list[Text], left: int, similarity: float) -> np.ndarray:
+    """Which pairs bitmaps of the shingles leave open, as a matrix. A bit that only one of two texts has is a shingle
+    that the other lacks, so shared bits bound the shared shingles from above. left: texts of the first of two blocks,
+    which are compared with the others only; 0 for one block."""
+    sizes = np.array([len(t) for t in texts], dtype=np.float32)
+    bits = min(max(1 << int(8 * np.median(sizes)).bit_length(), 256), 1 << 14)
+    has = np.zeros((len(texts), bits), dtype=np.float32)
     for i, t in enumerate(texts):
-        map_[i, (t.sorted & np.uint64(bits - 1)).astype(np.int64)] = 1
-    spare = sizes - map_.sum(axis=1)  # shingles that share a bit with another one of their text
-    for at in range(0, left or len(texts), 256):
-        rows = np.arange(at, min(at + 256, left or len(texts)))
-        shared = map_[rows] @ map_.T
-        shared = np.minimum(np.minimum(shared + spare[rows, None], shared + spare[None, :]), np.minimum(sizes[rows, None], sizes[None, :]))
-        fits = shared >= similarity * (sizes[rows, None] + sizes[None, :] - shared) - 1e-6
-        later = np.arange(len(texts))[None, :] >= (left if left else rows[:, None] + 1)
-        yield rows, fits & later
+        has[i, (t.sorted & np.uint64(bits - 1)).astype(np.int64)] = 1
+    spare = sizes - has.sum(axis=1)  # shingles that share a bit with another one of their text
+    open_ = np.zeros((len(texts), len(texts)), dtype=bool)
+    for at in range(0, len(texts), 128):
+        rows = slice(at, min(at + 128, len(texts)))
+        shared = has[rows] @ has.T
+        shared += np.minimum(spare[rows, None], spare[None, :])
+        both = sizes[rows, None] + sizes[None, :]
+        open_[rows] = (shared >= similarity * (both - shared) - 1e-3) & (
+            np.minimum(sizes[rows, None], sizes[None, :]) * (1 + similarity) >= similarity * both - 1e-3)
+    if left:
+        open_[:left, :left] = open_[left:, left:] = False
+    else:
+        np.fill_diagonal(open_, False)
+    return open_
 
 
 def links(texts: list[Text], left: int = 0, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Rows of similar texts that connect all texts that any similar pairs connect: at most one less than texts."""
-    n = len(texts)
-    root = list(range(n))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    """Rows of similar texts that connect all texts that any similar pairs connect: at most one less than texts.
 
+    Texts with many open pairs come first: the middle of a group connects most of it at once.
+    """
+    n = len(texts)
     if n <= FEW:
-        open_ = [(i, j) for i in range(left or n) for j in range(max(left, i + 1), n)]
+        open_ = np.ones((n, n), dtype=bool)
+        if left:
+            open_[:left, :left] = open_[left:, left:] = False
     else:
-        pairs, degree = [], np.zeros(n, dtype=np.int64)
-        for rows, fits in _open_pairs(texts, left, similarity):
-            i, j = np.nonzero(fits)
-            pairs.append(np.stack([rows[i], j], axis=1))
-            degree += np.bincount(rows[i], minlength=n) + np.bincount(j, minlength=n)
-        every = np.concatenate(pairs)
-        # texts with many open pairs first: the middle of a group connects most of it at once
-        rank = np.maximum(degree[every[:, 0]], degree[every[:, 1]])
-        hub = np.where(degree[every[:, 0]] >= degree[every[:, 1]], every[:, 0], every[:, 1])
-        open_ = every[np.lexsort([hub, -rank])].tolist()
-    found = []
-    for i, j in open_:
-        a, b = find(i), find(j)
-        if a != b and similar(texts[i], texts[j], similarity):
-            root[b] = a
-            found.append((texts[i].row, texts[j].row))
+        open_ = _open_pairs(texts, left, similarity)
+    group, found = np.arange(n), []
+    for i in np.argsort(-open_.sum(axis=1), kind="stable"):
+        for j in np.flatnonzero(open_[i] & (group != group[i])):
+            if group[j] != group[i] and similar(texts[i], texts[j], similarity):
+                group[group == group[j]] = group[i]
+                found.append((texts[i].row, texts[j].row))
+        open_[:, i] = False  # both ways are done
     return found
 
 
@@ -183,7 +177,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
 
     def sketch(batches):
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, len(b), 1000)):
             rows, digests, words, found = [], [], [], []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 digest = hashlib.md5(text or b"").digest()
