@@ -26,15 +26,29 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-def settle(df: DataFrame) -> DataFrame:
+def _own_folder(spark: SparkSession) -> str:
+    """The application's folder of tables, removed when it ends."""
+    sc = spark.sparkContext
+    folder = f"{shared_folder(spark)}/panelkit-tables/{sc.applicationId}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if files.mkdirs(path):
+        files.deleteOnExit(path)
+    return folder
+
+
+def settle(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write the rows once and read them back.
 
     Cuts the lineage, fixes anything that depends on partition numbers, and lets the
     optimizer see the real size, so that it broadcasts the table only when it is below
-    spark.sql.autoBroadcastJoinThreshold and shuffles it otherwise.
+    spark.sql.autoBroadcastJoinThreshold and shuffles it otherwise. `by` names a column with
+    few values; readers of some of them then read only those. All tables of an application lie
+    in one folder, which goes when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/panelkit-tables/{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
     # the folder is new and read only after the job, so files may be moved into place by the tasks
-    df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.durable import settle
@@ -19,9 +19,6 @@ from panelkit.functions.running import running
 
 SKETCH_SIZE = 2048
 MARGIN = 0.01
-# Groups up to this size are tallied whole: the margin spans less than two of their rows.
-SMALL_GROUP = 200
-TALLY_LIMIT = 1_000_000
 
 
 def exact_quantiles(
@@ -32,13 +29,12 @@ def exact_quantiles(
     method: str = "cont",
     before: str | None = None,
     margin: float = MARGIN,
-    tally_limit: int = TALLY_LIMIT,
 ) -> DataFrame:
     """Quantiles in long form: group columns, `column`, `prob`, `value`.
 
     method: "cont" interpolates between neighbours, "disc" takes the nearest rank.
     before: with a period column, the row for period m covers all rows of strictly earlier periods.
-    Groups (and periods) with null keys are left out; null values are ignored.
+    Groups (and periods) with null keys are left out; null values and values that are no numbers (NaN) are ignored.
     """
     group = list(group)
     cells = [*group, before] if before else group
@@ -51,8 +47,7 @@ def exact_quantiles(
     wanted = settle(_brackets(sketches, scope, probs, method, margin))
     tallies = _tally(data, columns, wanted, group, before)
     state = _coverage(wanted, tallies, scope)
-    missed, biggest = state.agg(F.count_if(~F.col("covered")), F.coalesce(F.max("distinct"), F.lit(0))).first()
-    if missed:
+    if state.agg(F.count_if(~F.col("covered"))).first()[0]:
         state = settle(state)
         lost, found = state.filter("not covered"), state.filter("covered")
         keys = [*scope, "prob"]
@@ -61,12 +56,15 @@ def exact_quantiles(
         again = _tally(data, columns, redo, group, before)
         tallies = settle(tallies.join(found.select(*keys), keys, "left_semi").unionByName(again))
         state = _coverage(wanted, tallies, scope)
-        biggest = state.agg(F.max("distinct")).first()[0]
-    return _pick(state, tallies, scope, biggest <= tally_limit)
+        lost = state.agg(F.count_if(~F.col("covered"))).first()[0]
+        if lost:
+            raise RuntimeError(f"{lost} quantiles are not among the values counted")
+    return _pick(state, tallies, scope)
 
 
 def _value(column: str) -> Column:
-    return F.col(column).cast("double")
+    number = F.col(column).cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def _sketches(data: DataFrame, columns: Sequence[str], cells: list[str]) -> DataFrame:
@@ -74,7 +72,7 @@ def _sketches(data: DataFrame, columns: Sequence[str], cells: list[str]) -> Data
         *[
             F.struct(
                 F.lit(c).alias("column"),
-                F.count(c).alias("n"),
+                F.count(_value(c)).alias("n"),
                 F.kll_sketch_agg_double(_value(c), SKETCH_SIZE).alias("sketch"),
             ).alias(f"_{i}")
             for i, c in enumerate(columns)
@@ -87,16 +85,12 @@ def _sketches(data: DataFrame, columns: Sequence[str], cells: list[str]) -> Data
 def _merge_earlier(sketches: DataFrame, group: list[str], before: str) -> DataFrame:
     """Sketch of everything strictly before each period; works on the small sketch table only."""
     targets = sketches.select(F.col(before).alias("_target")).distinct()
-    earlier = sketches.join(F.broadcast(targets) if _few(targets) else targets, F.col(before) < F.col("_target"))
+    earlier = sketches.join(targets, F.col(before) < F.col("_target"))
     return earlier.groupBy(*group, F.col("_target").alias(before), "column").agg(
         F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", SKETCH_SIZE).alias("sketch")
     )
 
 
-def _few(periods: DataFrame, limit: int = 10_000) -> bool:
-    return periods.limit(limit + 1).count() <= limit
-
-
 def _brackets(sketches: DataFrame, scope: list[str], probs: Sequence[float], method: str, margin: float) -> DataFrame:
     position = F.col("prob") * (F.col("n") - 1)
     if method == "cont":
@@ -111,12 +105,13 @@ def _brackets(sketches: DataFrame, scope: list[str], probs: Sequence[float], met
 
     def bracket(p: float) -> Column:
         low, high = p - margin, p + margin
-        large = F.col("n") > SMALL_GROUP
+        # where the margin is less than two rows, all values are inside
+        wide = F.col("n") * margin > 2
         nothing, everything = F.lit(float("-inf")), F.lit(float("inf"))
         return F.struct(
             F.lit(float(p)).alias("prob"),
-            (F.when(large, at("sketch", F.lit(low))).otherwise(nothing) if low > 0 else nothing).alias("low"),
-            (F.when(large, at("sketch", F.lit(high))).otherwise(everything) if high < 1 else everything).alias("high"),
+            (F.when(wide, at("sketch", F.lit(low))).otherwise(nothing) if low > 0 else nothing).alias("low"),
+            (F.when(wide, at("sketch", F.lit(high))).otherwise(everything) if high < 1 else everything).alias("high"),
         )
 
     return (
@@ -159,7 +154,6 @@ def _coverage(wanted: DataFrame, tallies: DataFrame, scope: list[str]) -> DataFr
     counted = tallies.groupBy(*scope, "prob").agg(
         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("rows"))), F.lit(0)).alias("below"),
         F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("rows"))), F.lit(0)).alias("inside"),
-        F.count("v").alias("distinct"),
     )
     covered = (F.col("below") < F.col("first")) & (F.col("below") + F.col("inside") >= F.col("last"))
     return (
@@ -169,15 +163,11 @@ def _coverage(wanted: DataFrame, tallies: DataFrame, scope: list[str]) -> DataFr
     )
 
 
-def _pick(state: DataFrame, tallies: DataFrame, scope: list[str], short: bool) -> DataFrame:
-    """The value at the wanted rank; long tallies are ranked without sorting one in a single task."""
+def _pick(state: DataFrame, tallies: DataFrame, scope: list[str]) -> DataFrame:
+    """The value at the wanted rank; tallies are ranked without sorting one in a single task."""
     keys = [*scope, "prob"]
     inside = tallies.filter("v is not null")
-    if short:
-        upto = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        summed = inside.withColumn("upto", F.sum("rows").over(upto))
-    else:
-        summed = running(inside, [F.col("v")], keys, {"upto": F.col("rows")})
+    summed = running(inside, [F.col("v")], keys, {"upto": F.col("rows")})
     reached = F.col("below") + F.col("upto")
     return (
         summed.join(state.select(*keys, "below", "first", "last", "share"), keys)

@@ -8,6 +8,7 @@ the preceding ranges, a table with one row per range, are then added.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ def running(
     totals = within.groupBy(*keys).agg(*[F.max_by(n, rank).alias(n) for n in names])
     earlier = Window.partitionBy(*group).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     before = settle(totals.select(*keys, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{n}") for n in names]))
-    return within.join(before, keys).select(
-        *df.columns, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in names]
+    # null is a group like any other
+    same = reduce(lambda a, k: a & F.col(f"w.{k}").eqNullSafe(F.col(f"b.{k}")), keys, F.lit(True))
+    return within.alias("w").join(before.alias("b"), same).select(
+        *[F.col(f"w.{c}") for c in df.columns], *[(F.col(f"w.{n}") + F.col(f"b._{n}")).alias(n) for n in names]
     )

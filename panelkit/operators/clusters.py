@@ -27,6 +27,7 @@ def pca_project(df: DataFrame, vector: str, k: int = 2, standard: bool = True) -
     """First k principal components of an array column as pc1, pc2, ...
 
     The covariance is summed across the executors; only its k vectors reach the driver.
+    A component's sign is free; the one that makes its largest loading positive is taken.
     """
     rows = df.withColumn("_vector", array_to_vector(F.col(vector).cast("array<double>")))
     source = "_vector"
@@ -34,9 +35,11 @@ def pca_project(df: DataFrame, vector: str, k: int = 2, standard: bool = True) -
         source = "_scaled"
         scaler = StandardScaler(withMean=True, withStd=True, inputCol="_vector", outputCol=source)
         rows = scaler.fit(rows).transform(rows)
-    out = PCA(k=k, inputCol=source, outputCol="_pc").fit(rows).transform(rows)
+    model = PCA(k=k, inputCol=source, outputCol="_pc").fit(rows)
     parts = vector_to_array("_pc")
-    return out.select(*df.columns, *[parts[i].alias(f"pc{i + 1}") for i in range(k)])
+    loadings = model.pc.toArray()
+    signs = [1.0 if max(column, key=abs) >= 0 else -1.0 for column in loadings.T]
+    return model.transform(rows).select(*df.columns, *[(parts[i] * signs[i]).alias(f"pc{i + 1}") for i in range(k)])
 
 
 # Cells within reach of a cell whose diagonal is eps: two steps each way, without the corners.
@@ -72,7 +75,17 @@ def _answers(points: DataFrame, asking: DataFrame, eps: float) -> DataFrame:
 def _gridded(df: DataFrame, eps: float, x: str, y: str, id: str) -> DataFrame:
     side = eps / math.sqrt(2.0)
     points = df.select(F.col(id).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    return points.select("*", _cell("x", side).alias("cx"), _cell("y", side).alias("cy"))
+    cell = {k: F.when(_placed(), _cell(c, side)) for k, c in (("cx", "x"), ("cy", "y"))}
+    return points.select("*", *[c.alias(k) for k, c in cell.items()])
+
+
+def _placed() -> Column:
+    """Whether a point has a place: both coordinates known and finite."""
+
+    def known(c: str) -> Column:
+        return F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False))  # NaN is larger than all others
+
+    return known("x") & known("y")
 
 
 def _with_core(df: DataFrame, eps: float, min_points: int, x: str, y: str, id: str) -> DataFrame:
@@ -81,7 +94,7 @@ def _with_core(df: DataFrame, eps: float, min_points: int, x: str, y: str, id: s
     All points of one cell are within eps of each other, so a cell with enough points
     needs no distances at all. Only the few points of thin cells look at their surroundings.
     """
-    points = _gridded(df, eps, x, y, id)
+    points = _gridded(df, eps, x, y, id).filter(_placed())
     sizes = settle(points.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")))
     thin = points.join(sizes.filter(F.col("n") < min_points), ["cx", "cy"])
     asking = settle(_ask_neighbours(thin))
@@ -97,8 +110,9 @@ def _with_core(df: DataFrame, eps: float, min_points: int, x: str, y: str, id: s
 def density_core(
     df: DataFrame, eps: float = 0.8, min_points: int = 20, x: str = "x", y: str = "y", id: str = "id"
 ) -> DataFrame:
-    """Flag the points that have `min_points` points within eps."""
-    return _with_core(df, eps, min_points, x, y, id).select("id", F.col("core").cast("int").alias("core"))
+    """Flag the points that have `min_points` points within eps; points without a place are none of them."""
+    flags = _with_core(df, eps, min_points, x, y, id).select("id", F.col("core").cast("int").alias("core"))
+    return flags.unionByName(_gridded(df, eps, x, y, id).filter(~_placed()).select("id", F.lit(0).alias("core")))
 
 
 def _boxes(points: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -208,7 +222,8 @@ def density_clusters(
     """Density clusters: id, x, y, core, cluster. 0 is noise; clusters are numbered by their smallest id.
 
     Core points of one cell share a cluster, so only cells are linked. A border point
-    joins the lowest-numbered cluster that has a core point within eps.
+    joins the lowest-numbered cluster that has a core point within eps. A point without
+    a place (a coordinate null or not finite) is noise.
     """
     points = settle(_with_core(df, eps, min_points, x, y, id))
     core = points.filter("core")
@@ -229,9 +244,10 @@ def density_clusters(
     border = settle(joined.groupBy(F.col("q.id").alias("id")).agg(F.min("cluster").alias("near")))
     inner = core.join(cells, ["cx", "cy"]).select("id", "x", "y", F.lit(1).alias("core"), "cluster")
     outer = points.filter("not core").join(border, "id", "left")
+    nowhere = _gridded(df, eps, x, y, id).filter(~_placed())
     return inner.unionByName(
         outer.select("id", "x", "y", F.lit(0).alias("core"), F.coalesce("near", F.lit(0)).alias("cluster"))
-    )
+    ).unionByName(nowhere.select("id", "x", "y", F.lit(0).alias("core"), F.lit(0).alias("cluster")))
 
 
 def contingency(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:

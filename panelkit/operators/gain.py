@@ -71,10 +71,10 @@ def gain_at(curve: DataFrame, cutoffs: Sequence[int], group: Sequence[str] = ())
     )
 
 
-def best_cutoff(points: DataFrame, group: Sequence[str] = (), low: int = 0, high: int = 30000) -> DataFrame:
-    """Highest total within a range of cutoffs and the smallest cutoff that reaches it."""
+def best_cutoff(points: DataFrame, group: Sequence[str] = (), low: int = 0, high: int | None = None) -> DataFrame:
+    """Highest total within a range of cutoffs, all of them without `high`, and the smallest cutoff that reaches it."""
     return (
-        points.filter(F.col("cutoff").between(low, high))
+        points.filter((F.col("cutoff") >= low) & (F.lit(True) if high is None else F.col("cutoff") <= high))
         .groupBy(*group)
         .agg(
             F.max("total").alias("best_total"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -40,7 +40,10 @@ class TreeParams:
     @property
     def depth(self) -> int:
         """Trees grow level by level here: the smallest depth with room for the leaves."""
-        return min(30, max(1, math.ceil(math.log2(self.leaves))))
+        levels = max(1, math.ceil(math.log2(self.leaves)))
+        if levels > 30:
+            raise ValueError(f"{self.leaves} leaves need trees deeper than 30 levels")
+        return levels
 
     def learner(self, seed: int, label: str) -> GBTClassifier:
         return GBTClassifier(
@@ -295,7 +298,7 @@ def tune_by_gain(
     log: str,
     share: float = 1.0,
     search_seed: int = 1,
-    max_iterations: int | None = None,
+    ranges: search.Ranges | None = None,
     half_window: int = 500,
     target: str = "target",
     id: str = "id",
@@ -303,6 +306,8 @@ def tune_by_gain(
 ) -> DataFrame:
     """Random search for the parameters with the highest peak gain in the validation periods.
 
+    `ranges` narrows the search; what is logged is what was fitted. Trials whose leaves can't all be filled are logged
+    as rejected without a fit.
     Every trial is appended to the table at `log`; trials already there are not repeated,
     so an interrupted search goes on where it stopped. Returns the log.
     """
@@ -315,15 +320,12 @@ def tune_by_gain(
             number = draw["trial_number"]
             train = training_rows(df, train_periods, share, seeds[0] + number, target, id, period)
             rows, unit = train.count(), spark.createDataFrame([draw])
-            suggested = search.suggest(unit, rows).drop("trial_number").first().asDict()
-            decoded = search.decode_trials(unit, rows).first().asDict()
+            suggested = search.suggest(unit, rows, ranges).drop("trial_number").first().asDict()
+            decoded = search.decode_trials(unit, rows, ranges).first().asDict()
             if decoded["rejected"]:
                 value = search.REJECTED
             else:
-                params = params_from_trial(decoded)
-                if max_iterations is not None:
-                    params = replace(params, iterations=min(params.iterations, max_iterations))
-                scored = fit_ensemble(train, features, seeds, params, target).score(valid)
+                scored = fit_ensemble(train, features, seeds, params_from_trial(decoded), target).score(valid)
                 curve = gain.gain_curve(scored, "score", target, [id, period], positive=1)
                 value = gain.peak_gain(curve, half_window=half_window).first()["value"]
             trial_log.append_trial(

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,18 +73,8 @@ def interpolate_zeros(
     id: str = "id",
     period: str = "ym",
     yyyymm: bool = True,
-    method: str = "linear",
 ) -> DataFrame:
-    """Fill a customer's zeros from the nonzero values around them.
-
-    method: "linear" - straight line in time between the nearest nonzero values, zeros
-    outside them stay; "quadratic" - quadratic spline through the nonzero values, for
-    customers with at least three of them.
-    """
-    if method == "quadratic":
-        return _interpolate_quadratic(df, columns, id, period)
-    if method != "linear":
-        raise ValueError(f"unknown method {method!r}")
+    """Fill a customer's zeros on the straight line in time between the nearest nonzero values; those outside stay."""
     time = ordinal(period, yyyymm)
     history = Window.partitionBy(id).orderBy(period)
     past = history.rowsBetween(Window.unboundedPreceding, -1)
@@ -103,36 +91,6 @@ def interpolate_zeros(
     return replace_columns(df, {c: cell(c) for c in columns})
 
 
-def quadratic_spline(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Quadratic spline through (x, y), with breaks halfway between inner points."""
-    breaks = (x[1:-2] + x[2:-1]) / 2 if len(x) > 3 else np.empty(0)
-    origin, width = x[0], x[-1] - x[0]
-
-    def basis(t: np.ndarray) -> np.ndarray:
-        u = (t - origin) / width
-        bends = [np.clip(u - (b - origin) / width, 0, None) ** 2 for b in breaks]
-        return np.column_stack([np.ones_like(u), u, u**2, *bends])
-
-    return basis(at) @ np.linalg.solve(basis(x), y)
-
-
-def _interpolate_quadratic(df: DataFrame, columns: Sequence[str], id: str, period: str) -> DataFrame:
-    names = list(columns)
-
-    def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(period)
-        time = rows[period].to_numpy(dtype=float)
-        for c in names:
-            y = rows[c].to_numpy(dtype=float)
-            known = (y != 0) & ~np.isnan(y)
-            if known.sum() >= 3:
-                rows[c] = np.where(y == 0, quadratic_spline(time[known], y[known], time), y)
-        return rows
-
-    doubled = replace_columns(df, {c: F.col(c).cast("double") for c in names})
-    return doubled.groupBy(id).applyInPandas(fill, doubled.schema)
-
-
 def correct_median_drift(
     df: DataFrame,
     columns: Sequence[str],

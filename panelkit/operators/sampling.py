@@ -78,7 +78,7 @@ def add_canaries(
     df: DataFrame,
     n: int | None = None,
     ratio: float = 0.5,
-    seed: int = 102191,
+    seed: int = 4177,
     keys: Sequence[str] = ("id", "ym"),
     ignore: Sequence[str] = ("id", "ym", "label"),
     kind: str = "normal",

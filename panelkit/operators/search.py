@@ -20,12 +20,16 @@ SEARCH_RANGES = {
 REJECTED = -1000000.0
 
 
-def suggest(draws: DataFrame, rows: Column | int) -> DataFrame:
-    """Spread unit draws, one column per searched parameter, over the search ranges."""
+Ranges = dict[str, tuple[float, float | None]]
+
+
+def suggest(draws: DataFrame, rows: Column | int, ranges: Ranges | None = None) -> DataFrame:
+    """Spread unit draws, one column per searched parameter, over the search ranges; `ranges` replaces some of them."""
+    within = SEARCH_RANGES | (ranges or {})
     n = rows if isinstance(rows, Column) else F.lit(rows)
 
     def at(name: str) -> Column:
-        low, high = SEARCH_RANGES[name]
+        low, high = within[name]
         top = F.log2(n / F.lit(2.0)) if high is None else F.lit(high)
         return F.lit(low) + F.col(name) * (top - F.lit(low))
 
@@ -48,13 +52,13 @@ def to_params(suggested: DataFrame) -> DataFrame:
     )
 
 
-def decode_trials(draws: DataFrame, rows: Column | int) -> DataFrame:
+def decode_trials(draws: DataFrame, rows: Column | int, ranges: Ranges | None = None) -> DataFrame:
     """Parameters of unit draws for a number of training rows, impossible ones flagged.
 
     A trial is rejected when its leaves could not all reach their minimum size.
     """
     n = rows if isinstance(rows, Column) else F.lit(rows)
-    decoded = to_params(suggest(draws, n)).withColumn("rows", n.cast("bigint"))
+    decoded = to_params(suggest(draws, n, ranges)).withColumn("rows", n.cast("bigint"))
     return decoded.withColumn("rejected", F.col("min_data_in_leaf") * F.col("num_leaves") > F.col("rows"))
 
 
@@ -78,8 +82,8 @@ def top_trials(trials: DataFrame, n: int = 5) -> DataFrame:
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
-    """The trial with the highest value. An empty table gives no row."""
-    return top_trials(trials, 1)
+    """The trial with the highest value. A table without a trial that was fitted gives no row."""
+    return top_trials(trials.filter(F.col("value") > REJECTED), 1)
 
 
 def rolling_schedule(df: DataFrame, period: str = "ym", context: int = 4, gap: int = 1) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from panelkit.operators.search import draw_trials
+
 # panels
 
 USER_DAY = """
@@ -146,6 +148,25 @@ core AS (
   GROUP BY a.id
 )"""
 
+CLUSTERS = CORE + f""",
+links AS (
+  SELECT a.id AS a, b.id AS b FROM points a JOIN points b
+    ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {EPS}::DOUBLE * {EPS}::DOUBLE
+  JOIN core c ON c.id = b.id AND c.core = 1
+),
+inner_links AS (SELECT a, b FROM links JOIN core c ON c.id = a AND c.core = 1),
+reach(id, root) AS (
+  SELECT id, id FROM core WHERE core = 1
+  UNION SELECT l.b, r.root FROM reach r JOIN inner_links l ON l.a = r.id WHERE l.b > r.root
+),
+roots AS (SELECT id, min(root) AS root FROM reach GROUP BY 1),
+numbered AS (SELECT id, dense_rank() OVER (ORDER BY root) AS cluster FROM roots),
+borders AS (SELECT l.a AS id, min(n.cluster) AS cluster FROM links l JOIN numbered n ON n.id = l.b GROUP BY 1),
+clusters AS (
+  SELECT p.id, p.x, p.y, c.core, CAST(coalesce(n.cluster, b.cluster, 0) AS INTEGER) AS cluster
+  FROM points p JOIN core c ON c.id = p.id LEFT JOIN numbered n ON n.id = p.id LEFT JOIN borders b ON b.id = p.id
+)"""
+
 PART_IMPORTANCES = """
 importances AS (
   SELECT CASE WHEN l_partkey % 20 = 0 THEN 'canarito_' || lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(3, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0')
@@ -205,6 +226,29 @@ decoded AS (
 SELECT *, CAST(min_data_in_leaf * num_leaves > rows AS INTEGER) AS rejected FROM decoded"""
 
 
+def _tuned_gain() -> str:
+    """The draws are the search's own; their decoding and which of them are impossible follow from the rows."""
+    draws = ", ".join(
+        f"({i}, {d['num_iterations_exp']!r}, {d['min_data_exp']!r}, {d['num_leaves_exp']!r})"
+        for i, d in enumerate(draw_trials(4, 1))
+    )
+    return f"""
+WITH {LABELLED},
+n AS (
+  SELECT count(*) FILTER (label <> 'CONTINUA') + CAST(floor(count(*) FILTER (label = 'CONTINUA') * 0.5::DOUBLE) AS BIGINT) AS rows
+  FROM labelled WHERE period BETWEEN 1 AND 20
+),
+decoded AS (
+  SELECT trial_number, CAST(round_even(pow(2.0::DOUBLE, it * 4.0::DOUBLE), 0) AS BIGINT) AS num_iterations,
+         CAST(round_even(pow(2.0::DOUBLE, md * 3.0::DOUBLE), 0) AS BIGINT) AS min_data,
+         CAST(round_even(pow(2.0::DOUBLE, 1.0::DOUBLE + lv * 3.0::DOUBLE), 0) AS BIGINT) AS num_leaves
+  FROM (VALUES {draws}) AS d(trial_number, it, md, lv)
+)
+SELECT CAST(trial_number AS INTEGER) AS trial_number, 'COMPLETE' AS state, num_iterations, num_leaves,
+       CAST(min_data * num_leaves > rows AS INTEGER) AS rejected, true AS possible
+FROM decoded, n"""
+
+
 def _each(columns: list[str], text: str) -> str:
     return ", ".join(text.format(c=c, q=f'"{c}"') for c in columns)
 
@@ -227,6 +271,14 @@ SELECT CASE WHEN period < last - 2 AND period + 1 = p1 AND period + 2 = p2 AND (
             WHEN period < last - 2 THEN 'CONTINUA' END AS label,
        count(*) AS n
 FROM leads GROUP BY 1""",
+    "label4_rows": f"""
+WITH {USER_DAY},{LEADS}
+SELECT id, period,
+       CASE WHEN period < last - 2 AND period + 1 = p1 AND period + 2 = p2 AND (p3 IS NULL OR period + 3 < p3) THEN 'BAJA+3'
+            WHEN period < last - 1 AND period + 1 = p1 AND (p2 IS NULL OR period + 2 < p2) THEN 'BAJA+2'
+            WHEN period < last AND (p1 IS NULL OR period + 1 < p1) THEN 'BAJA+1'
+            WHEN period < last - 2 THEN 'CONTINUA' END AS label
+FROM leads""",
     "target_modes": f"""
 WITH {LABELLED}
 SELECT id, period,
@@ -335,7 +387,7 @@ FROM user_day""",
     "snapshot_union": f"WITH {SUPPLIER_MONTH} SELECT * FROM supplier_month WHERE ym IN (199712, 199801, 199806, 200003)",
     "canary_first_order": f"""
 WITH {USER_DAY}
-SELECT {", ".join(f"round({_normal(f'102191-{i}', 'id', 'period')}, 6) + 0.0 AS canarito_{i:03d}" for i in range(2))},
+SELECT {", ".join(f"round({_normal(f'4177-{i}', 'id', 'period')}, 6) + 0.0 AS canarito_{i:03d}" for i in range(2))},
        {", ".join(f"round({_uniform(f'7-{i}', 'id', 'period')}, 6) + 0.0 AS canarito_{i}" for i in range(1, 4))},
        id, period
 FROM user_day""",
@@ -343,14 +395,14 @@ FROM user_day""",
 WITH {LABELLED},
 t AS (SELECT id, period, CASE WHEN label = 'CONTINUA' THEN 0 WHEN label IN ('BAJA+1', 'BAJA+2') THEN 1 END AS target
       FROM labelled),
-r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY {_hash("102191", "id", "period")}, id, period) AS rn,
+r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY {_hash("4177", "id", "period")}, id, period) AS rn,
              count(*) OVER (PARTITION BY target) AS n
       FROM t WHERE target IS NOT NULL)
 SELECT id, period, target FROM r WHERE target = 1 OR rn <= floor(n * 0.1::DOUBLE)""",
     "undersample_bernoulli": f"""
 WITH {LABELLED}
 SELECT id, period, label FROM labelled
-WHERE {_uniform(102191, "id", "period")} <= 0.05 OR label IN ('BAJA+1', 'BAJA+2')""",
+WHERE {_uniform(4177, "id", "period")} <= 0.05 OR label IN ('BAJA+1', 'BAJA+2')""",
     "class_weights": f"""
 WITH {LABELLED}
 SELECT id, period, label, CASE WHEN label IS NOT NULL THEN 1.0::DOUBLE / count(*) OVER (PARTITION BY label) END AS weight
@@ -451,8 +503,8 @@ l AS (SELECT *, lag(mprice, 1) OVER (PARTITION BY id ORDER BY ym) AS mprice_lag_
 z AS (SELECT id, ym, {_each(["mprice", "cl", "mqty", "mprice_lag_1"],
       "({c} - avg({c}) OVER m) / nullif(stddev_samp({c}) OVER m, 0) AS z_{c}")} FROM l WINDOW m AS (PARTITION BY ym))
 SELECT id, ym,
-       round(z_mprice * -0.5451 + z_cl * -0.0264 + z_mqty * 0.0951 + z_mprice_lag_1 * 0.2962, 6) + 0.0 AS ppr_term_1,
-       round(z_mprice * -0.6825 + z_cl * -0.8541 + z_mqty * 0.3177 + z_mprice_lag_1 * -0.5178, 6) + 0.0 AS ppr_term_2
+       round(z_mprice * -0.61 + z_cl * 0.18 + z_mqty * 0.25 + z_mprice_lag_1 * 0.14, 6) + 0.0 AS ppr_term_1,
+       round(z_mprice * -0.42 + z_cl * -0.77 + z_mqty * 0.36 + z_mprice_lag_1 * -0.33, 6) + 0.0 AS ppr_term_2
 FROM z""",
     "class_quantile_global": f"""
 WITH {LABELLED},
@@ -533,6 +585,31 @@ SELECT id, period, c.rank, CAST(c.rank <= n.rank AS INTEGER) AS predicted FROM c
 WITH {_TRIALS}
 SELECT count(*) AS trials, max(value) AS best, min(value) AS worst, round(avg(value), 4) + 0.0 AS mean FROM trials""",
     "top_trials": f"WITH {_TRIALS} SELECT * FROM trials ORDER BY value DESC, trial_number LIMIT 5",
+    "best_trial": f"WITH {_TRIALS} SELECT * FROM trials WHERE value > -1000000 ORDER BY value DESC, trial_number LIMIT 1",
+    "shuffled_rows": f"""
+WITH {SUPPLIER_MONTH}
+SELECT id, ym, row_number() OVER (ORDER BY {_hash("4177", "id", "ym")}, id, ym) AS place FROM supplier_month""",
+    "density_clusters": f"WITH RECURSIVE {CLUSTERS} SELECT * FROM clusters",
+    "cluster_classes": f"""
+WITH RECURSIVE {CLUSTERS}
+SELECT cluster, {", ".join(f"count(*) FILTER (c_mktsegment = '{s}') AS {s}" for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))}
+FROM clusters JOIN customer ON c_custkey = id GROUP BY 1""",
+    "cluster_density": f"""
+WITH RECURSIVE {CLUSTERS}
+SELECT cluster, CAST(CASE WHEN y < -2 THEN 0 WHEN y >= 2 THEN 17 ELSE floor((y + 2.0) / 4.0 * 16) + 1 END AS INTEGER) AS bin,
+       count(*) AS n
+FROM clusters GROUP BY 1, 2""",
+    "future_scores": f"WITH {USER_DAY} SELECT id, true AS probability FROM user_day WHERE period = 29",
+    "rolling_oof": f"""
+WITH {LABELLED},
+weekly AS (SELECT id, period, label, CAST(period // 7 AS INTEGER) AS week FROM labelled),
+places AS (SELECT week, row_number() OVER (ORDER BY week) AS pos FROM (SELECT DISTINCT week FROM weekly)),
+usable AS (
+  SELECT a.week FROM places a JOIN places b ON b.pos BETWEEN a.pos - 5 AND a.pos - 2 JOIN weekly w ON w.week = b.week
+  WHERE w.label IS NOT NULL GROUP BY 1 HAVING count(DISTINCT w.label = 'CONTINUA') = 2
+)
+SELECT id, period, label, week IN (SELECT week FROM usable) AS scored, true AS probability FROM weekly""",
+    "tuned_gain": _tuned_gain(),
     "trial_log": f"""
 WITH {_TRIALS}
 SELECT CAST(trial_number AS INTEGER) AS trial_number, value, CAST(nation AS DOUBLE) AS nation, 'COMPLETE' AS state,

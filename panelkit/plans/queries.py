@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions.columns import (
-    family, hash_uniform, matching, month_ordinal, numeric, replace_columns, rounded,
+    family, hash_bits, hash_uniform, matching, month_ordinal, numeric, replace_columns, rounded,
 )
 from panelkit.functions.durable import settle, shared_folder
+from panelkit.functions.running import running
 from panelkit.operators import (
     clusters, gain, history, labels, models, repair, sampling, scale, search, selection, snapshot,
 )
@@ -30,7 +31,10 @@ CUTOFFS = list(range(100, 2001, 100))
 FINE_CUTOFFS = list(range(50, 2001, 50))
 CLASSES = ["BAJA+1", "BAJA+2", "CONTINUA"]
 TRAIN_DAYS = list(range(1, 21))
-SEEDS = (143287, 146213, 310111)
+SEEDS = (11, 23, 37, 51, 67)
+#: a search short enough to be repeated often: at most 16 trees, leaves that small tables can fill
+SHORT = {"num_iterations_exp": (0.0, 4.0), "min_data_exp": (0.0, 3.0), "num_leaves_exp": (1.0, 4.0)}
+TRIALS = 4
 FAST = models.TreeParams(iterations=5, rate=0.3, leaves=8, rows_per_leaf=20)
 
 
@@ -84,6 +88,10 @@ def label4_counts(spark: SparkSession, sf: str) -> DataFrame:
     return labels.class_counts(_labelled(spark, sf, 3), [])
 
 
+def label4_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _labelled(spark, sf, 3).select(*KEY, "label")
+
+
 def target_modes(spark: SparkSession, sf: str) -> DataFrame:
     return _labelled(spark, sf).select(
         *KEY,
@@ -211,11 +219,11 @@ def canary_first_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def undersample_exact(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.undersample_exact(settle(_with_target(spark, sf)), 0.1, 102191, KEY).select(*KEY, "target")
+    return sampling.undersample_exact(settle(_with_target(spark, sf)), 0.1, 4177, KEY).select(*KEY, "target")
 
 
 def undersample_bernoulli(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.undersample_bernoulli(_labelled(spark, sf), 0.05, 102191, KEY).select(*KEY, "label")
+    return sampling.undersample_bernoulli(_labelled(spark, sf), 0.05, 4177, KEY).select(*KEY, "label")
 
 
 def class_weights(spark: SparkSession, sf: str) -> DataFrame:
@@ -296,7 +304,7 @@ def period_moments(spark: SparkSession, sf: str) -> DataFrame:
     return _round_all(rows, {"mprice_mean": 7, "mprice_std": 5, "cl_mean": 7, "cl_std": 6})
 
 
-PROJECTION = {"mprice": (-0.5451, -0.6825), "cl": (-0.0264, -0.8541), "mqty": (0.0951, 0.3177), "mprice_lag_1": (0.2962, -0.5178)}
+PROJECTION = {"mprice": (-0.61, -0.42), "cl": (0.18, -0.77), "mqty": (0.25, 0.36), "mprice_lag_1": (0.14, -0.33)}
 
 
 def projection_terms(spark: SparkSession, sf: str) -> DataFrame:
@@ -449,6 +457,10 @@ def top_trials(spark: SparkSession, sf: str) -> DataFrame:
     return search.top_trials(customer_trials(spark, sf), 5)
 
 
+def best_trial(spark: SparkSession, sf: str) -> DataFrame:
+    return search.best_trial(customer_trials(spark, sf))
+
+
 def trial_log(spark: SparkSession, sf: str) -> DataFrame:
     """Trials written to the JSON log in two batches, read back, and ranked."""
     rows = customer_trials(spark, sf).select(
@@ -523,6 +535,19 @@ def density_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.density_clusters(_points(spark, sf), EPS, MIN_POINTS)
 
 
+def cluster_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters against market segments."""
+    found = clusters.density_clusters(_points(spark, sf), EPS, MIN_POINTS).select("id", "cluster")
+    segments = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_mktsegment")
+    values = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    return clusters.contingency(found.join(segments, "id"), "cluster", "c_mktsegment", values)
+
+
+def cluster_density(spark: SparkSession, sf: str) -> DataFrame:
+    """Density along an axis within each cluster."""
+    return clusters.axis_histogram(clusters.density_clusters(_points(spark, sf), EPS, MIN_POINTS), "y", "cluster", -2.0, 2.0, 16)
+
+
 def pca_project(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.pca_project(table(spark, sf, "embeddings"), "embedding").select("vec_id", "label", "pc1", "pc2")
 
@@ -569,7 +594,7 @@ def importances_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def curve_report(spark: SparkSession, sf: str) -> DataFrame:
     """Gain curve written as CSV, and its best point."""
     one = gain.gain_curve(hash_scores(_labelled(spark, sf), (1,)), keys=KEY)
-    return reports.write_curve(one, _scratch(spark, "curve"))
+    return reports.write_curve(one, _scratch(spark, "curve"), high=30_000)
 
 
 def submission_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -587,7 +612,7 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled user days with lags and deltas, settled because training reads them many times."""
     rows = _with_target(spark, sf)
     money = family(rows)
-    return settle(history.add_history(rows, [*money, "cevents"], period="period", lags=(1, 2), chained=2))
+    return settle(history.add_history(rows, [*money, "cevents"], period="period", lags=(1, 2), chained=2), by="period")
 
 
 def _feature_names(rows: DataFrame) -> list[str]:
@@ -620,20 +645,43 @@ def rolling_oof(spark: SparkSession, sf: str) -> DataFrame:
     rows = _features(spark, sf)
     quick = models.TreeParams(iterations=2, rate=0.3, leaves=4, rows_per_leaf=20)
     # weeks instead of days, so that a period has enough rows to train on
-    weekly = rows.withColumn("week", F.expr("cast(period div 7 as int)"))
-    scored = models.rolling_scores(
-        weekly, _feature_names(rows), SEEDS[:1], quick, target="target", period="week", context=2
-    )
-    return scored.select(*KEY, "label", "score_rolling")
+    weekly = settle(rows.withColumn("week", F.expr("cast(period div 7 as int)")), by="week")
+    scored = models.rolling_scores(weekly, _feature_names(rows), SEEDS[:1], quick, target="target", period="week")
+    score = F.col("score_rolling")
+    return scored.select(*KEY, "label", score.isNotNull().alias("scored"), F.coalesce(score.between(0.0, 1.0), F.lit(True)).alias("probability"))
 
 
 def tuned_gain(spark: SparkSession, sf: str) -> DataFrame:
     rows = _features(spark, sf)
     log = models.tune_by_gain(
-        rows, _feature_names(rows), TRAIN_DAYS, [24], SEEDS[:1], 3, _scratch(spark, "search"),
-        share=0.5, max_iterations=4, half_window=50, period="period",
+        rows, _feature_names(rows), TRAIN_DAYS, [24], SEEDS[:1], TRIALS, _scratch(spark, "search"),
+        share=0.5, ranges=SHORT, half_window=50, period="period",
+    )
+    n = rows.filter("period = 24").count()
+    possible = F.col("value").between(-20000.0 * n, 780000.0 * n)
+    p = F.col("params")
+    return log.select(
+        "trial_number", "state", F.rint(F.pow(F.lit(2.0), p["num_iterations_exp"])).cast("bigint").alias("num_iterations"),
+        F.rint(F.pow(F.lit(2.0), p["num_leaves_exp"])).cast("bigint").alias("num_leaves"),
+        (F.col("value") == search.REJECTED).cast("int").alias("rejected"), (possible | (F.col("value") == search.REJECTED)).alias("possible"),
     )
-    return search.top_trials(log).select("trial_number", "value", "state")
+
+
+def future_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of a period that is not known yet, written as CSV and read back."""
+    rows = _features(spark, sf)
+    scored = models.score_periods(rows, _feature_names(rows), TRAIN_DAYS, [29], SEEDS[:1], FAST, 0.5, period="period")
+    path = _scratch(spark, "future")
+    reports.write_scores(scored, path)
+    back = reports.read_table(spark, path, "id bigint, score double")
+    return back.select("id", F.col("score").between(0.0, 1.0).alias("probability"))
+
+
+def shuffled_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers in a reproducible random order, numbered along it."""
+    rows = sampling.shuffled(_suppliers(spark, sf).select("id", "ym"), 4177)
+    return running(rows, [hash_bits(4177, "id", "ym"), F.col("id"), F.col("ym")], rank="place")
+
 
 
 # whole studies
@@ -641,7 +689,7 @@ def tuned_gain(spark: SparkSession, sf: str) -> DataFrame:
 
 def _setup(**changes: object) -> study.Setup:
     usual = dict(
-        train=TRAIN_DAYS, valid=[23], test=[25, 26], future=[29], seeds=SEEDS[:2], share=0.5, period="period",
+        train=TRAIN_DAYS, valid=[23], test=[25, 26], future=[29], seeds=SEEDS[:4], share=0.5, period="period",
         yyyymm=False, drop=["not_there"], params=FAST, half_window=50,
     )
     return study.Setup(**{**usual, **changes})
@@ -659,8 +707,8 @@ def replicate_study(spark: SparkSession, sf: str) -> DataFrame:
 def search_study(spark: SparkSession, sf: str) -> DataFrame:
     quick = models.TreeParams(iterations=2, leaves=32, rows_per_leaf=1)
     curve, _ = study.search_study(
-        settle(user_day(spark, sf)), _setup(seeds=SEEDS[:1]), _scratch(spark, "study"), 2, quick,
-        {"mvalue": (0.3, -0.5), "cevents_lag_1": (0.6, 0.1)}, leaf_trees=3, max_iterations=3,
+        settle(user_day(spark, sf)), _setup(seeds=SEEDS[:1]), _scratch(spark, "study"), TRIALS, quick,
+        {"mvalue": (0.3, -0.5), "cevents_lag_1": (0.6, 0.1)}, ranges=SHORT,
     )
     return curve
 
@@ -668,7 +716,7 @@ def search_study(spark: SparkSession, sf: str) -> DataFrame:
 REGISTERED: dict[str, Query] = {
     f.__name__: f
     for f in (
-        label_counts, label_counts_suppliers, label_counts_customers, label_pivot, label4_counts, target_modes,
+        label_counts, label_counts_suppliers, label_counts_customers, label_pivot, label4_counts, label4_rows, target_modes,
         cluster_class_tenure, tenure_modes,
         lag_delta_chained, lag_delta_anchored, lag_calendar, trend_window, trend_window_nulls, window_ratios,
         feature_block, history_p95,
@@ -681,10 +729,10 @@ REGISTERED: dict[str, Query] = {
         importance_report, importance_detail, canary_selection,
         gain_curve, gain_peak, gain_cutoffs, gain_best_cutoff, gain_smoothed, update_join_gain, ensemble_mean,
         score_summary, replicate_matrix, mean_gains, experiment_ledger, consensus_submission,
-        trial_stats, top_trials, trial_log, search_space, rolling_schedule,
+        trial_stats, top_trials, best_trial, trial_log, search_space, rolling_schedule,
         zscore, density_core, core_contingency, axis_histogram,
         panel_roundtrip, predictions_roundtrip, importances_roundtrip, curve_report, submission_roundtrip,
-        leaf_features, overfit_importance, seed_ensemble, rolling_oof, tuned_gain,
+        leaf_features, overfit_importance, seed_ensemble, rolling_oof, tuned_gain, future_scores, shuffled_rows, cluster_classes, cluster_density,
         pca_project, density_clusters, projected_clusters,
         fixed_study, replicate_study, search_study,
     )

@@ -19,9 +19,9 @@ def read_table(spark: SparkSession, path: str, schema: str, sep: str = ",") -> D
 
 
 def write_importances(importances: DataFrame, path: str) -> None:
-    """Feature, Importance by falling importance; a few rows, hence one file."""
+    """Feature, Importance by falling importance, in as many files as the sort has ranges."""
     named = importances.select(F.col("feature").alias("Feature"), F.col("importance").alias("Importance"))
-    write_table(named.orderBy(F.desc("Importance"), "Feature").coalesce(1), path)
+    write_table(named.orderBy(F.desc("Importance"), "Feature"), path)
 
 
 def read_importances(spark: SparkSession, path: str, by_importance: bool = True) -> DataFrame:
@@ -29,18 +29,19 @@ def read_importances(spark: SparkSession, path: str, by_importance: bool = True)
 
     "Last" is after sorting by falling importance, that is the smallest value, when asked to sort.
     """
-    raw = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    raw = spark.read.option("header", True).csv(path)
     missing = {"Feature", "Importance"} - set(raw.columns)
     if missing:
         raise ValueError(f"missing columns: {sorted(missing)}")
-    one = raw.select(F.col("Feature").alias("feature"), F.col("Importance").cast("double").alias("importance"))
+    file = F.struct("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    one = raw.select(F.col("Feature").alias("feature"), F.col("Importance").cast("double").alias("importance"), file.alias("_line"))
     if not by_importance:
-        numbered = one.withColumn("_line", F.monotonically_increasing_id())
-        return numbered.groupBy("feature").agg(F.max_by("importance", "_line").alias("importance"))
+        # files in the order of their names, as they are written
+        return one.groupBy("feature").agg(F.max_by("importance", "_line").alias("importance"))
     return one.groupBy("feature").agg(F.min("importance").alias("importance")).orderBy(F.desc("importance"), "feature")
 
 
-def write_curve(curve: DataFrame, path: str, low: int = 0, high: int = 30000) -> DataFrame:
+def write_curve(curve: DataFrame, path: str, low: int = 0, high: int | None = None) -> DataFrame:
     """Write a gain curve as CSV and return its best total and the fewest contacts that reach it."""
     write_table(curve, path)
     points = curve.select(F.col("rank").alias("cutoff"), F.col("gain_acum").alias("total"))

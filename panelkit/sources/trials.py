@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.operators.search import REJECTED
+
 # The record layout of an existing log.
 TRIAL_SCHEMA = """
 trial_number int, params map<string,double>, value double, datetime string, state string,
@@ -51,9 +53,13 @@ def trial_numbers(spark: SparkSession, path: str) -> set[int]:
         raise
 
 
+def fitted(trials: DataFrame) -> DataFrame:
+    return trials.filter(F.col("value") > REJECTED)
+
+
 def best_params(trials: DataFrame) -> dict[str, float]:
-    """Parameters of the trial with the highest value, the first one on ties."""
-    best = trials.orderBy(F.desc("value"), "trial_number").select("params").first()
+    """Parameters of the trial with the highest value, the first one on ties. Rejected trials were never fitted."""
+    best = fitted(trials).orderBy(F.desc("value"), "trial_number").select("params").first()
     if best is None:
-        raise ValueError("the trial log is empty")
+        raise ValueError("the log has no trial that was fitted")
     return best["params"]

@@ -106,3 +106,18 @@ def test_contingency_and_histogram(spark):
     assert got == {1: (1, 1), 2: (1, 0)}
     bins = {(r["k"], r["bin"]): r["n"] for r in clusters.axis_histogram(df, "v", "k", 0.0, 1.0, 2).collect()}
     assert bins == {(1, 1): 1, (1, 2): 1, (2, 0): 1}
+
+
+def test_points_without_a_place_are_noise(spark):
+    points = [(i, 0.1 * i, 0.0) for i in range(10)] + [(20, None, 0.0), (21, 0.0, float("nan")), (22, float("inf"), 0.0)]
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    got = {r["id"]: (r["core"], r["cluster"]) for r in clusters.density_clusters(df, 0.5, 3).collect()}
+    assert len(got) == 13 and all(got[i] == (0, 0) for i in (20, 21, 22)) and all(got[i] == (1, 1) for i in range(10))
+    assert {r["id"]: r["core"] for r in clusters.density_core(df, 0.5, 3).collect()} == {i: c for i, (c, _) in got.items()}
+
+
+def test_projection_has_one_sign(spark):
+    rng = random.Random(6)
+    rows = [(i, [-t, -2 * t + rng.gauss(0, 0.01)]) for i, t in enumerate(rng.gauss(0, 1) for _ in range(50))]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    assert all((r["pc1"] > 0) == (r["v"][1] > 0) for r in clusters.pca_project(df, "v", 1, standard=False).collect() if abs(r["v"][1]) > 0.1)

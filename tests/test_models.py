@@ -78,11 +78,15 @@ def test_rolling_scores(spark, panel):
     assert counts == {1: 0, 2: 0, 3: 40, 4: 40, 5: 40, 6: 40} and out.count() == panel.count()
 
 
+#: short searches whose trials can all be filled
+NARROW = {"num_iterations_exp": (0.0, 2.0), "min_data_exp": (0.0, 2.0), "num_leaves_exp": (1.0, 3.0)}
+
+
 def test_search_resumes(spark, panel, tmp_path):
     log = str(tmp_path / "log")
 
     def run(n):
-        return models.tune_by_gain(panel, FEATURES, [1, 2, 3], [5], (1,), n, log, max_iterations=2, half_window=3)
+        return models.tune_by_gain(panel, FEATURES, [1, 2, 3], [5], (1,), n, log, ranges=NARROW, half_window=3)
 
     first = {r["trial_number"]: (r["value"], r["datetime"]) for r in run(2).collect()}
     second = {r["trial_number"]: (r["value"], r["datetime"]) for r in run(3).collect()}
@@ -90,4 +94,22 @@ def test_search_resumes(spark, panel, tmp_path):
     assert all(second[k] == v for k, v in first.items())
     best = search.best_trial(trials.read_trials(spark, log)).first()
     assert trials.best_params(trials.read_trials(spark, log)) == best["params"]
-    assert all(v[0] == search.REJECTED or v[0] <= 78 * 40 for v in second.values())
+    assert any(v[0] > search.REJECTED for v in second.values())
+    for r in trials.read_trials(spark, log).collect():
+        assert r["params"]["num_iterations_exp"] <= 2.0
+
+
+def test_rejected_trials_are_never_best(spark, tmp_path):
+    log = str(tmp_path / "log")
+    trials.append_trial(spark, log, 0, {"x": 1.0}, search.REJECTED)
+    assert search.best_trial(trials.read_trials(spark, log)).count() == 0
+    with pytest.raises(ValueError):
+        trials.best_params(trials.read_trials(spark, log))
+    trials.append_trial(spark, log, 1, {"x": 2.0}, -500.0)
+    assert trials.best_params(trials.read_trials(spark, log)) == {"x": 2.0}
+
+
+def test_depth_is_not_cut(spark):
+    assert models.TreeParams(leaves=1024).depth == 10
+    with pytest.raises(ValueError):
+        models.TreeParams(leaves=2**31).depth

@@ -1,4 +1,3 @@
-import numpy as np
 import pytest
 
 from panelkit.operators import repair
@@ -55,27 +54,6 @@ def test_zeros_outside_stay(spark):
     assert set(_cells(repair.interpolate_zeros(df, ["a"], yyyymm=False), "a").values()) == {0.0, 4.0}
 
 
-def test_spline_reproduces_parabolas_and_its_points():
-    x = np.array([1.0, 2.0, 4.0, 5.0, 7.0, 8.0])
-    at = np.arange(0.0, 10.0)
-    parabola = 3 - 2 * at + 0.5 * at**2
-    assert repair.quadratic_spline(x, 3 - 2 * x + 0.5 * x**2, at) == pytest.approx(parabola)
-    y = np.array([1.0, 5.0, -2.0, 0.5, 3.0, 3.0])
-    assert repair.quadratic_spline(x, y, x) == pytest.approx(y)
-    # one continuous slope across the breaks
-    eps = 1e-5
-    left = (repair.quadratic_spline(x, y, np.array([3.0])) - repair.quadratic_spline(x, y, np.array([3.0 - eps]))) / eps
-    right = (repair.quadratic_spline(x, y, np.array([3.0 + eps])) - repair.quadratic_spline(x, y, np.array([3.0]))) / eps
-    assert left == pytest.approx(right, rel=1e-3, abs=1e-3)
-
-
-def test_quadratic_needs_three_points(spark):
-    rows = [(1, m, float(m * m) if m != 3 else 0.0) for m in range(1, 6)] + [(2, 1, 4.0), (2, 2, 0.0), (2, 3, 5.0)]
-    df = spark.createDataFrame(rows, "id int, ym int, a double")
-    a = _cells(repair.interpolate_zeros(df, ["a"], method="quadratic"), "a")
-    assert a[1, 3] == pytest.approx(9.0) and a[2, 2] == 0.0 and a[1, 5] == 25.0
-
-
 def test_median_drift_modes(spark):
     rows = [(1, 202010, 1.0), (1, 202011, 3.0), (1, 202012, 5.0), (1, 202101, 10.0), (2, 202101, 30.0)]
     df = spark.createDataFrame(rows, "id int, ym int, a double")

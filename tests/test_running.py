@@ -66,3 +66,9 @@ def test_no_single_partition_over_rows(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("score"))
     out = running(df, [F.col("score"), F.col("id")])
     assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1, 5), (None, 2, 7), (1, 1, 1), (1, 2, 2)], "g int, id int, v int")
+    out = running(df, [F.col("id")], ["g"], {"s": F.col("v")}).collect()
+    assert sorted((str(r["g"]), r["id"], r["rank"], r["s"]) for r in out) == [("1", 1, 1, 1), ("1", 2, 2, 3), ("None", 1, 1, 5), ("None", 2, 2, 12)]
