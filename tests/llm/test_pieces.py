@@ -22,7 +22,7 @@ def encoder():
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.one_of(st.text(), st.text(alphabet="ab eilnorst \n\t▁=-.é日😀́"), st.text(alphabet="a ▁=", max_size=80)))
+@given(st.one_of(st.text(), st.text(alphabet="ab eilnorst \n\t▁=-.é日😀́"), st.text(alphabet="a ▁=", max_size=80), st.text(alphabet="ab \n\t.é")))
 def test_encodes_and_decodes_like_the_library(text):
     encoder_, library_ = _pair()
     assert list(encoder_.encode(text)) == library_.encode(text)
@@ -46,7 +46,8 @@ def test_decodes_any_tokens_like_the_library(encoder, library):
 
 
 def test_long_words_and_full_memory(encoder, library, monkeypatch):
-    monkeypatch.setattr(pieces, "MEMORY", 50)
+    monkeypatch.setattr(pieces, "WORDS", 50)
+    monkeypatch.setattr(pieces, "PAIRS", 50)
     text = "ab" * 20_000 + " " + "=" * 5000 + " the" * 1000 + " ".join(str(i) for i in range(500))
     assert list(encoder.encode(text)) == library.encode(text)
 
@@ -64,5 +65,9 @@ def test_documents(spark, edge, empty, library, sf):
         assert tuple(r)[1:] == (len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids)))
 
 
-def test_out_of_range_and_null_ids(encoder, library):
-    assert encoder.decode([-1, 40_000, None]) == encoder.decode([0, 0, 0])
+def test_out_of_range_and_null_ids(spark, encoder):
+    codec = pieces.Codec(spark, PATH)
+    rows = spark.createDataFrame([(1, [1618, None, 305]), (2, None), (3, []), (4, [1618])], "i int, ids array<int>")
+    found = {r.i: r.t for r in rows.select("i", codec.decode("ids").alias("t")).collect()}
+    assert found == {1: encoder.decode([1618, 0, 305]), 2: "", 3: "", 4: encoder.decode([1618])}
+    assert encoder.decode([-1, 40_000, 5]) == encoder.decode([0, 0, 5])

@@ -49,7 +49,7 @@ def test_novel_strings_in_sensitive_context(spark):
         code + f"Authorization bearer {secret}\n" + code,
         code + "the key idea of international_conference_2024 is\n" + code + " international_conference_2024\n" * 3,
         code + f"nothing to see {secret}\n",
-        "private key " + "a" * 40 + "11",
+        "private key " + "z" * 40 + "11",
     ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.scan(docs).collect()}
