@@ -16,14 +16,17 @@ import re
 import struct
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession, functions as F
 
 #: fixed values: the format's piece types and its stand-in for a blank
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BLANK = "▁"
-#: entries of a worker's memory of words and of token pairs; it starts anew when full
-MEMORY = 200_000
+#: words and token pairs that a worker remembers. Words that were not met while as many others were are forgotten, pairs
+#: start anew when there are too many
+WORDS, PAIRS = 500_000, 400_000
 LONGEST_REMEMBERED = 48
 
 EACH_BYTE = "panelkit-each-byte"
@@ -100,8 +103,10 @@ class Encoder:
         self.ids = {p: i for i, (p, _, kind) in enumerate(model.pieces) if kind == NORMAL}
         self.scores = {p: model.pieces[i][1] for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model.pieces) if kind == BYTE}
-        self.memory: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.words: dict[str, bytes] = {}  # a word after a blank, or a line feed and another unit: its tokens as int32
+        self.older_words: dict[str, bytes] = {}
+        self.pairs: dict[int, bool] = {}
+        self.lengths = list(map(len, self.texts))
         self.trie = ahocorasick.Automaton()
         reachable = {p for p in self.ids if self.merge(p) == [p]}
         for p in reachable:
@@ -110,11 +115,14 @@ class Encoder:
         self.shorter = {
             self.ids[p]: next((self.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in reachable), None) for p in reachable
         }
+        self.by_text = {p: self.ids[p] for p in reachable}
+        self.longest_piece = max(map(len, reachable))
         single = "".join(map(re.escape, (p for p in self.ids if len(p) == 1)))
-        self.split_strange = re.compile(f"([^{single}])")
+        self.strange = re.compile(f"([^{single}])")
         # no piece has a blank after something else: merging never passes a place between a word and a blank
         inner = any(BLANK in p.lstrip(BLANK) for p in self.ids)
         stops = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
+        self.by_line = not inner and self.add_prefix and "\n" in stops and 10 in self.bytes
         self.units = None if inner else re.compile(f"{BLANK}+[^{BLANK}{stops}]*|[^{BLANK}{stops}]+" + (f"|[{stops}]" if stops else ""))
         raw = []
         for piece, _, kind in model.pieces:
@@ -126,6 +134,7 @@ class Encoder:
                 raw.append((model.unknown_surface if kind == UNKNOWN else piece.replace(BLANK, " ")).encode())
         self.raw = raw
         self.kinds = [p[2] for p in model.pieces]
+        self.line_feed = array.array("i", [self.bytes.get(10, self.unknown)]).tobytes()
         self.control = {i for i, kind in enumerate(self.kinds) if kind == CONTROL}
 
     def merge(self, text: str) -> list[str]:
@@ -143,78 +152,124 @@ class Encoder:
         return parts
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
+        key = left << 32 | right
+        known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= MEMORY:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             a, b = self.texts[left], self.texts[right]
-            known = self.pairs[left, right] = self.merge(a + b) == [a, b]
+            known = self.pairs[key] = self.merge(a + b) == [a, b]
         return known
 
     def _backtrack(self, text: str) -> list[int]:
-        """Tokens of a text whose characters are all pieces."""
-        longest = [0] * len(text)
-        texts = self.texts
-        for end, token in self.trie.iter(text):
-            longest[end + 1 - len(texts[token])] = token  # a longer one with this start ends later
-        failed = bytearray(len(text) // 8 + 1)
+        """Tokens of a text whose characters are all pieces.
+
+        The leftmost longest matches are taken as long as neighbours are compatible; from the first that is not,
+        shorter ones are tried, and the places from which nothing fits are marked.
+        """
+        lengths, pairs, compatible, shorter = self.lengths, self.pairs, self.compatible, self.shorter
         tokens: list[int] = []
-        place, token = 0, longest[0]
+        place, last, token = 0, None, None
+        for _, token in self.trie.iter_long(text):
+            if last is not None:
+                known = pairs.get(last << 32 | token)
+                if not (compatible(last, token) if known is None else known):
+                    break
+            tokens.append(token)
+            place += lengths[token]
+            last = token
+        else:
+            return tokens
+        n, longest = len(text), self._longest
+        failed = None  # a bit for each place from which nothing fits
         while True:
             while token is not None:
-                end = place + len(texts[token])
-                if not failed[end >> 3] >> (end & 7) & 1 and (not tokens or self.compatible(tokens[-1], token)):
-                    break
-                token = self.shorter[token]
-            if token is None:
-                failed[place >> 3] |= 1 << (place & 7)
-                last = tokens.pop()
-                place -= len(texts[last])
-                token = self.shorter[last]
-                continue
+                end = place + lengths[token]
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    known = True if last is None else pairs.get(last << 32 | token)
+                    if compatible(last, token) if known is None else known:
+                        break
+                token = shorter[token]
+                while token is None:  # back to the token before, in a shorter form
+                    failed = bytearray(n // 8 + 1) if failed is None else failed
+                    failed[place >> 3] |= 1 << (place & 7)
+                    gone = tokens.pop()
+                    place -= lengths[gone]
+                    token, last = shorter[gone], tokens[-1] if tokens else None
             tokens.append(token)
-            place = end
-            if place == len(text):
+            place, last = end, token
+            if place == n:
                 return tokens
-            token = longest[place]
-
-    def _unit(self, unit: str) -> tuple[int, ...]:
+            token = longest(text, place)
+
+    def _longest(self, text: str, place: int) -> int:
+        """The longest piece that begins at a place: as far as the automaton's branches go, back to a piece's end."""
+        part = text[place:place + self.longest_piece]
+        size = self.trie.longest_prefix(part)
+        found = self.by_text.get(part[:size])
+        while found is None:
+            size -= 1
+            found = self.by_text.get(part[:size])
+        return found
+
+    def _unit(self, unit: str) -> bytes:
+        if not self.strange.search(unit):
+            return array.array("i", self._backtrack(unit)).tobytes()
         tokens: list[int] = []
-        for i, part in enumerate(self.split_strange.split(unit)):
+        for i, part in enumerate(self.strange.split(unit)):
             if i % 2:  # a character that is no piece is spelled in bytes, or unknown
                 spelled = [self.bytes.get(b) for b in part.encode()]
                 tokens.extend([self.unknown] if None in spelled else spelled)
             elif part:
                 tokens.extend(self._backtrack(part))
-        return tuple(tokens)
-
-    def encode(self, text: str) -> array.array:
-        out = array.array("i")
+        return array.array("i", tokens).tobytes()
+
+    def _remembered(self, key: str) -> bytes:
+        """Tokens of a unit that is not among the words met lately."""
+        found = self.older_words.get(key)
+        if found is None:
+            found = self._unit(key[1:] if key[:1] == "\n" else BLANK + key)
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self.words) >= WORDS:
+                self.older_words, self.words = self.words, {}
+            self.words[key] = found
+        return found
+
+    def _known(self, keys: list[str]) -> list[bytes]:
+        found = list(map(self.words.get, keys))
+        if None in found:
+            found = [self.words.get(k) or self._remembered(k) if f is None else f for k, f in zip(keys, found)]
+        return found
+
+    def _by_units(self, text: str) -> list[bytes]:
+        """The tokens of text whose blanks stand for themselves, in its units."""
+        units = self.units.findall(text) if self.units else [text]
+        return self._known([u[1:] if u[0] == BLANK and u[1:2] not in ("", BLANK, "\n") else "\n" + u for u in units])
+
+    def encode(self, text: str) -> np.ndarray:
+        """Numbers of the tokens, int32."""
         if not text:
-            return out
-        text = text.replace(" ", BLANK)
-        if self.add_prefix:
-            text = BLANK + text
-        memory = self.memory
-        for unit in self.units.findall(text) if self.units else [text]:
-            tokens = memory.get(unit)
-            if tokens is None:
-                tokens = self._unit(unit)
-                if len(unit) <= LONGEST_REMEMBERED:
-                    if len(memory) >= MEMORY:
-                        memory.clear()
-                    memory[unit] = tokens
-            out.extend(tokens)
-        return out
+            return np.zeros(0, np.int32)
+        parts: list[bytes] = []
+        if not self.by_line or BLANK in text:
+            parts = self._by_units(BLANK * self.add_prefix + text.replace(" ", BLANK))
+        else:
+            for number, line in enumerate(text.split("\n")):
+                words = line.split(" ")
+                if number:  # the first word of a later line has no blank before it
+                    parts.append(self.line_feed)
+                    if words[0]:
+                        parts += self._known(["\n" + words[0]])
+                    del words[0]
+                parts += self._by_units(BLANK + BLANK.join(words)) if "" in words else self._known(words)
+        return np.frombuffer(b"".join(parts), np.int32)
 
     def decode(self, ids) -> str:
-        """Text of tokens; bytes that are no UTF-8 become U+FFFD each, ids out of range read as unknown."""
+        """Text of tokens; bytes that are no UTF-8 become U+FFFD each, ids out of range, and null ones in a list (-1), read as unknown."""
         raw = self.raw
-        try:
-            parts = list(map(raw.__getitem__, ids))
-        except (IndexError, TypeError):
-            ids = [i if i is not None and 0 <= i < self.size else self.unknown for i in ids]
-            parts = [raw[i] for i in ids]
+        if any(not 0 <= i < self.size for i in (min(ids, default=0), max(ids, default=0))):
+            ids = [i if 0 <= i < self.size else self.unknown for i in ids]
+        parts = list(map(raw.__getitem__, ids))
         if self.add_prefix:
             for n, token in enumerate(ids):  # one blank before the first text is the prefix
                 if self.kinds[token] != CONTROL:
@@ -254,17 +309,18 @@ class Codec:
 
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
-            encoder, tokens, offsets = _encoder(shared.value), array.array("i"), [0]
-            for text in texts:
-                tokens.extend(encoder.encode(text.as_py() or ""))
-                offsets.append(len(tokens))
-            values = pa.Array.from_buffers(pa.int32(), len(tokens), [None, pa.py_buffer(tokens)])
-            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+            encoder = _encoder(shared.value)
+            found = [encoder.encode(text.as_py() or "") for text in texts]
+            offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
 
         @F.arrow_udf("string")
         def decode(lists: pa.Array) -> pa.Array:
             decoder = _encoder(shared.value)
-            return pa.array([decoder.decode(x.values.to_pylist() if x.is_valid else []) for x in lists], pa.string())
+            flat = lists.flatten()  # null lists have no values
+            ids = flat.fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            return pa.array([decoder.decode(x.tolist()) for x in np.split(ids, ends[:-1])] if len(lists) else [], pa.string())
 
         self._encode, self._decode = encode, decode
 
