@@ -28,7 +28,7 @@ FOLDS, HELD_OUT = 7, 2
 #: weight of the corpus distribution in each state's emissions, in words
 PRIOR = 50.0
 #: sequences that are computed side by side, and steps between stored forward vectors
-LANES, BLOCK = 512, 256
+LANES, BLOCK = 1024, 128
 #: expected counts are added up in whole numbers of this part, so that their order doesn't matter
 PART = 65_536
 #: distinct words a task holds before it hands their counts on
