@@ -14,6 +14,7 @@ import codecs
 import hashlib
 import re
 import struct
+import sys
 from typing import NamedTuple
 
 import numpy as np
@@ -116,6 +117,7 @@ class Encoder:
             self.ids[p]: next((self.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in reachable), None) for p in reachable
         }
         self.by_text = {p: self.ids[p] for p in reachable}
+        self.marks = {c: self.ids[c] for c in ".,;:!?)\"'" if c in reachable}
         self.longest_piece = max(map(len, reachable))
         single = "".join(map(re.escape, (p for p in self.ids if len(p) == 1)))
         self.strange = re.compile(f"([^{single}])")
@@ -227,6 +229,8 @@ class Encoder:
     def _remembered(self, key: str) -> bytes:
         """Tokens of a unit that is not among the words met lately."""
         found = self.older_words.get(key)
+        if found is None:
+            found = self._with_mark(key)
         if found is None:
             found = self._unit(key[1:] if key[:1] == "\n" else BLANK + key)
         if len(key) <= LONGEST_REMEMBERED:
@@ -235,6 +239,14 @@ class Encoder:
             self.words[key] = found
         return found
 
+    def _with_mark(self, key: str) -> bytes | None:
+        """Tokens of a word that is remembered without the mark at its end, if the mark's token may follow them."""
+        mark = self.marks.get(key[-1:])
+        word = self.words.get(key[:-1]) if mark is not None else None
+        if not word or not self.compatible(int.from_bytes(word[-4:], sys.byteorder), mark):
+            return None
+        return word + mark.to_bytes(4, sys.byteorder)
+
     def _known(self, keys: list[str]) -> list[bytes]:
         found = list(map(self.words.get, keys))
         if None in found:
