@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 
+from panelkit.functions.durable import settle
 from panelkit.llm import quality
 from tests.llm.conftest import prose
 
@@ -57,7 +58,7 @@ def test_distances_match_numpy(spark):
     from pyspark.sql import functions as F
 
     measured = quality.statistics(_corpus(spark).filter("lang is not null and source = 's0'")).withColumns(quality._features())
-    table_ = measured.select("doc_id", F.lit("x").alias("stratum"), F.xxhash64("doc_id", *quality.NAMES).alias("draw"), *quality.NAMES)
+    table_ = settle(measured.select("doc_id", F.lit("x").alias("stratum"), F.xxhash64("doc_id", *quality.NAMES).alias("draw"), *quality.NAMES))
     estimate = quality.robust_estimates(table_, min_rows=50)
     own = {r.doc_id: r.d2 for r in quality._distances(table_, estimate).collect()}
     rows = table_.collect()
