@@ -23,8 +23,8 @@ MAX_REPEATED = 50
 #: features are stored as whole numbers of this part of a unit
 GRAIN = 256
 #: each feature with the standard deviation that is added to its spread, so that a feature that is nearly always zero
-#: in clean text may still vary a little
-FEATURES = {"word_length": 0.1, "symbols": 0.35, "repeated_lines": 0.8, "repeated_words": 0.8, "capitals": 0.3, "marks": 0.25}
+#: in clean text may still vary a little; little enough that each feature alone can pass the cutoff of ONE_IN
+FEATURES = {"word_length": 0.1, "symbols": 0.35, "repeated_lines": 0.4, "repeated_words": 0.4, "capitals": 0.3, "marks": 0.25}
 #: share of a stratum that the determinant is minimised over
 SHARE = 0.55
 STARTS = 3

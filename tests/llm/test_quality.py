@@ -53,6 +53,26 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert sorted(map(str, rows)) == sorted(map(str, again))
 
 
+def test_repetition_alone_goes(spark):
+    """Half of the lines copies, or 45 percent of the words repeated, and nothing else out of the ordinary."""
+    rng = np.random.RandomState(8)
+    vocabulary = sorted({"".join(rng.choice(list("abcdefghij"), rng.randint(3, 8))) for _ in range(3000)})
+    rows = []
+    for i in range(300):
+        words = list(rng.choice(vocabulary, 120, replace=False))
+        if i % 20 == 3:
+            words[93:] = words[:27]  # at an odd place, so that no line is the same
+        lines = [" ".join(words[k:k + 2]) for k in range(0, 120, 2)]
+        if i % 20 == 7:
+            lines = lines[:30] + [lines[7 * k % 30] for k in range(30)]  # in another order, so that no window is the same
+        rows.append((i, "\n".join(lines), "en", "s"))
+    judged = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(judged[i].n_dup_lines == 0 and judged[i].n_repeat_words == 54 for i in range(3, 300, 20))
+    assert all(judged[i].n_dup_lines == 30 and judged[i].n_repeat_words == 0 for i in range(7, 300, 20))
+    assert not any(r.base_failed for r in judged.values())
+    assert [i for i, r in sorted(judged.items()) if not r.kept] == sorted([*range(3, 300, 20), *range(7, 300, 20)])
+
+
 def test_distances_match_numpy(spark):
     """Concentration steps, reweighting and distances done again on arrays."""
     from pyspark.sql import functions as F
