@@ -7,6 +7,7 @@ with the identifiers that stand around candidates all over the corpus.
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import pyarrow as pa
@@ -22,11 +23,13 @@ LEAST_ASSIGNED = 6
 
 #: words that make what follows them sensitive
 SENSITIVE_WORDS = (b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"auth", b"bearer", b"signature", b"private")
-#: such a word, a few characters, then the candidate
+#: such words, also those that overlap; a candidate; so many characters and a separator may stand between them
 SENSITIVE = re.compile(
-    r"(?ai)(?:pass(?:word|wd|phrase)?|pwd|secret|token|key|credentials?|auth(?:orization)?|bearer|signature|private)"
-    r"[^\n]{0,24}?[\s:=\"'(,](?P<value>[A-Za-z0-9+/_.=~-]{16,})"
+    r"(?ai)(?=(pass(?:word|wd|phrase)?|pwd|secret|token|key|credentials?|auth(?:orization)?|bearer|signature|private))"
 )
+VALUE = re.compile(r"""(?a)(?<=[\s:="'(,])[A-Za-z0-9+/_.=~-]{16,}""")
+LEAST_VALUE = 16
+REACH = 24
 #: characters of text on either side that a candidate is measured against
 AROUND = 256
 #: share of a candidate's characters that it must add to the compressed text
@@ -53,16 +56,25 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
 
 
 def candidates(text: str, taken: list[tuple]) -> list[tuple[int, int]]:
-    """Spans in a sensitive context, with letters and digits, that meet no base span."""
+    """Spans in a sensitive context that meet no base span, in order.
+
+    Every value with a sensitive word within reach is one, whatever stands between them, so that no value hides a later
+    one. A run of characters gives several values with the same end if it has an equals sign: the whole run, and what
+    follows the sign.
+    """
     small = text.encode("utf-8", "surrogatepass").lower()
     if not any(w in small for w in SENSITIVE_WORDS):
         return []
+    ends = sorted(m.end(1) for m in SENSITIVE.finditer(text))
     found = []
-    for m in SENSITIVE.finditer(text):
-        start, end, value = m.start("value"), m.end("value"), m["value"]
-        mixed = sum(c.isdigit() for c in value) >= 2 and sum(c.isalpha() for c in value) >= 2
-        if mixed and not any(s[0] < end and start < s[1] for s in taken):
-            found.append((start, end))
+    for m in VALUE.finditer(text):
+        end = m.end()
+        starts = [m.start(), *(k + 1 for k in range(m.start(), end - LEAST_VALUE) if text[k] == "=")]
+        for start in starts:
+            k = bisect.bisect_right(ends, start - 1)
+            near = k > 0 and start - 1 - ends[k - 1] <= REACH and "\n" not in text[ends[k - 1]:start - 1]
+            if near and not any(s[0] < end and start < s[1] for s in taken):
+                found.append((start, end))
     return found
 
 
@@ -95,7 +107,11 @@ class Novelty:
 
 def spans_of(text: str, novelty: Novelty) -> list[tuple[int, int, str, int]]:
     base = base_spans(text)
-    new = [(a, b, "novel", a) for a, b in candidates(text, base) if novelty.share(context(text, a, b, base), text[a:b]) >= NOVEL]
+    new = []
+    for a, b in candidates(text, base):
+        # of values with the same end the longest novel one
+        if not (new and new[-1][1] == b) and novelty.share(context(text, a, b, base), text[a:b]) >= NOVEL:
+            new.append((a, b, "novel", a))
     return sorted(base + new, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
@@ -114,7 +130,8 @@ def dictionary(docs: DataFrame) -> bytes:
                     base = base_spans(text)
                     found = candidates(text, base)
                     both = base + [(a, b) for a, b in found]
-                    out += [context(text, a, b, both) for a, b in found]
+                    longest = [v for n, v in enumerate(found) if n == 0 or found[n - 1][1] != v[1]]
+                    out += [context(text, a, b, both) for a, b in longest]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["context"])
 
     around = docs.select("text").mapInArrow(contexts, "context string")

@@ -59,6 +59,21 @@ def test_novel_strings_in_sensitive_context(spark):
     assert secret.encode() not in secrets.dictionary(docs)
 
 
+def test_every_value_in_reach_is_measured(spark):
+    """Values without digits or without letters, and values behind a key name or another word that is a value too."""
+    values = ["qXzwLmTtKvRvBwhJKdPs", "83017465920418375629", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzPLMNOKEY", "q7Xz91LmTt04RvBw82Kd", "Zk3vN8rTq1LwXy6Pb0Hs"]
+    before = ["the bearer ", "auth: ", '{"auth": {"aws_secret_access_key": "', "auth configuration_id ", "auth secret_key_of_service="]
+    texts = [f"some words before\n{b}{v}" + ('"}}' if b[0] == "{" else "\n") for b, v in zip(before, values)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.scan(docs).collect()}
+    for i, (text, value) in enumerate(zip(texts, values)):
+        at = text.index(value)
+        assert any(kind == "novel" and a <= at and b == at + len(value) for kind, a, b in rows[i]), text
+    clean = {r.doc_id: r.text for r in secrets.masked_documents(docs).collect()}
+    assert not any(v in clean[i] for i, v in enumerate(values))
+    assert secrets.candidates("secretoken\nkey\n" + "a" * 16 + " b" * 20 + " " + "c" * 16, []) == [(15, 31)]
+
+
 def test_edges_and_masking(spark, edge, empty):
     assert secrets.scan(empty).count() == 0 and secrets.masked_documents(empty).count() == 0
     rows = secrets.scan(edge).collect()
