@@ -30,7 +30,7 @@ def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents taken as often as the mix of their sources takes them."""
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_texts(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str, model: str | None = None) -> DataFrame:

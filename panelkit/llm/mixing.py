@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit.functions.durable import settle
-from panelkit.llm.text import n_words, words
+from panelkit.llm.text import BLANKS, n_words, words
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -83,26 +83,9 @@ def _number(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
-def mix(
-    docs: DataFrame,
-    weights=WEIGHTS,
-    cap: int = CAP,
-    block_words: int = BLOCK_WORDS,
-    shard_documents: int = SHARD_DOCUMENTS,
-    seed: int = SEED,
-) -> DataFrame:
-    """Per row of docs (doc_id, text, source): doc_id, source, size, source_size, target, taken.
-
-    The target words of all sources are cut into blocks of block_words words, which highest quotients deal to the
-    sources and, within a source, to its shards (about shard_documents documents, by a hash of the id, so that a source
-    with a third of all rows is many shards). A shard's documents stand in an order drawn by the seed; its stream of
-    words, repeated, gives as many consecutive blocks as the shard's quota, beginning at a block drawn by the seed. So
-    documents are taken whole, once or several times, but for the two where a shard's run begins and ends.
-
-    Null and blank texts have size 0 and give 0. A null source is a source of its own; a null id is ordered as the word
-    null. Rows that repeat an id count each; between equal rows it is open which one gets a larger share. No rows give
-    no rows.
-    """
+def _taken(docs: DataFrame, weights, cap: int, block_words: int, shard_documents: int, seed: int) -> DataFrame:
+    """The rows of `mix` with what is taken of each: the whole text _passes times, _overlap words from word _first on
+    (counted from 0), and its first _wrapped words where the run has come to the shard's beginning again."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     sized = settle(docs.select("doc_id", "source", n_words("text").alias("size")))
     per_source = settle(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows")))
@@ -143,8 +126,35 @@ def mix(
         placed.withColumn("_offset", offset)
         .alias("p")
         .join(runs.alias("r"), F.expr("p.source <=> r.source and p._shard = r._shard"))
-        .select("doc_id", "p.source", "size", "source_size", "target",
-                (F.col("_passes") * F.col("size") + overlap + wrapped).cast("long").alias("taken"))
+        .select("doc_id", "p.source", "size", "source_size", "target", "_passes",
+                F.greatest(F.col("_start") - F.col("_offset"), F.lit(0)).cast("long").alias("_first"),
+                overlap.cast("long").alias("_overlap"), wrapped.cast("long").alias("_wrapped"))
+    )
+
+
+def mix(
+    docs: DataFrame,
+    weights=WEIGHTS,
+    cap: int = CAP,
+    block_words: int = BLOCK_WORDS,
+    shard_documents: int = SHARD_DOCUMENTS,
+    seed: int = SEED,
+) -> DataFrame:
+    """Per row of docs (doc_id, text, source): doc_id, source, size, source_size, target, taken.
+
+    The target words of all sources are cut into blocks of block_words words, which highest quotients deal to the
+    sources and, within a source, to its shards (about shard_documents documents, by a hash of the id, so that a source
+    with a third of all rows is many shards). A shard's documents stand in an order drawn by the seed; its stream of
+    words, repeated, gives as many consecutive blocks as the shard's quota, beginning at a block drawn by the seed. So
+    documents are taken whole, once or several times, but for the two where a shard's run begins and ends.
+
+    Null and blank texts have size 0 and give 0. A null source is a source of its own; a null id is ordered as the word
+    null. Rows that repeat an id count each; between equal rows it is open which one gets a larger share. No rows give
+    no rows.
+    """
+    taken = F.col("_passes") * F.col("size") + F.col("_overlap") + F.col("_wrapped")
+    return _taken(docs, weights, cap, block_words, shard_documents, seed).select(
+        "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken")
     )
 
 
@@ -153,7 +163,8 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     part of it is taken. Rows of which nothing is taken go, but for texts without words, of which the mix takes all
     there is. n_chars follows the text.
 
-    Rows that share id, source and size share the smallest share among them.
+    Rows that share id, source and size share the smallest share among them. `mixed_texts` gives each row its own
+    share and the words that were selected.
     """
     plan = (
         mix(docs, **settings).groupBy("doc_id", "source", "size").agg(F.min("taken").alias("_taken"))
@@ -175,3 +186,52 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         .select(F.when(F.col("_copy") > F.col("_whole"), shorter).otherwise(row).alias("row"))
         .select("row.*")
     )
+
+
+def mixed_texts(
+    docs: DataFrame,
+    weights=WEIGHTS,
+    cap: int = CAP,
+    block_words: int = BLOCK_WORDS,
+    shard_documents: int = SHARD_DOCUMENTS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The mix as documents: each row whole as often as it is taken whole, and once for each part that is taken, with
+    the very words that the mix selects and the blanks between them. Rows of which nothing is taken go, but for texts
+    without words, of which the mix takes all there is. n_chars follows the text.
+
+    Rows that share id, source and size are numbered on either side, so that each keeps a share of its own; which one
+    gets which share is settled by the rows' hashes.
+    """
+    plan = _taken(docs, weights, cap, block_words, shard_documents, seed)
+    parts = ["_passes", "_first", "_overlap", "_wrapped"]
+    same = Window.partitionBy("doc_id", "source", "size").orderBy(*parts)
+    plan = plan.withColumn("_number", F.row_number().over(same)).select(
+        *[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size")], "_number", *parts
+    )
+    piece = lambda whole, first, count: F.struct(whole.alias("whole"), first.cast("int").alias("first"), count.cast("int").alias("count"))
+    no, yes, zero = F.lit(False), F.lit(True), F.lit(0)
+    partly = lambda count: (count > 0) & (count < F.col("_size"))
+    overlap, wrapped = F.col("_overlap"), F.col("_wrapped")
+    copies = F.when(F.col("_size") > 0, F.col("_passes") + (overlap == F.col("_size")).cast("int") + (wrapped == F.col("_size")).cast("int")).otherwise(1)
+    pieces = F.concat(
+        F.array_repeat(piece(yes, zero, zero), copies.cast("int")),
+        F.when(partly(overlap), F.array(piece(no, F.col("_first"), overlap))).otherwise(F.array().cast("array<struct<whole:boolean,first:int,count:int>>")),
+        F.when(partly(wrapped), F.array(piece(no, zero, wrapped))).otherwise(F.array().cast("array<struct<whole:boolean,first:int,count:int>>")),
+    )
+    # each word with the blanks before it
+    spaced = F.regexp_extract_all("row.text", F.lit(f"([{BLANKS}]*[^{BLANKS}]+)"), F.lit(1))
+    cut = F.ltrim(F.array_join(F.slice(spaced, F.col("_piece.first") + 1, F.col("_piece.count")), ""), F.lit(BLANKS))
+    row = F.col("row")
+    shorter = row.withField("text", cut)
+    if "n_chars" in docs.columns:
+        shorter = shorter.withField("n_chars", F.length(cut).cast(docs.schema["n_chars"].dataType))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), n_words("text").alias("_n"), F.xxhash64(*docs.columns).alias("_hash"))
+    alike = Window.partitionBy("row.doc_id", "row.source", "_n").orderBy("_hash")
+    return (
+        rows.withColumn("_k", F.row_number().over(alike))
+        .join(plan, F.expr("row.doc_id <=> _doc_id and row.source <=> _source and _n = _size and _k = _number"))
+        .withColumn("_piece", F.explode(pieces))
+        .select(F.when(F.col("_piece.whole"), row).otherwise(shorter).alias("row"))
+        .select("row.*")
+    )

@@ -73,3 +73,27 @@ def test_mixed_documents_have_the_words_taken(spark, sf):
         words[r.doc_id] += len(r.text.split())
         assert r.text == whole[r.doc_id] or whole[r.doc_id].split()[: len(r.text.split())] == r.text.split()
     assert {i: n for i, n in words.items() if n} == {i: t for i, (t, _) in taken.items() if t}
+
+
+def test_mixed_texts_are_the_words_selected(spark):
+    """Against the repeated stream of words of a single shard; two rows share an id and a size."""
+    rows = [(min(i, 11), "\n ".join(f"d{i}w{k}" + (" \t" if k % 3 else "") for k in range(10 + 7 * min(i, 11))) + "\n", f"s{min(i, 11) % 2}") for i in range(13)]
+    rows.append((99, " \n", "s0"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    settings = {"block_words": 4, "shard_documents": 100}
+    plan = mixing.mix(docs, **settings).collect()
+    mixed = [r.text for r in mixing.mixed_texts(docs, **settings).collect()]
+    assert " \n" in mixed and sum(len(t.split()) for t in mixed) == sum(r.taken for r in plan)
+    texts = {t.split()[0]: t for _, t, _ in rows if t.split()}
+    parts = [t for t in mixed if t.strip() and t not in texts.values()]
+    assert parts and all(any(t in whole for whole in texts.values()) for t in parts)  # as they stand there, blanks too
+    assert any(t.split()[0] not in texts for t in parts)  # the run starts within a document
+    counts = defaultdict(int)
+    for t in mixed:
+        for w in t.split():
+            counts[w] += 1
+    for source in ("s0", "s1"):
+        # a run of the stream: counts of neighbouring words differ at its start and its end only
+        own = [t.split() for _, t, s in rows if s == source and t.split()]
+        changes = sum(counts[a] != counts[b] for ws in own for a, b in zip(ws, ws[1:]))
+        assert changes <= 2
