@@ -150,6 +150,8 @@ class WarcWriter(DataSourceArrowWriter):
 def _listed(fs, folder: str):
     from pyarrow.fs import FileSelector, FileType
 
+    if fs.get_file_info(folder).type == FileType.File:
+        return []
     return [f for f in fs.get_file_info(FileSelector(folder, allow_not_found=True)) if f.type == FileType.File]
 
 
@@ -198,7 +200,9 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: Stretch):
+    def read(self, partition: Stretch | None):
+        if partition is None:  # what Spark asks for where no partition was planned
+            return
         fs, _ = _filesystem(self.path)
         types = {"payload_bytes": pa.int64(), "payload": pa.binary()}
         schema = pa.schema([(c, types.get(c, pa.string())) for c in self.columns])
@@ -230,8 +234,9 @@ def _head(lines: list[bytes]) -> dict:
     if head["payload_digest"]:
         head["payload_digest"] = head["payload_digest"].split(":", 1)[-1]
     size = head["payload_bytes"]
-    head["payload_bytes"] = int(size) if size and size.isdigit() else None
-    head["_length"] = int(fields.get("content-length") or 0)
+    head["payload_bytes"] = int(size) if size and size.isascii() and size.isdigit() and len(size) < 19 else None
+    length = fields.get("content-length") or ""
+    head["_length"] = int(length) if length.isascii() and length.isdigit() else 0
     head["_http"] = (fields.get("content-type") or "").startswith("application/http")
     return head
 

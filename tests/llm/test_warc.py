@@ -94,3 +94,23 @@ def test_empty(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.page_records(pages).write.format("warc").mode("append").save(str(tmp_path / "e"))
     assert spark.read.format("warc").load(str(tmp_path / "e")).count() == 0
+
+
+def test_no_archive_and_single_files(spark, archive, tmp_path):
+    warc.register(spark)
+    (tmp_path / "none").mkdir()
+    assert spark.read.format("warc").load(str(tmp_path / "none")).count() == 0
+    name = tmp_path / "one.warc.gz"
+    name.write_bytes(b"".join(warc.member(warc.record({"record_type": "resource", "payload": str(i)}, "2020")) for i in range(3)))
+    rows = spark.read.format("warc").load(str(name)).collect()
+    assert sorted(bytes(r.payload) for r in rows) == [b"0", b"1", b"2"]
+
+
+@pytest.mark.parametrize("length", ["abc", "-5", "", "1e3", "\u0663"])
+def test_records_of_malformed_length_have_no_payload(length, spark, tmp_path):
+    record = f"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: {length}\r\n\r\nbody\r\n\r\n"
+    after = "WARC/1.0\r\nWARC-Type: metadata\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    (tmp_path / "x.warc").write_bytes((record + after).encode())
+    warc.register(spark)
+    rows = spark.read.format("warc").load(str(tmp_path)).collect()
+    assert [(r.record_type, bytes(r.payload)) for r in rows] == [("resource", b""), ("metadata", b"ok")]
