@@ -2,6 +2,22 @@
 
 from panelkit.llm import licenses as scans
 
+def crc32(text: str) -> str:
+    """SQL for the CRC-32 of a text in UTF-8, by the contribution of each bit of the byte shifted out."""
+
+    def step(c: int) -> int:
+        return (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+
+    shifted = "c >> 8"
+    for bit in range(8):
+        part = 1 << bit
+        for _ in range(8):
+            part = step(part)
+        shifted = f"xor({shifted}, {part} * ((xor(c, b) >> {bit}) & 1))"
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {shifted}), 4294967295)"
+
+
 ARCHIVE = r"""
 WITH known AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha1(coalesce(html, '')) AS digest FROM pages
@@ -99,6 +115,20 @@ WITH usable AS (
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+SHARDS = f"""
+WITH sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size, {crc32("coalesce(text, '')")} AS text_crc32
+  FROM documents
+), placed AS (
+  SELECT *, ((sum(size) OVER before - size) * 16 // sum(size) OVER ())::INT AS shard
+  FROM sized WINDOW before AS (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       (row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1)::BIGINT AS slot,
+       NULL::INT AS grown_shard
+FROM placed
+"""
+
 
 def licenses() -> str:
     """Words and grams as rows, joined on their text; spans are merged and covered as in the scan."""

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions.durable import settle, shared_folder
-from panelkit.llm import hidden, licenses, mixing, oracles, ordered, pieces, quality, rollups, secrets, vafile, warc
+from panelkit.llm import hidden, licenses, mixing, oracles, ordered, pieces, quality, rollups, secrets, sharding, vafile, warc
 from panelkit.llm.text import table
 
 
@@ -104,6 +104,11 @@ def op10_vafile(spark: SparkSession, folder: str) -> DataFrame:
     return vafile.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op13_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's shard of sixteen and its place there."""
+    return sharding.assignment(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_hidden": op2_hidden,
@@ -115,6 +120,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_ordered": op9_ordered,
     "op10_vafile": op10_vafile,
+    "op13_histogram": op13_histogram,
 }
 ORACLES = {
     "op1_warc": oracles.ARCHIVE,
@@ -122,4 +128,5 @@ ORACLES = {
     "op7_rollups": oracles.ROLLUPS,
     "op8_licenses": oracles.licenses(),
     "op10_vafile": oracles.NEAREST,
+    "op13_histogram": oracles.SHARDS,
 }
