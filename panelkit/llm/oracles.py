@@ -129,6 +129,74 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM placed
 """
 
+#: every state's moves by one row or insertion, written out: system, then user and assistant in turn
+STRUCTURE = f"""
+WITH RECURSIVE ids AS (
+  SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS c FROM (SELECT DISTINCT conv_id FROM conversations)
+), drawn AS (
+  SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32("coalesce(v.conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS draw
+  FROM conversations v JOIN ids ON v.conv_id IS NOT DISTINCT FROM ids.conv_id
+), damaged AS (
+  SELECT c, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+         CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN draw = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM drawn WHERE draw <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha1(text)) AS n, left(role, 1) AS initial,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare
+  FROM damaged
+), faults AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY n) > 1 THEN 'duplicate'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         n > 1 AND lag(initial) OVER (PARTITION BY c ORDER BY n) || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM placed
+), moves(state, role, following) AS (
+  VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), inserts(state, following, cost, edits) AS (
+  VALUES (0, 0, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 1, 0, ''), (1, 2, 2, 'I'), (1, 3, 4, 'II'),
+         (2, 2, 0, ''), (2, 3, 2, 'I'), (3, 3, 0, ''), (3, 2, 2, 'I')
+), options AS (
+  SELECT c, n, state, following, CASE WHEN initial = moves.role THEN 0 ELSE 2 END + (fault = 'truncated')::INT AS cost,
+         CASE WHEN initial = moves.role THEN 'K' ELSE 'R' END AS edit
+  FROM faults, moves WHERE fault NOT IN ('blank', 'duplicate') AND (initial = moves.role OR moves.role <> 's')
+  UNION ALL
+  SELECT c, n, state, state, 3, 'D' FROM faults, (VALUES (0), (1), (2), (3)) AS s(state)
+), walked(c, n, state, best) AS (
+  SELECT c, 0::BIGINT, 0, {{'cost': 0, 'audit': ''}} FROM ids
+  UNION ALL
+  SELECT w.c, w.n + 1, o.following, min({{'cost': w.best.cost + i.cost + o.cost, 'audit': w.best.audit || i.edits || o.edit}})
+  FROM walked w JOIN inserts i ON i.state = w.state JOIN options o ON o.c = w.c AND o.n = w.n + 1 AND o.state = i.following
+  GROUP BY w.c, w.n, o.following
+), ended AS (
+  SELECT w.c, min({{'cost': w.best.cost + i.cost, 'audit': w.best.audit || i.edits}}) AS best
+  FROM walked w JOIN (SELECT c, count(n) AS rows FROM ids LEFT JOIN faults USING (c) GROUP BY c) r ON r.c = w.c AND r.rows = w.n
+  JOIN inserts i ON i.state = w.state AND i.following IN (0, 3) GROUP BY w.c
+), edits AS (
+  SELECT c, place, audit[place] AS edit, length(replace(left(audit, place), 'I', '')) AS n,
+         length(replace(left(audit, place), 'D', '')) AS out
+  FROM (SELECT c, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS place FROM ended)
+), lines AS (
+  SELECT e.c, out, CASE WHEN edit = 'K' THEN f.role WHEN (out - coalesce(led.system, 0)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+         || ':' || CASE WHEN edit = 'I' THEN '' ELSE f.text END AS line
+  FROM edits e LEFT JOIN faults f ON f.c = e.c AND f.n = e.n
+  LEFT JOIN (SELECT e.c, 1 AS system FROM edits e JOIN faults f ON f.c = e.c AND f.n = e.n
+             WHERE out = 1 AND edit = 'K' AND initial = 's') led ON led.c = e.c
+  WHERE edit <> 'D'
+), texts AS (
+  SELECT c, string_agg(line, chr(10) ORDER BY out) AS text FROM lines GROUP BY c
+), counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (illegal) AS illegal
+  FROM faults GROUP BY c
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost::BIGINT AS cost, best.audit AS audit,
+       sha256(coalesce(t.text, '')) AS repaired_sha256
+FROM ids JOIN ended USING (c) LEFT JOIN counts USING (c) LEFT JOIN texts t USING (c)
+"""
+
 
 def licenses() -> str:
     """Words and grams as rows, joined on their text; spans are merged and covered as in the scan."""

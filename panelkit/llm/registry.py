@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions.durable import settle, shared_folder
-from panelkit.llm import hidden, licenses, mixing, oracles, ordered, pieces, quality, rollups, secrets, sharding, vafile, warc
+from panelkit.llm import hidden, licenses, mixing, oracles, ordered, pieces, quality, rollups, secrets, sharding, structure, vafile, warc
 from panelkit.llm.text import table
 
 
@@ -104,6 +104,12 @@ def op10_vafile(spark: SparkSession, folder: str) -> DataFrame:
     return vafile.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_structure(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation's faults after damage, its cheapest edits and the digest of what they leave."""
+    rows = table(spark, folder, "conversations")
+    return structure.report(structure.damaged(rows), rows)
+
+
 def op13_histogram(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's shard of sixteen and its place there."""
     return sharding.assignment(table(spark, folder, "documents"))
@@ -120,6 +126,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_ordered": op9_ordered,
     "op10_vafile": op10_vafile,
+    "op12_structure": op12_structure,
     "op13_histogram": op13_histogram,
 }
 ORACLES = {
@@ -128,5 +135,6 @@ ORACLES = {
     "op7_rollups": oracles.ROLLUPS,
     "op8_licenses": oracles.licenses(),
     "op10_vafile": oracles.NEAREST,
+    "op12_structure": oracles.STRUCTURE,
     "op13_histogram": oracles.SHARDS,
 }
