@@ -129,6 +129,34 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM placed
 """
 
+LEXICAL = r"""
+WITH doc_terms AS (
+  SELECT d, doc_id, unnest(list_filter(string_split_regex(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+  FROM (SELECT *, row_number() OVER () AS d FROM documents)
+), item_terms AS (
+  SELECT DISTINCT i, item_id, unnest(list_filter(string_split_regex(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+  FROM (SELECT *, row_number() OVER () AS i FROM benchmark)
+), frequencies AS (
+  SELECT d, doc_id, term, count(*) AS tf, sum(count(*)) OVER (PARTITION BY d)::BIGINT AS n FROM doc_terms GROUP BY d, doc_id, term
+), corpus AS (
+  SELECT count(DISTINCT d) AS docs, count(*) AS total FROM doc_terms
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * (SELECT docs FROM corpus) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM frequencies GROUP BY term
+), scored AS (
+  SELECT i, item_id, d, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM item_terms JOIN frequencies USING (term) JOIN weights USING (term), corpus GROUP BY i, item_id, d, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 #: every state's moves by one row or insertion, written out: system, then user and assistant in turn
 STRUCTURE = f"""
 WITH RECURSIVE ids AS (

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions.durable import settle, shared_folder
-from panelkit.llm import hidden, licenses, mixing, oracles, ordered, pieces, quality, rollups, secrets, sharding, structure, vafile, warc
+from panelkit.llm import hidden, lexical, licenses, mixing, oracles, ordered, pieces, quality, rollups, secrets, sharding, structure, vafile, warc
 from panelkit.llm.text import table
 
 
@@ -104,6 +104,11 @@ def op10_vafile(spark: SparkSession, folder: str) -> DataFrame:
     return vafile.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_dense(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every item of the benchmark."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_structure(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation's faults after damage, its cheapest edits and the digest of what they leave."""
     rows = table(spark, folder, "conversations")
@@ -126,6 +131,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_ordered": op9_ordered,
     "op10_vafile": op10_vafile,
+    "op11_dense": op11_dense,
     "op12_structure": op12_structure,
     "op13_histogram": op13_histogram,
 }
@@ -135,6 +141,7 @@ ORACLES = {
     "op7_rollups": oracles.ROLLUPS,
     "op8_licenses": oracles.licenses(),
     "op10_vafile": oracles.NEAREST,
+    "op11_dense": oracles.LEXICAL,
     "op12_structure": oracles.STRUCTURE,
     "op13_histogram": oracles.SHARDS,
 }
