@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.columns import LEAVES_IN_2
 from panelkit.functions.durable import settle
-from panelkit.functions.running import running
+from panelkit.functions.running import Down, at_ranks, down, running
 
 # Gain of contacting a customer who would leave, and cost of any other contact.
 HIT = 78
@@ -36,8 +36,28 @@ def gain_curve(
 ) -> DataFrame:
     """Rows by descending score with their rank, gain and running gain. Equal scores go by key."""
     scored = df.select(*group, *keys, label, score, row_gain(label, positive, hit, cost).alias("gain"))
-    order = [F.col(score).desc(), *[F.col(k) for k in keys]]
-    return running(scored, order, group, {"gain_acum": F.col("gain").cast("bigint")})
+    return running(scored, _best_first(score, keys), group, {"gain_acum": F.col("gain").cast("bigint")})
+
+
+def _best_first(score: str, keys: Sequence[str]) -> list[Column | Down]:
+    return [down(score), *[F.col(k) for k in keys]]
+
+
+def gain_points(
+    df: DataFrame,
+    cutoffs: Sequence[int],
+    score: str = "score",
+    label: str = "label",
+    keys: Sequence[str] = ("id", "ym"),
+    group: Sequence[str] = (),
+    positive: object = LEAVES_IN_2,
+    hit: int = HIT,
+    cost: int = COST,
+) -> DataFrame:
+    """Running gain at the given numbers of contacts, straight from the scored rows: only those near a cutoff are sorted."""
+    scored = df.select(*group, *keys, score, row_gain(label, positive, hit, cost).alias("gain"))
+    found = at_ranks(scored, _best_first(score, keys), cutoffs, group, {"total": F.col("gain").cast("bigint")}, "cutoff")
+    return found.select(*group, "cutoff", "total")
 
 
 def _peaks(curve: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -117,8 +137,7 @@ def mark_first(
     df: DataFrame, n: int, score: str = "score", keys: Sequence[str] = ("id", "ym"), group: Sequence[str] = ()
 ) -> DataFrame:
     """Flag the n rows with the highest score."""
-    order = [F.col(score).desc(), *[F.col(k) for k in keys]]
-    return running(df, order, group).withColumn("predicted", (F.col("rank") <= n).cast("int"))
+    return running(df, _best_first(score, keys), group).withColumn("predicted", (F.col("rank") <= n).cast("int"))
 
 
 def consensus_submission(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.columns import LEAVES_IN_1, LEAVES_IN_2, hash_bits, hash_normal, hash_uniform, ordered
 from panelkit.functions.durable import settle
+from panelkit.functions.running import at_ranks
 
 SLICES = 65536
 
@@ -19,8 +20,8 @@ def undersample_exact(
     """All positives and exactly int(negatives * share) negatives; rows without target are dropped.
 
     Negatives are taken in the order of a hash of their key. Instead of sorting them all,
-    a count per slice of the hash range finds the slice holding the last one to keep, and
-    only that slice is ordered. The sample itself is then one filter over the input.
+    a count per slice of the hash range finds the slice holding the last one to keep, and counts per bucket of that
+    slice the bucket to be ordered. The sample itself is then one filter over the input.
     """
     bits = hash_bits(seed, *keys)
     negatives = df.filter(F.col(target) == 0).select(*keys, bits.alias("_bits"))
@@ -39,8 +40,7 @@ def undersample_exact(
     if edge is None:
         return df.filter(F.col(target) == 1)
     in_edge = negatives.filter(slice_ == edge["_slice"])
-    order = [F.col("_bits"), *[F.col(k) for k in keys]]
-    last = in_edge.orderBy(*order).limit(edge["_take"]).orderBy(*[c.desc() for c in order]).first()
+    last = at_ranks(in_edge, [F.col("_bits"), *[F.col(k) for k in keys]], [edge["_take"]]).first()
     if last is None:
         return df.filter((F.col(target) == 1) | ((F.col(target) == 0) & (slice_of(bits) < edge["_slice"])))
     here = F.struct(bits.alias("_bits"), *keys)

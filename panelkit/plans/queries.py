@@ -386,7 +386,7 @@ def gain_peak(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gain_cutoffs(spark: SparkSession, sf: str) -> DataFrame:
-    return gain.gain_at(_curve(spark, sf), CUTOFFS, ["replicate"])
+    return gain.gain_points(_scored(spark, sf), CUTOFFS, keys=KEY, group=["replicate"])
 
 
 def gain_best_cutoff(spark: SparkSession, sf: str) -> DataFrame:
