@@ -7,7 +7,8 @@ enough for its partial sums to stay below 2^53, so the product is exact in any o
 64-bit integers. Each meeting passes on an item's ten best documents, ties by doc_id, and a window over those rows
 leaves the ten best of all.
 
-Texts are read once. Blocks are broadcast only if their measured size allows it, else blocks and tiles meet by a shuffle.
+Texts are read once. The items' words are told to the tasks that read them, and blocks are broadcast, only if their
+measured size allows it; else tiles keep all of their words, and blocks and tiles meet by a shuffle.
 """
 
 from __future__ import annotations
@@ -41,9 +42,10 @@ def terms(text: str | None) -> list[bytes]:
     return text.encode().translate(TERMS).split() if text else []
 
 
-def _tiles(docs: DataFrame, tile_docs: int, tile_bytes: int) -> DataFrame:
+def _tiles(docs: DataFrame, tile_docs: int, tile_bytes: int, vocabulary=None) -> DataFrame:
     """Tiles of the documents that have a term, as they come: ids (null: not known), n (terms with repeats), words (the
-    tile's own, df of each) and entries by document: lengths, word numbers, counts."""
+    tile's own, df of each) and entries by document: lengths, word numbers, counts. Of a vocabulary (a broadcast set) only
+    its words are kept."""
 
     def pack(batches):
         ids, n, lengths, words, counts = [], [], [], [], []
@@ -52,7 +54,7 @@ def _tiles(docs: DataFrame, tile_docs: int, tile_bytes: int) -> DataFrame:
 
         def tile():
             number = np.concatenate(words)
-            body = [np.array(lengths, np.int32), number.astype(np.int32), np.concatenate(counts).astype(np.int64)]
+            body = [np.array(lengths, np.int32), number.astype(np.int32), np.concatenate(counts).astype(np.int32)]
             df = np.bincount(number, minlength=len(known))
             return pa.RecordBatch.from_arrays(
                 [pa.array([ids], pa.list_(pa.int64())), pa.array([np.array(n, np.int64).tobytes()]),
@@ -67,6 +69,8 @@ def _tiles(docs: DataFrame, tile_docs: int, tile_bytes: int) -> DataFrame:
                     continue
                 ids.append(doc)
                 n.append(sum(found.values()))
+                if vocabulary is not None:
+                    found = {w: found[w] for w in found.keys() & vocabulary.value}
                 lengths.append(len(found))
                 words.append(np.fromiter((known.setdefault(w, len(known)) for w in found), np.int64, len(found)))
                 counts.append(np.fromiter(found.values(), np.int64, len(found)))
@@ -143,7 +147,7 @@ def _meet(block, tile, total_docs: int, total_terms: int, k: int, slice_: int, c
     lengths = np.frombuffer(tile["lengths"], np.int32)
     number = of_tile[np.frombuffer(tile["numbers"], np.int32)]
     doc = np.repeat(np.arange(len(n)), lengths)[number >= 0]
-    tf, number = np.frombuffer(tile["counts"], np.int64)[number >= 0], number[number >= 0]
+    tf, number = np.frombuffer(tile["counts"], np.int32)[number >= 0].astype(np.int64), number[number >= 0]
     m = 100 - 90 + (90 * n * total_docs) // total_terms
     impact = (GAIN * tf) // (SCALE * tf + 8 * m[doc])
     largest = max(1, int(weight[ours].max(initial=0))) * (GAIN // SCALE)
@@ -181,17 +185,22 @@ def search(
 
     Rows that repeat an id are documents, or items, of their own; null ids come last among equal scores. Null texts and
     texts without a term take no part, nor do scores of 0. No documents or no items give no rows. Other columns are
-    left aside. `broadcast_bytes` is the largest measured size of the blocks to be broadcast (default: the session's
-    threshold).
+    left aside. `broadcast_bytes` is the largest measured size of words and of blocks to be broadcast (default: the
+    session's threshold).
     """
     spark = docs.sparkSession
-    tiles = settle(_tiles(docs, tile_docs, tile_bytes).withColumn("tile", F.monotonically_increasing_id()))
-    total = tiles.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms"), F.count("*").alias("tiles")).first()
-    result = "item long, item_id long, doc_id long, score long"
+    if broadcast_bytes is None:
+        broadcast_bytes = int(re.match(r"-?\d+", spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))[0])
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     split = F.filter(F.split(lower, "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"), lambda t: t != "")
     numbered = settle(items.select(F.monotonically_increasing_id().alias("item"), "item_id", F.array_distinct(split).alias("terms")))
-    wanted = numbered.select(F.explode("terms").alias("term")).distinct()
+    wanted = settle(numbered.select(F.explode("terms").alias("term")).distinct())
+    vocabulary = None
+    if wanted.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0] <= broadcast_bytes:
+        vocabulary = spark.sparkContext.broadcast(frozenset(r.term.encode() for r in wanted.collect()))
+    tiles = settle(_tiles(docs, tile_docs, tile_bytes, vocabulary).withColumn("tile", F.monotonically_increasing_id()))
+    total = tiles.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms"), F.count("*").alias("tiles")).first()
+    result = "item long, item_id long, doc_id long, score long"
     # a tile counts its documents per word, so that the most frequent word is one row per tile
     counted = tiles.select(F.explode(F.arrays_zip("words", "df")).alias("e")).groupBy(F.col("e.words").alias("term")).agg(F.sum("e.df").alias("df"))
     ratio = F.lit(2 * (total["docs"] or 0) + 2).cast("double") / (2 * F.col("df") + 1).cast("double")
@@ -204,8 +213,6 @@ def search(
     ).first()
     if not size["n"] or not total["docs"]:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    if broadcast_bytes is None:
-        broadcast_bytes = int(re.match(r"-?\d+", spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))[0])
     # every tile meets every block once, by the block's number
     blocks = settle(blocks.select("*", (F.row_number().over(Window.orderBy(F.col("rows")[0])) - 1).alias("_b")))
     pairs = tiles.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(size["n"] - 1))))
@@ -221,7 +228,8 @@ def search(
 
     def meet(batches):
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for at in range(len(batch)):  # one meeting at a time in memory
+                row = [c[at].as_py() for c in batch.columns]
                 block, tile = dict(zip(names[:n_block], row)), dict(zip(names[n_block:], row[n_block:]))
                 found = list(_meet(block, tile, total["docs"], total["terms"], k, slice_, columns))
                 if found:
