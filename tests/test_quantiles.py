@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from panelkit.functions import quantiles
 from panelkit.functions.quantiles import exact_quantiles
 
 PROBS = [0.0, 0.1, 0.5, 0.95, 1.0]
@@ -81,3 +82,28 @@ def test_not_a_number_is_ignored(spark):
 def test_unknown_method(spark):
     with pytest.raises(ValueError):
         exact_quantiles(_frame(spark, _rows(10)), ["a"], [0.5], method="x")
+
+
+def test_rows_meet_one_array_per_group_and_column(spark):
+    """Values are looked up in an array; no row is joined with later periods, with probabilities or by an inequality."""
+    df = _frame(spark, _rows(300))
+    wanted = quantiles._brackets(quantiles._merge_earlier(quantiles._sketches(df, ["a", "b"], ["g", "ym"]), ["g"], "ym"),
+                                 ["g", "ym", "column"], [0.2, 0.5, 0.8], "cont", 0.01)
+    cuts = quantiles.settle(quantiles._cuts(wanted, ["g", "column"]))
+    assert cuts.count() == 6
+    tally = quantiles._tally(df, ["a", "b"], cuts, ["g", "ym"], ["g", "column"])
+    plan = tally._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert tally.agg({"rows": "sum"}).first()[0] == sum(r[2] is not None for r in _rows(300)) + sum(r[3] is not None for r in _rows(300))
+
+
+def test_interval_search(spark):
+    from pyspark.sql import functions as F
+
+    cuts = [1.0, 2.0, 4.0, 8.0, 16.0]
+    values = [0.0, 1.0, 1.5, 2.0, 3.0, 4.0, 7.9, 8.0, 15.0, 16.0, 17.0]
+    for n in range(len(cuts) + 1):
+        df = spark.createDataFrame([(v, cuts[:n]) for v in values], "v double, cuts array<double>")
+        for r in df.withColumn("at", quantiles._interval(F.col("v"), F.col("cuts"))).collect():
+            below = sum(c < r.v for c in cuts[:n])
+            assert r["at"] == 2 * below + (r.v in cuts[:n])
