@@ -13,7 +13,6 @@ measured size allows it; else tiles keep all of their words, and blocks and tile
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from panelkit.functions.durable import settle
 
 #: documents and bytes of a tile, items and terms of a block; a longer text fills a tile or a block of its own
-TILE_DOCS, TILE_BYTES = 2048, 4 << 20
+TILE_DOCS, TILE_BYTES = 1024, 2 << 20
 BLOCK_ITEMS, BLOCK_TERMS = 256, 65_536
 #: terms of a slice at most, and documents multiplied at once
 SLICE, COLUMNS = 4096, 512
@@ -190,7 +189,7 @@ def search(
     """
     spark = docs.sparkSession
     if broadcast_bytes is None:
-        broadcast_bytes = int(re.match(r"-?\d+", spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))[0])
+        broadcast_bytes = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     split = F.filter(F.split(lower, "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"), lambda t: t != "")
     numbered = settle(items.select(F.monotonically_increasing_id().alias("item"), "item_id", F.array_distinct(split).alias("terms")))
