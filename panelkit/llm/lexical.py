@@ -195,7 +195,7 @@ def search(
     numbered = settle(items.select(F.monotonically_increasing_id().alias("item"), "item_id", F.array_distinct(split).alias("terms")))
     wanted = settle(numbered.select(F.explode("terms").alias("term")).distinct())
     vocabulary = None
-    if wanted.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0] <= broadcast_bytes:
+    if wanted.agg(F.coalesce(F.sum(F.octet_length("term") + 8), F.lit(0))).first()[0] <= broadcast_bytes:
         vocabulary = spark.sparkContext.broadcast(frozenset(r.term.encode() for r in wanted.collect()))
     tiles = settle(_tiles(docs, tile_docs, tile_bytes, vocabulary).withColumn("tile", F.monotonically_increasing_id()))
     total = tiles.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms"), F.count("*").alias("tiles")).first()
