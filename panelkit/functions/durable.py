@@ -26,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-def _own_folder(spark: SparkSession) -> str:
+def application_folder(spark: SparkSession) -> str:
     """The application's folder of tables, removed when it ends."""
     sc = spark.sparkContext
     folder = f"{shared_folder(spark)}/panelkit-tables/{sc.applicationId}"
@@ -47,8 +47,8 @@ def settle(df: DataFrame, by: str | None = None) -> DataFrame:
     in one folder, which goes when the application ends.
     """
     spark = df.sparkSession
-    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
-    # the folder is new and read only after the job, so files may be moved into place by the tasks
-    writer = df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    path = f"{application_folder(spark)}/{uuid.uuid4().hex}"
+    # files are moved into place when the job is committed: what a lost attempt left behind isn't read
+    writer = df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "1")
     (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -7,8 +7,9 @@ and a flag per feature says so. Scores differ by design from those of other lear
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -17,8 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions.columns import total
-from panelkit.functions.durable import settle, shared_folder
+from panelkit.functions.durable import application_folder, settle, shared_folder
 from panelkit.operators import gain, search
+from panelkit.operators import trees as tree_tables
 from panelkit.operators.sampling import undersample_exact
 from panelkit.sources import trials as trial_log
 
@@ -99,9 +101,28 @@ class Ensemble:
 
     prepared: Prepared
     models: dict[int, GBTClassificationModel] = field(default_factory=dict)
-
-    def score(self, df: DataFrame, name: str = "score") -> DataFrame:
-        """Add the mean probability over the seeds. One pass over the rows, no shuffle."""
+    store: tree_tables.Store | None = None
+    key: str = "nodes"
+
+    def stored(self) -> tree_tables.Store:
+        """Where the models are written: the store that they were fitted into, else a folder of the application."""
+        if self.store is None:
+            spark = SparkSession.active()
+            self.store = tree_tables.Store(spark, f"{application_folder(spark)}/models-{uuid.uuid4().hex}")
+        return self.store
+
+    def nodes(self) -> DataFrame:
+        return tree_tables.node_table(self.models, self.stored(), self.key)
+
+    def split_importances(self) -> DataFrame:
+        """Shares of gain, cover and frequency per seed and feature."""
+        return tree_tables.split_importances(self.nodes(), self.prepared.entries)
+
+    def score(self, df: DataFrame, name: str = "score", trees: dict[int, int] | None = None) -> DataFrame:
+        """Add the mean probability over the seeds, of all trees or of the first `trees[seed]`. One pass, no shuffle."""
+        if trees is not None:
+            stages = tree_tables.staged(self, df, self.stored(), self.key, "_stages", trees)
+            return stages.select(*df.columns, F.element_at("_stages", -1).alias(name))
         rows = self.prepared.vectors(df)
         parts = []
         for seed, model in self.models.items():
@@ -149,15 +170,40 @@ def training_rows(
 
 
 def fit_ensemble(
-    train: DataFrame, features: Sequence[str], seeds: Sequence[int], params: TreeParams, target: str = "target"
+    train: DataFrame,
+    features: Sequence[str],
+    seeds: Sequence[int],
+    params: TreeParams,
+    target: str = "target",
+    store: str | None = None,
+    parallelism: int = 1,
 ) -> Ensemble:
-    """One model per seed on the same rows; the trees of each are grown across the executors."""
-    shared_folder(train.sparkSession)
+    """One model per seed on the same rows; the trees of each are grown across the executors.
+
+    With `store`, a folder, every model is written there as soon as it is fitted, and one that is there for the same
+    settings and rows is read instead: a study that was cut short goes on where it stopped. Up to `parallelism` models
+    are fitted side by side; the result does not depend on it.
+    """
+    spark = train.sparkSession
+    shared_folder(spark)
     prepared = Prepared.fit(train, features)
+    kept, key = None, "nodes"
+    if store is not None:
+        kept = tree_tables.Store(spark, store)
+        key = tree_tables.fingerprint(train, [*features, target], asdict(params))
     vectors = prepared.vectors(train).select(VECTOR, F.col(target).cast("double").alias(target)).persist()
-    models = {seed: params.learner(seed, target).fit(vectors) for seed in seeds}
+
+    def fit(seed: int) -> GBTClassificationModel:
+        if kept is not None and kept.fitted(key, seed):
+            return kept.read(key, seed)
+        model = params.learner(seed, target).fit(vectors)
+        if kept is not None:
+            kept.write(key, seed, model)
+        return model
+
+    models = dict(zip(seeds, tree_tables.side_by_side(fit, list(seeds), parallelism), strict=True))
     vectors.unpersist()
-    return Ensemble(prepared, models)
+    return Ensemble(prepared, models, kept, key)
 
 
 def score_periods(
