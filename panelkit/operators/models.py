@@ -217,10 +217,12 @@ def score_periods(
     target: str = "target",
     id: str = "id",
     period: str = "ym",
+    store: str | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Fit a seed ensemble on some periods and score others: all columns plus `score`."""
     train = training_rows(df, train_periods, share, seeds[0], target, id, period)
-    ensemble = fit_ensemble(train, features, seeds, params, target)
+    ensemble = fit_ensemble(train, features, seeds, params, target, store, parallelism)
     return ensemble.score(df.filter(F.col(period).isin([int(p) for p in score_periods])))
 
 
@@ -238,13 +240,15 @@ def overfit_importance(
     target: str = "target",
     id: str = "id",
     period: str = "ym",
+    store: str | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Importance per seed and feature of models fitted to exhaustion.
 
     The importance of a feature's missing flag counts for the feature.
     """
     train = training_rows(df, periods, share, seeds[0], target, id, period)
-    entries = fit_ensemble(train, features, seeds, params, target).importances()
+    entries = fit_ensemble(train, features, seeds, params, target, store, parallelism).importances()
     base = F.regexp_replace("feature", "_missing$", "")
     return entries.groupBy("seed", base.alias("feature")).agg(F.sum("importance").alias("importance"))
 
@@ -302,21 +306,26 @@ def rolling_scores(
     id: str = "id",
     period: str = "ym",
     name: str = "score_rolling",
+    store: str | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Score every period by an ensemble trained on the periods before it, leaving out the `gap` last.
 
-    Periods without a usable past keep their rows with a null score.
+    Periods without a usable past keep their rows with a null score. Up to `parallelism` periods are fitted side by side.
     """
-    done: list[int] = []
-    parts: list[DataFrame] = []
-    for scored, train_periods in search.schedule_lists(search.rolling_schedule(df, period, context, gap)):
-        train = training_rows(df, train_periods, share, seeds[0], target, id, period)
+
+    def fitted(turn: tuple[int, list[int]]) -> Ensemble | None:
+        train = training_rows(df, turn[1], share, seeds[0], target, id, period)
         classes = train.agg(F.min(target), F.max(target)).first()
         if classes[0] is None or classes[0] == classes[1]:
-            continue
-        ensemble = fit_ensemble(train, features, seeds, params, target)
-        parts.append(ensemble.score(df.filter(F.col(period) == scored), name))
-        done.append(scored)
+            return None
+        return fit_ensemble(train, features, seeds, params, target, store)
+
+    turns = search.schedule_lists(search.rolling_schedule(df, period, context, gap))
+    ensembles = tree_tables.side_by_side(fitted, turns, parallelism)
+    usable = [(scored, e) for (scored, _), e in zip(turns, ensembles, strict=True) if e is not None]
+    done = [scored for scored, _ in usable]
+    parts = [e.score(df.filter(F.col(period) == scored), name) for scored, e in usable]
     rest = df.filter(~F.col(period).isin(done)) if done else df
     out = rest.withColumn(name, F.lit(None).cast("double"))
     for part in parts:
@@ -334,6 +343,21 @@ def params_from_trial(decoded: dict) -> TreeParams:
     )
 
 
+def best_trees(
+    ensemble: Ensemble, valid: DataFrame, target: str = "target", keys: Sequence[str] = ("id", "ym"),
+    half_window: int = 500, patience: int | None = 50,
+) -> dict[int, int]:
+    """For every seed the number of its model's trees that give the highest gain on the rows."""
+    store = ensemble.stored()
+    return {
+        seed: tree_tables.chosen_trees(
+            tree_tables.gains_by_trees(Ensemble(ensemble.prepared, {seed: model}), valid, store, ensemble.key, target, keys, half_window=half_window),
+            patience,
+        )
+        for seed, model in ensemble.models.items()
+    }
+
+
 def tune_by_gain(
     df: DataFrame,
     features: Sequence[str],
@@ -349,9 +373,14 @@ def tune_by_gain(
     target: str = "target",
     id: str = "id",
     period: str = "ym",
+    patience: int | None = 50,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Random search for the parameters with the highest peak gain in the validation periods.
 
+    Each model is scored by as many of its trees as give the highest gain, looked for until `patience` trees bring none
+    higher (None: by all of its trees). Up to `parallelism` trials run side by side.
+
     `ranges` narrows the search; what is logged is what was fitted. Trials whose leaves can't all be filled are logged
     as rejected without a fit.
     Every trial is appended to the table at `log`; trials already there are not repeated,
@@ -362,19 +391,25 @@ def tune_by_gain(
     draws = [{"trial_number": i, **d} for i, d in enumerate(search.draw_trials(trials, search_seed)) if i not in done]
     if draws:
         valid = settle(df.filter(F.col(period).isin([int(p) for p in valid_periods])))
-        for draw in draws:
+        keys = [id, period]
+
+        def tried(draw: dict) -> tuple[int, dict, float]:
             number = draw["trial_number"]
             train = training_rows(df, train_periods, share, seeds[0] + number, target, id, period)
             rows, unit = train.count(), spark.createDataFrame([draw])
             suggested = search.suggest(unit, rows, ranges).drop("trial_number").first().asDict()
             decoded = search.decode_trials(unit, rows, ranges).first().asDict()
             if decoded["rejected"]:
-                value = search.REJECTED
-            else:
-                scored = fit_ensemble(train, features, seeds, params_from_trial(decoded), target).score(valid)
-                curve = gain.gain_curve(scored, "score", target, [id, period], positive=1)
-                value = gain.peak_gain(curve, half_window=half_window).first()["value"]
-            trial_log.append_trial(
-                spark, log, number, suggested, value, seeds=seeds, train_periods=train_periods, valid_periods=valid_periods
-            )
+                return number, suggested, search.REJECTED
+            ensemble = fit_ensemble(train, features, seeds, params_from_trial(decoded), target)
+            counts = None if patience is None else best_trees(ensemble, valid, target, keys, half_window, patience)
+            curve = gain.gain_curve(ensemble.score(valid, trees=counts), "score", target, keys, positive=1)
+            return number, suggested, gain.peak_gain(curve, half_window=half_window).first()["value"]
+
+        for at in range(0, len(draws), max(1, parallelism)):
+            # the log is written by one at a time
+            for number, suggested, value in tree_tables.side_by_side(tried, draws[at:at + max(1, parallelism)], parallelism):
+                trial_log.append_trial(
+                    spark, log, number, suggested, value, seeds=seeds, train_periods=train_periods, valid_periods=valid_periods
+                )
     return trial_log.read_trials(spark, log)
