@@ -104,13 +104,13 @@ NEAREST = r"""
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q, row_number() OVER () AS r
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  WHERE embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT a.r, a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
   FROM usable a JOIN usable b ON a.r <> b.r WHERE a.vec_id % 20 = 0
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored
 )
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """

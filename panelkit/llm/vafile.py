@@ -17,20 +17,20 @@ SCALE = 64
 #: cells per dimension, chosen to hold about equally many vectors; a cell number is one byte
 CELLS = 64
 VECTOR_BLOCK, QUERY_BLOCK, QUERY_SLICE = 16_384, 1024, 256
-#: vectors with a squared length from here on are left out: a score might not fit a long
-TOO_LONG = float(2**62)
+#: scaled components are whole numbers up to this size, larger ones are cut to it; scores are cut to the range of a long
+LARGEST = 10**18
+#: scores of vectors whose lengths multiply to less fit a long at every step; others are added up as decimals
+FITS = float(2**62)
 
 
 def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id and q, the vector in whole numbers, floor(scale * x); without vectors that are null or have null or
-    non-finite components, or no id, or too great a length."""
+    non-finite components."""
     x = F.col("embedding").cast("array<double>")
-    fine = F.col("vec_id").isNotNull() & x.isNotNull() & F.coalesce(
-        F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False)
-    )
-    floors = F.transform(x, lambda v: F.floor(v * scale))
-    length = F.aggregate(floors, F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
-    return vectors.filter(fine).filter(length < TOO_LONG).select("vec_id", floors.alias("q"))
+    fine = x.isNotNull() & F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))
+    most = F.lit(float(LARGEST))
+    floors = F.transform(x, lambda v: F.floor(F.greatest(-most, F.least(most, v * scale))))
+    return vectors.filter(fine).select("vec_id", floors.alias("q"))
 
 
 def _grid(vectors: DataFrame, width: int) -> list[tuple[int, int, list[int]]]:
@@ -111,7 +111,13 @@ def _bounded(grid, width: int, k: int):
 
 
 def _score() -> Column:
-    return F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
+    """The exact inner product, as a decimal."""
+    length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    wide = lambda x: x.cast("decimal(19,0)")
+    whole = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
+    far = F.aggregate(
+        F.zip_with("a", "b", lambda x, y: wide(x) * wide(y)), F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + x).cast("decimal(38,0)"))
+    return F.when(length("a") * length("b") < FITS, whole.cast("decimal(38,0)")).otherwise(far)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE) -> DataFrame:
@@ -119,7 +125,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE
 
     Vectors are rows of vec_id and embedding; ties go to the smaller vec_id, and fewer rows than k give all. Shorter
     vectors count as filled up with zeros. Rows that repeat an id are rows of their own, as queries and as results.
-    No usable vector or query gives no rows. Null and non-finite vectors take no part (see scaled).
+    No usable vector or query gives no rows. Null and non-finite vectors take no part (see scaled); a row without an id is
+    no query, but may be found, after others of the same score. Components and scores beyond LARGEST and a long are cut.
     """
     spark = vectors.sparkSession
     usable = scaled(vectors, scale)
@@ -152,11 +159,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE
         bounds.join(floor, "query").filter("upper >= floor").select("query", "row", "upper", F.row_number().over(in_order).alias("place"))
     )
     read, done, size = None, 0, 2 * k
-    ranked = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
+    ranked = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")
     while True:
         turn = open_.filter((F.col("place") > done) & (F.col("place") <= done + size))
         if read is not None:
-            certain = read.groupBy("query").agg(F.when(F.count("*") == k, F.min("score")).alias("kth"))
+            certain = read.groupBy("query").agg(F.when(F.count("*") == k, F.min("score").cast("double")).alias("kth"))
             waiting = settle(open_.filter(F.col("place") > done).join(certain, "query", "left").filter("kth is null or upper >= kth"))
             if waiting.isEmpty():
                 break
@@ -171,4 +178,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE
         read = settle(both.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k))
         done, size = done + size, 2 * size
     ids = exact.filter(is_query).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
-    return read.join(ids, "query").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return read.join(ids, "query").select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id",
+        F.greatest(F.lit(-(2**63)).cast("decimal(38,0)"), F.least(F.lit(2**63 - 1).cast("decimal(38,0)"), F.col("score"))).cast("long").alias("score"))

@@ -12,20 +12,20 @@ SCHEMA = "vec_id long, embedding array<float>"
 def _brute(rows, k):
     usable = []
     for n, (i, v) in enumerate(rows):
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+        if v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
         usable.append((n, i, [math.floor(64 * float(np.float32(x))) for x in v]))
     out = []
     for n, i, q in usable:
-        if i % 20 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q, v)), j, m) for m, j, v in usable if m != n)[:k]
-            out += [(i, rank, j, -s) for rank, (s, j, _) in enumerate(scored, 1)]
-    return sorted(out)
+        if i is not None and i % 20 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j is None, j or 0, m) for m, j, v in usable if m != n)[:k]
+            out += [(i, rank, None if none else j, max(-(2**63), min(2**63 - 1, -s))) for rank, (s, none, j, _) in enumerate(scored, 1)]
+    return sorted(out, key=str)
 
 
 def _search(spark, rows, k=20):
     df = spark.createDataFrame(rows, SCHEMA).withColumn("row", F.lit("x")).withColumn("q", F.lit(0)).repartition(3)
-    return sorted(map(tuple, vafile.search(df, F.col("vec_id") % 20 == 0, k).collect()))
+    return sorted(map(tuple, vafile.search(df, F.col("vec_id") % 20 == 0, k).collect()), key=str)
 
 
 @pytest.mark.parametrize("cells,blocks", [(64, (16_384, 1024, 256)), (4, (50, 7, 3)), (2, (1000, 1000, 2))])
@@ -47,3 +47,13 @@ def test_few_and_none(spark):
     assert _search(spark, rows) == _brute(rows, 20) and len(_brute(rows, 20)) == 4
     assert _search(spark, [(0, [1.0])]) == [] and _search(spark, [(1, [1.0]), (2, [2.0])]) == []
     assert vafile.search(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_long_vectors_and_rows_without_id(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e9, 1.0]), (2, [-1e9, 3.0]), (20, [1e9, -1e9]), (None, [1e9, 1.0]), (40, [2.0**40, 2.0**41]), (3, [2.0**40, 2.0**41])]
+    rows += [(60, [2.0**30 + 1, 7.0]), (4, [2.0**31, -(2.0**32)])]
+    assert _search(spark, rows, 4) == _brute(rows, 4)
+    assert any(r[2] is None for r in _search(spark, rows, 20))
+    far = [(0, [1e30, 1.0]), (1, [1e30, -5.0]), (2, [-1e30, 0.0]), (3, [0.5, 0.5])]
+    found = _search(spark, far)
+    assert [r[2] for r in sorted(found, key=lambda r: r[1])] == [1, 3, 2] and found[0][3] == 2**63 - 1
