@@ -2,14 +2,17 @@
 
 Built-in functions only. Every k-gram of words of every document is joined by its hash to the positions of the
 templates. Hits of one template vote for the diagonal (document position less template position); neighbouring
-diagonals, shifted by inserted or left out words, are merged, and a merged span counts if it covers enough of its
-template.
+diagonals, shifted by inserted or left out words, are merged. The k-grams of a merged span that covers enough of its
+template by their hashes are then compared word by word with the text, and the span counts if it still does.
+
+Templates are a table of positions: Spark broadcasts it where it is small, and joins by a shuffle where it is not.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from panelkit.functions.durable import settle
 from panelkit.llm.text import ascii_lower
 
 #: fixed values: the phrases that are searched for and their labels
@@ -54,8 +57,6 @@ PHRASE_GRAM, PASSAGE_GRAM = 2, 5
 DRIFT = 8
 #: share of a passage's k-grams that a span must have
 COVERAGE = 0.5
-#: templates are broadcast; together they may have no more words
-MOST_TEMPLATE_WORDS = 20_000
 
 OTHER = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -71,13 +72,12 @@ def _grams(hashes: Column, n: Column, k: int) -> Column:
     return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), one)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _templates(spark, phrases, passages) -> DataFrame:
-    """hash, k, template, position, needed, grams, label; one more row, with k 0, is met once by every document."""
+def _templates(spark, phrases, passages) -> tuple[DataFrame, DataFrame]:
+    """hash, k, template, position, needed, grams, label; one more row, with k 0, is met once by every document. And the
+    words of each template."""
     rows = [(i, k, share, drift, label, text)
             for i, (k, share, drift, (text, label)) in enumerate(
                 [(PHRASE_GRAM, 1.0, 0, x) for x in phrases] + [(PASSAGE_GRAM, COVERAGE, DRIFT, x) for x in passages])]
-    if sum(len(r[5].split()) for r in rows) > MOST_TEMPLATE_WORDS:
-        raise ValueError(f"templates of over {MOST_TEMPLATE_WORDS} words are not broadcast")
     listed = spark.createDataFrame(rows, "template int, k int, needed double, drift int, label string, text string")
     hashed = listed.withColumn("h", F.transform(scan_words(), lambda w: F.xxhash64(w))).withColumn("n", F.size("h"))
     grams = F.when(F.col("k") == PHRASE_GRAM, _grams(F.col("h"), F.col("n"), PHRASE_GRAM)).otherwise(
@@ -86,16 +86,16 @@ def _templates(spark, phrases, passages) -> DataFrame:
     found = hashed.withColumn("g", grams).select("template", "k", "needed", "drift", "label", F.size("g").alias("grams"),
                                                  F.posexplode("g").alias("position", "hash"))
     mark = spark.sql("select -1 template, 0 k, 2D needed, 0 drift, '' label, 1 grams, 0 position, 0L hash")
-    return found.unionByName(mark)
+    return settle(found.unionByName(mark)), settle(listed.select("template", scan_words().alias("words")))
 
 
 def scan(docs: DataFrame, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
-    """Per distinct row of docs (doc_id, text): doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
+    """Per row of docs (doc_id, text): doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     n_base counts the places of phrases, first_word and last_word are the smallest and largest start among them.
     labels are those of phrases and of passages of which a span covers COVERAGE or more; score is the best coverage
-    among what counts, 0 without any. Null and blank texts have no words. Rows that repeat both id and text are one
-    row; a null id is kept. A document of any length is one row of hashes, its hits are rows of their own.
+    among what counts, 0 without any. Null and blank texts have no words. Rows that repeat both id and text are scanned
+    once and given back as often as they come; a null id is kept. A document of any length is one row of hashes, its hits are rows of their own.
     """
     hashed = (
         docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"), scan_words().alias("_w"))
@@ -115,21 +115,26 @@ def scan(docs: DataFrame, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
         .otherwise(F.col("_at") >= long_from)
     )
     place = F.when(F.col("k") == PASSAGE_GRAM, F.col("_at") - long_from).otherwise(F.col("_at") - F.signum("k").cast("int"))
+    positions, template_words = _templates(docs.sparkSession, phrases, passages)
     hits = (
-        exploded.join(F.broadcast(_templates(docs.sparkSession, phrases, passages)), "hash").filter(fits)
+        exploded.join(positions, "hash").filter(fits)
         .withColumn("diagonal", place - F.col("position"))
     )
     document, template = ("doc_id", "_text", "n_words"), ("template", "k", "needed", "drift", "label", "grams")
-    votes = hits.groupBy(*document, *template, "diagonal").agg(F.collect_set("position").alias("met"))
+    votes = hits.groupBy(*document, *template, "diagonal").agg(F.collect_set("position").alias("met"), F.count("*").alias("_rows"))
     along = Window.partitionBy("doc_id", "_text", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > F.col("drift"), F.lit(True))
-    spans = (
+    places = F.struct("diagonal", "met")
+    merged = settle(
         votes.withColumn("_new", apart.cast("int"))
         .withColumn("_span", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(*document, *template, "_span")
-        .agg(F.min("diagonal").alias("start"),
+        .agg(F.min("diagonal").alias("start"), F.max("_rows").alias("_rows"), F.collect_list(places).alias("places"),
              (F.size(F.array_distinct(F.flatten(F.collect_list("met")))) / F.first("grams")).alias("covered"))
+        .filter("k = 0 or covered >= needed")
     )
+    spans = _verified(docs, merged.filter("k > 0"), template_words).unionByName(
+        merged.filter("k = 0").select(*document, "k", "needed", "label", "start", "_rows", "covered"))
     good = F.col("covered") >= F.col("needed")
     base = good & (F.col("k") == PHRASE_GRAM)
     names = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(c, F.col("label")))), ",")
@@ -139,5 +144,28 @@ def scan(docs: DataFrame, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
         F.max(F.when(base, F.col("start"))).cast("long").alias("last_word"),
         names(base).alias("base_labels"), names(good).alias("labels"),
         F.coalesce(F.max(F.when(good, F.col("covered"))), F.lit(0.0)).alias("score"),
-    ).select("doc_id", F.col("n_words").cast("long").alias("n_words"), "n_base", "first_word", "last_word",
-             "base_labels", "labels", "score")
+        # a row votes once for the mark
+        F.max(F.when(F.col("k") == 0, F.col("_rows"))).cast("int").alias("_copies"),
+    ).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"), "n_base", "first_word", "last_word",
+        "base_labels", "labels", "score")
+
+
+def _verified(docs: DataFrame, spans: DataFrame, template_words: DataFrame) -> DataFrame:
+    """The spans with the share of their template whose words stand in the text at the places voted for; only texts with a
+    span are split again."""
+    found = spans.select("doc_id", "_text").distinct()
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d._text") == F.col("f._text"))
+    named = docs.select("doc_id", "text", key.alias("_text")).alias("d").join(found.alias("f"), same, "left_semi")
+    # one of the rows that repeat id and text
+    texts = named.groupBy("doc_id", "_text").agg(F.first("text").alias("text")).select("doc_id", "_text", scan_words().alias("_w"))
+    same = F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("s._text") == F.col("t._text"))
+    met = spans.alias("s").join(texts.alias("t"), same).join(template_words.alias("m"), F.col("s.template") == F.col("m.template"))
+
+    def equal(diagonal: Column, at: Column) -> Column:
+        return F.slice(F.col("t._w"), diagonal + at + 1, F.col("s.k")) == F.slice(F.col("m.words"), at + 1, F.col("s.k"))
+
+    true = F.flatten(F.transform("s.places", lambda p: F.filter(p["met"], lambda at: equal(p["diagonal"], at))))
+    return met.select("s.doc_id", "s._text", "s.n_words", "s.k", "s.needed", "s.label", "s.start", "s._rows",
+                      (F.size(F.array_distinct(true)) / F.col("s.grams")).alias("covered"))

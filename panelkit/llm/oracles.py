@@ -242,9 +242,9 @@ WITH templates AS (
   SELECT template, k, needed, drift, label, len(w) - k + 1 AS grams, i AS position, array_to_string(w[i + 1:i + k], ' ') AS gram
   FROM (SELECT *, unnest(range(0, len(w) - k + 1)) AS i FROM templates)
 ), texts AS (
-  SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents
+  SELECT doc_id, coalesce(text, '') AS text, count(*) AS copies FROM documents GROUP BY ALL
 ), split_texts AS (
-  SELECT doc_id, text, {split} AS w FROM texts
+  SELECT doc_id, text, copies, {split} AS w FROM texts
 ), doc_grams AS (
   SELECT doc_id, text, 2 AS k, i AS place, w[i + 1] || ' ' || w[i + 2] AS gram
   FROM (SELECT doc_id, text, w, unnest(range(0, len(w) - 1)) AS i FROM split_texts)
@@ -272,5 +272,6 @@ WITH templates AS (
 SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word,
        last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
        coalesce(score, 0)::DOUBLE AS score
-FROM split_texts s LEFT JOIN found f ON f.doc_id IS NOT DISTINCT FROM s.doc_id AND f.text = s.text
+FROM (SELECT *, unnest(range(copies)) AS copy FROM split_texts) s
+LEFT JOIN found f ON f.doc_id IS NOT DISTINCT FROM s.doc_id AND f.text = s.text
 """
