@@ -11,8 +11,8 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -253,7 +253,39 @@ def overfit_importance(
     return entries.groupBy("seed", base.alias("feature")).agg(F.sum("importance").alias("importance"))
 
 
-def forest_leaf_features(
+@dataclass
+class Forest:
+    """A random forest whose leaves serve as features; a tree's leaves are numbered from 0, in preorder."""
+
+    prepared: Prepared
+    model: RandomForestClassificationModel
+
+    @property
+    def names(self) -> list[str]:
+        """rf_<tree>_<leaf> for every leaf, trees one after the other: what each entry of the leaf vector stands for."""
+        # a binary tree with n nodes has (n + 1) / 2 leaves
+        return [f"rf_{t:03d}_{k:03d}" for t, tree in enumerate(self.model.trees) for k in range((tree.numNodes + 1) // 2)]
+
+    def _leaves(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.prepared.vectors(df)).withColumn("_leaf", vector_to_array("_leaf"))
+
+    def columns(self, df: DataFrame) -> DataFrame:
+        """Add a 0/1 column per leaf."""
+
+        def flag(name: str) -> Column:
+            _, tree, leaf = name.split("_")
+            return (F.col("_leaf")[int(tree)] == int(leaf)).cast("int").alias(name)
+
+        return self._leaves(df).select(*df.columns, *[flag(n) for n in self.names])
+
+    def vector(self, df: DataFrame, name: str = "leaves") -> DataFrame:
+        """Add one sparse vector with a one for the leaf of each tree, at the tree's offset plus the leaf's number."""
+        tokens = F.transform("_leaf", lambda leaf, tree: F.format_string("rf_%03d_%03d", tree, leaf.cast("int")))
+        counter = CountVectorizerModel.from_vocabulary(self.names, "_tokens", name, binary=True)
+        return counter.transform(self._leaves(df).withColumn("_tokens", tokens)).select(*df.columns, name)
+
+
+def fit_forest(
     df: DataFrame,
     features: Sequence[str],
     periods: Sequence[int],
@@ -264,12 +296,12 @@ def forest_leaf_features(
     seed: int = 1,
     target: str = "target",
     period: str = "ym",
-) -> DataFrame:
-    """Add a 0/1 column per tree and leaf of a forest fitted on some periods: rf_<tree>_<leaf>."""
+) -> Forest:
+    """A forest on the labelled rows of some periods."""
     shared_folder(df.sparkSession)
     train = settle(df.filter(F.col(period).isin([int(p) for p in periods]) & F.col(target).isNotNull()))
     prepared = Prepared.fit(train, features)
-    forest = RandomForestClassifier(
+    learner = RandomForestClassifier(
         featuresCol=VECTOR,
         labelCol=target,
         leafCol="_leaf",
@@ -283,15 +315,18 @@ def forest_leaf_features(
         subsamplingRate=1.0 - 1.0 / math.e,
         maxBins=32,
         seed=seed,
-    ).fit(prepared.vectors(train).withColumn(target, F.col(target).cast("double")))
-    leaf = forest.transform(prepared.vectors(df)).withColumn("_leaf", vector_to_array("_leaf"))
+    )
+    return Forest(prepared, learner.fit(prepared.vectors(train).withColumn(target, F.col(target).cast("double"))))
+
+
+def forest_leaf_features(df: DataFrame, features: Sequence[str], periods: Sequence[int], *args, **settings) -> DataFrame:
+    """Add a 0/1 column per tree and leaf of a forest fitted on some periods (see fit_forest): rf_<tree>_<leaf>."""
+    return fit_forest(df, features, periods, *args, **settings).columns(df)
 
-    def flag(tree: int, node: int) -> Column:
-        return (F.col("_leaf")[tree] == node).cast("int").alias(f"rf_{tree:03d}_{node:03d}")
 
-    # a binary tree with n nodes has (n + 1) / 2 leaves, numbered from 0
-    flags = [flag(t, k) for t, tree in enumerate(forest.trees) for k in range((tree.numNodes + 1) // 2)]
-    return leaf.select(*df.columns, *flags)
+def forest_leaf_vector(df: DataFrame, features: Sequence[str], periods: Sequence[int], *args, **settings) -> DataFrame:
+    """Add the leaves of a forest fitted on some periods (see fit_forest) as one sparse vector, `leaves`."""
+    return fit_forest(df, features, periods, *args, **settings).vector(df)
 
 
 def rolling_scores(

@@ -245,7 +245,7 @@ decoded AS (
   FROM (VALUES {draws}) AS d(trial_number, it, md, lv)
 )
 SELECT CAST(trial_number AS INTEGER) AS trial_number, 'COMPLETE' AS state, num_iterations, num_leaves,
-       CAST(min_data * num_leaves > rows AS INTEGER) AS rejected, true AS possible
+       CAST(min_data * num_leaves > rows AS INTEGER) AS rejected
 FROM decoded, n"""
 
 
@@ -599,8 +599,8 @@ WITH RECURSIVE {CLUSTERS}
 SELECT cluster, CAST(CASE WHEN y < -2 THEN 0 WHEN y >= 2 THEN 17 ELSE floor((y + 2.0) / 4.0 * 16) + 1 END AS INTEGER) AS bin,
        count(*) AS n
 FROM clusters GROUP BY 1, 2""",
-    "future_scores": f"WITH {USER_DAY} SELECT id, true AS probability FROM user_day WHERE period = 29",
-    "rolling_oof": f"""
+    "future_customers": f"WITH {USER_DAY} SELECT id FROM user_day WHERE period = 29",
+    "rolling_scored": f"""
 WITH {LABELLED},
 weekly AS (SELECT id, period, label, CAST(period // 7 AS INTEGER) AS week FROM labelled),
 places AS (SELECT week, row_number() OVER (ORDER BY week) AS pos FROM (SELECT DISTINCT week FROM weekly)),
@@ -608,8 +608,8 @@ usable AS (
   SELECT a.week FROM places a JOIN places b ON b.pos BETWEEN a.pos - 5 AND a.pos - 2 JOIN weekly w ON w.week = b.week
   WHERE w.label IS NOT NULL GROUP BY 1 HAVING count(DISTINCT w.label = 'CONTINUA') = 2
 )
-SELECT id, period, label, week IN (SELECT week FROM usable) AS scored, true AS probability FROM weekly""",
-    "tuned_gain": _tuned_gain(),
+SELECT id, period, label, week IN (SELECT week FROM usable) AS scored FROM weekly""",
+    "tuned_trials": _tuned_gain(),
     "trial_log": f"""
 WITH {_TRIALS}
 SELECT CAST(trial_number AS INTEGER) AS trial_number, value, CAST(nation AS DOUBLE) AS nation, 'COMPLETE' AS state,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from panelkit.functions.columns import (
 from panelkit.functions.durable import settle, shared_folder
 from panelkit.functions.running import running
 from panelkit.operators import (
-    clusters, gain, history, labels, models, repair, sampling, scale, search, selection, snapshot,
+    clusters, gain, history, labels, models, repair, sampling, scale, search, selection, snapshot, trees,
 )
 from panelkit.plans.panels import (
     customer_month, customer_points, dead_month, hash_scores, last_day, last_month, supplier_month, table, user_day,
@@ -36,6 +37,10 @@ SEEDS = (11, 23, 37, 51, 67)
 SHORT = {"num_iterations_exp": (0.0, 4.0), "min_data_exp": (0.0, 3.0), "num_leaves_exp": (1.0, 4.0)}
 TRIALS = 4
 FAST = models.TreeParams(iterations=5, rate=0.3, leaves=8, rows_per_leaf=20)
+ROLLING = models.TreeParams(iterations=2, rate=0.3, leaves=4, rows_per_leaf=20)
+DEEP = models.TreeParams(iterations=5, leaves=128, rows_per_leaf=1)
+#: models fitted at the same time
+SIDE_BY_SIDE = 5
 
 
 def _round_all(df: DataFrame, digits: dict[str, int]) -> DataFrame:
@@ -628,53 +633,105 @@ def leaf_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def overfit_importance(spark: SparkSession, sf: str) -> DataFrame:
     rows = sampling.add_canaries(_features(spark, sf), n=5, keys=KEY)
-    deep = models.TreeParams(iterations=5, leaves=128, rows_per_leaf=1)
-    found = models.overfit_importance(rows, _feature_names(rows), TRAIN_DAYS, SEEDS[:2], 0.5, deep, period="period")
+    found = models.overfit_importance(
+        rows, _feature_names(rows), TRAIN_DAYS, SEEDS, 0.5, DEEP, period="period", parallelism=SIDE_BY_SIDE)
     return selection.mean_importance(found)
 
 
 def seed_ensemble(spark: SparkSession, sf: str) -> DataFrame:
     rows = _features(spark, sf)
     scored = models.score_periods(
-        rows, _feature_names(rows), TRAIN_DAYS, [24, 25, 26], SEEDS, FAST, 0.5, period="period"
+        rows, _feature_names(rows), TRAIN_DAYS, [24, 25, 26], SEEDS, FAST, 0.5, period="period", parallelism=SIDE_BY_SIDE
     )
     return gain.gain_curve(scored, keys=KEY)
 
 
-def rolling_oof(spark: SparkSession, sf: str) -> DataFrame:
+def leaf_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The leaves of every row as positions in one sparse vector."""
+    rows = _features(spark, sf)
+    found = models.forest_leaf_vector(rows, _feature_names(rows), TRAIN_DAYS, period="period")
+    ones = F.expr("filter(sequence(0, size(_dense) - 1), i -> _dense[i] = 1)")
+    return found.withColumn("_dense", vector_to_array("leaves")).select(*KEY, F.size("_dense").alias("size"), ones.alias("positions"))
+
+
+def _rolling(spark: SparkSession, sf: str) -> DataFrame:
     rows = _features(spark, sf)
-    quick = models.TreeParams(iterations=2, rate=0.3, leaves=4, rows_per_leaf=20)
     # weeks instead of days, so that a period has enough rows to train on
     weekly = settle(rows.withColumn("week", F.expr("cast(period div 7 as int)")), by="week")
-    scored = models.rolling_scores(weekly, _feature_names(rows), SEEDS[:1], quick, target="target", period="week")
-    score = F.col("score_rolling")
-    return scored.select(*KEY, "label", score.isNotNull().alias("scored"), F.coalesce(score.between(0.0, 1.0), F.lit(True)).alias("probability"))
+    return models.rolling_scores(weekly, _feature_names(rows), SEEDS, ROLLING, target="target", period="week", parallelism=SIDE_BY_SIDE)
 
 
-def tuned_gain(spark: SparkSession, sf: str) -> DataFrame:
+def rolling_oof(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row with its score by models of the weeks before."""
+    return _rolling(spark, sf).select(*KEY, "label", "score_rolling")
+
+
+def rolling_scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Which rows have a score by models of the weeks before."""
+    return _rolling(spark, sf).select(*KEY, "label", F.col("score_rolling").isNotNull().alias("scored"))
+
+
+def _tuned(spark: SparkSession, sf: str) -> DataFrame:
     rows = _features(spark, sf)
     log = models.tune_by_gain(
         rows, _feature_names(rows), TRAIN_DAYS, [24], SEEDS[:1], TRIALS, _scratch(spark, "search"),
-        share=0.5, ranges=SHORT, half_window=50, period="period",
+        share=0.5, ranges=SHORT, half_window=50, period="period", parallelism=SIDE_BY_SIDE,
     )
-    n = rows.filter("period = 24").count()
-    possible = F.col("value").between(-20000.0 * n, 780000.0 * n)
     p = F.col("params")
     return log.select(
         "trial_number", "state", F.rint(F.pow(F.lit(2.0), p["num_iterations_exp"])).cast("bigint").alias("num_iterations"),
         F.rint(F.pow(F.lit(2.0), p["num_leaves_exp"])).cast("bigint").alias("num_leaves"),
-        (F.col("value") == search.REJECTED).cast("int").alias("rejected"), (possible | (F.col("value") == search.REJECTED)).alias("possible"),
+        (F.col("value") == search.REJECTED).cast("int").alias("rejected"), F.col("value").alias("gain"),
     )
 
 
-def future_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Scores of a period that is not known yet, written as CSV and read back."""
+def tuned_gain(spark: SparkSession, sf: str) -> DataFrame:
+    """The trials of a search with the gain of each."""
+    return _tuned(spark, sf)
+
+
+def tuned_trials(spark: SparkSession, sf: str) -> DataFrame:
+    """The trials of a search, and which were rejected."""
+    return _tuned(spark, sf).drop("gain")
+
+
+def _future(spark: SparkSession, sf: str) -> DataFrame:
     rows = _features(spark, sf)
-    scored = models.score_periods(rows, _feature_names(rows), TRAIN_DAYS, [29], SEEDS[:1], FAST, 0.5, period="period")
+    scored = models.score_periods(
+        rows, _feature_names(rows), TRAIN_DAYS, [29], SEEDS, FAST, 0.5, period="period", parallelism=SIDE_BY_SIDE)
     path = _scratch(spark, "future")
     reports.write_scores(scored, path)
-    back = reports.read_table(spark, path, "id bigint, score double")
-    return back.select("id", F.col("score").between(0.0, 1.0).alias("probability"))
+    return reports.read_table(spark, path, "id bigint, score double")
+
+
+def future_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of a period that is not known yet, written as CSV and read back."""
+    return _future(spark, sf)
+
+
+def future_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Who is scored in a period that is not known yet."""
+    return _future(spark, sf).select("id")
+
+
+def _ensemble(spark: SparkSession, sf: str) -> tuple[models.Ensemble, DataFrame]:
+    rows = _features(spark, sf)
+    train = models.training_rows(rows, TRAIN_DAYS, 0.5, SEEDS[0], period="period")
+    return models.fit_ensemble(train, _feature_names(rows), SEEDS, FAST, parallelism=SIDE_BY_SIDE), rows
+
+
+def gains_by_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """The validation day's gain after every tree of an ensemble, and which number of trees is chosen."""
+    ensemble, rows = _ensemble(spark, sf)
+    found = trees.gains_by_trees(ensemble, rows.filter("period = 24"), ensemble.stored(), ensemble.key, keys=KEY, half_window=50)
+    gains = settle(found)
+    return gains.withColumn("chosen", (F.col("iteration") == trees.chosen_trees(gains)).cast("int"))
+
+
+def model_importances(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean shares of gain, cover and splits of every feature over the models of an ensemble."""
+    ensemble, _ = _ensemble(spark, sf)
+    return selection.importance_detail(ensemble.split_importances())
 
 
 def shuffled_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -690,7 +747,7 @@ def shuffled_rows(spark: SparkSession, sf: str) -> DataFrame:
 def _setup(**changes: object) -> study.Setup:
     usual = dict(
         train=TRAIN_DAYS, valid=[23], test=[25, 26], future=[29], seeds=SEEDS[:4], share=0.5, period="period",
-        yyyymm=False, drop=["not_there"], params=FAST, half_window=50,
+        yyyymm=False, drop=["not_there"], params=FAST, half_window=50, parallelism=SIDE_BY_SIDE,
     )
     return study.Setup(**{**usual, **changes})
 
@@ -699,18 +756,29 @@ def fixed_study(spark: SparkSession, sf: str) -> DataFrame:
     return study.fixed_study(settle(user_day(spark, sf)), _setup())
 
 
+REPLICATE_CUTOFFS = [10, 50, 100]
+
+
 def replicate_study(spark: SparkSession, sf: str) -> DataFrame:
-    matrix, _, _ = study.replicate_study(settle(user_day(spark, sf)), _setup(), 2, [10, 50, 100])
-    return matrix
+    """Gain per replicate and cutoff; the row without a replicate holds the means."""
+    matrix, means, _ = study.replicate_study(settle(user_day(spark, sf)), _setup(), 2, REPLICATE_CUTOFFS)
+    wide = means.agg(*[F.max(F.when(F.col("cutoff") == c, F.col("total"))).alias(f"e{c}") for c in REPLICATE_CUTOFFS])
+    return matrix.unionByName(wide, allowMissingColumns=True)
+
+
+def replicate_submission(spark: SparkSession, sf: str) -> DataFrame:
+    """The customers marked up to the rank whose gain is nearest to the best mean of the replicates."""
+    return study.replicate_study(settle(user_day(spark, sf)), _setup(), 2, REPLICATE_CUTOFFS)[2]
 
 
 def search_study(spark: SparkSession, sf: str) -> DataFrame:
+    """The test days' gain curve; the rows without a rank are the future's scores."""
     quick = models.TreeParams(iterations=2, leaves=32, rows_per_leaf=1)
-    curve, _ = study.search_study(
+    curve, future = study.search_study(
         settle(user_day(spark, sf)), _setup(seeds=SEEDS[:1]), _scratch(spark, "study"), TRIALS, quick,
         {"mvalue": (0.3, -0.5), "cevents_lag_1": (0.6, 0.1)}, ranges=SHORT,
     )
-    return curve
+    return curve.unionByName(future, allowMissingColumns=True)
 
 
 REGISTERED: dict[str, Query] = {
@@ -732,8 +800,9 @@ REGISTERED: dict[str, Query] = {
         trial_stats, top_trials, best_trial, trial_log, search_space, rolling_schedule,
         zscore, density_core, core_contingency, axis_histogram,
         panel_roundtrip, predictions_roundtrip, importances_roundtrip, curve_report, submission_roundtrip,
-        leaf_features, overfit_importance, seed_ensemble, rolling_oof, tuned_gain, future_scores, shuffled_rows, cluster_classes, cluster_density,
+        leaf_features, leaf_vectors, overfit_importance, seed_ensemble, rolling_oof, rolling_scored, tuned_gain, tuned_trials,
+        future_scores, future_customers, gains_by_trees, model_importances, shuffled_rows, cluster_classes, cluster_density,
         pca_project, density_clusters, projected_clusters,
-        fixed_study, replicate_study, search_study,
+        fixed_study, replicate_study, replicate_submission, search_study,
     )
 }

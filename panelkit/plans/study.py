@@ -33,6 +33,9 @@ class Setup:
     drop: Sequence[str] = ()
     params: models.TreeParams = field(default_factory=models.TreeParams)
     half_window: int = 500
+    #: folder of fitted models, so that a study that was cut short goes on; and models fitted at the same time
+    store: str | None = None
+    parallelism: int = 1
 
     @property
     def keys(self) -> tuple[str, str]:
@@ -76,7 +79,7 @@ def pruned_features(rows: DataFrame, setup: Setup, overfit: models.TreeParams, r
     )
     found = models.overfit_importance(
         with_canaries, setup.features(with_canaries), setup.train, setup.seeds, 0.5, overfit,
-        id=setup.id, period=setup.period,
+        id=setup.id, period=setup.period, store=setup.store, parallelism=setup.parallelism,
     )
     means = settle(selection.mean_importance(found))
     return selection.select_by_canaries(rows, means, share, [*setup.keys, "label", "target"])
@@ -101,13 +104,13 @@ def search_study(
     features = setup.features(rows)
     found = models.tune_by_gain(
         rows, features, setup.train, setup.valid, setup.seeds, n_trials, log, setup.share,
-        ranges=ranges, half_window=setup.half_window, id=setup.id, period=setup.period,
+        ranges=ranges, half_window=setup.half_window, id=setup.id, period=setup.period, parallelism=setup.parallelism,
     )
     known = search.to_params(rows.sparkSession.createDataFrame([trials.best_params(found)])).first().asDict()
     params = models.params_from_trial(known)
     scored = models.score_periods(
         rows, features, setup.train, [*setup.test, *setup.future], setup.seeds, params, setup.share,
-        id=setup.id, period=setup.period,
+        id=setup.id, period=setup.period, store=setup.store, parallelism=setup.parallelism,
     )
     scored = settle(scored.select(*setup.keys, "label", "score"))
     curve = gain.gain_curve(scored.filter(F.col(setup.period).isin([int(p) for p in setup.test])), keys=setup.keys)
@@ -122,7 +125,7 @@ def fixed_study(panel: DataFrame, setup: Setup, n_canaries: int = 5) -> DataFram
     rows = settle(sampling.add_canaries(rows, n=n_canaries, keys=setup.keys))
     scored = models.score_periods(
         rows, setup.features(rows), [*setup.train, *setup.valid], setup.test, setup.seeds, setup.params, setup.share,
-        id=setup.id, period=setup.period,
+        id=setup.id, period=setup.period, store=setup.store, parallelism=setup.parallelism,
     )
     return gain.gain_curve(scored, keys=setup.keys)
 
@@ -150,7 +153,8 @@ def replicate_scores(panel: DataFrame, setup: Setup, replicates: int, n_canaries
         raise ValueError("fewer seeds than replicates")
     pairs = []
     for r in range(replicates):
-        ensemble = models.fit_ensemble(train, features, setup.seeds[r * each : (r + 1) * each], setup.params)
+        own = setup.seeds[r * each : (r + 1) * each]
+        ensemble = models.fit_ensemble(train, features, own, setup.params, store=setup.store, parallelism=setup.parallelism)
         scored = ensemble.score(scored, f"_score_{r}")
         pairs.append(F.struct(F.lit(r + 1).alias("replicate"), F.col(f"_score_{r}").alias("score")))
     long = scored.select(*setup.keys, "label", F.explode(F.array(*pairs)).alias("e"))

@@ -78,6 +78,50 @@ def test_rolling_scores(spark, panel):
     assert counts == {1: 0, 2: 0, 3: 40, 4: 40, 5: 40, 6: 40} and out.count() == panel.count()
 
 
+def test_rolling_scores_are_those_of_models_of_the_periods_before(spark, panel):
+    out = models.rolling_scores(panel, FEATURES, (1, 2), SMALL, context=2, parallelism=3)
+    got = {(r.id, r.ym): r.score_rolling for r in out.collect()}
+    assert all(got[i, m] is None for i in range(40) for m in (1, 2))
+    for m in range(3, 7):
+        before = [p for p in (m - 3, m - 2) if p >= 1]
+        expected = models.score_periods(panel, FEATURES, before, [m], (1, 2), SMALL)
+        assert {(r.id, r.ym): r.score for r in expected.collect()} == {k: v for k, v in got.items() if k[1] == m}
+
+
+def test_trials_have_the_gain_of_a_refit(spark, panel, tmp_path):
+    log = models.tune_by_gain(panel, FEATURES, [1, 2, 3], [5], (1, 2), 4, str(tmp_path / "log"), ranges=NARROW, half_window=3,
+                              patience=None, parallelism=2)
+    seen = 0
+    for r in log.collect():
+        p = r["params"]
+        settings = models.TreeParams(max(1, round(2 ** p["num_iterations_exp"])), 2 ** p["learning_rate_exp"], round(2 ** p["num_leaves_exp"]),
+                                     round(2 ** p["min_data_exp"]), p["feature_fraction"])
+        if r["value"] == search.REJECTED:
+            assert settings.rows_per_leaf * settings.leaves > 120
+            continue
+        scored = models.score_periods(panel, FEATURES, [1, 2, 3], [5], (1, 2), settings)
+        curve = gain.gain_curve(scored, label="target", positive=1)
+        assert r["value"] == gain.peak_gain(curve, half_window=3).first()["value"]
+        seen += 1
+    assert seen
+
+
+def test_trials_use_the_best_number_of_trees(spark, panel, tmp_path):
+    def run(name, patience):
+        log = models.tune_by_gain(panel, FEATURES, [1, 2, 3], [5], (1,), 3, str(tmp_path / name), ranges=NARROW, half_window=3, patience=patience)
+        return {r["trial_number"]: r["value"] for r in log.collect()}
+
+    best, whole = run("best", 50), run("whole", None)
+    assert best.keys() == whole.keys() and all(best[k] >= whole[k] for k in whole)
+
+
+def test_leaf_vector_equals_the_columns(spark, panel):
+    forest = models.fit_forest(panel, FEATURES, [1, 2, 3], trees=3, leaves=4, rows_per_leaf=5, feature_share=1.0)
+    wide = {(r.id, r.ym): [r[n] for n in forest.names] for r in forest.columns(panel).collect()}
+    for r in forest.vector(panel).collect():
+        assert r.leaves.toArray().tolist() == wide[r.id, r.ym] and len(r.leaves.indices) == 3
+
+
 #: short searches whose trials can all be filled
 NARROW = {"num_iterations_exp": (0.0, 2.0), "min_data_exp": (0.0, 2.0), "num_leaves_exp": (1.0, 3.0)}
 
