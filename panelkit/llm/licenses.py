@@ -1,9 +1,9 @@
 """License scans by diagonal voting (operator 8).
 
 Built-in functions only. Every k-gram of words of every document is joined by its hash to the positions of the
-templates. Hits of one template vote for the diagonal (document position less template position); neighbouring
-diagonals, shifted by inserted or left out words, are merged. The k-grams of a merged span that covers enough of its
-template by their hashes are then compared word by word with the text, and the span counts if it still does.
+templates. The words of a hit are compared with the template's at once, so that only true ones vote for their diagonal
+(document position less template position); neighbouring diagonals, shifted by inserted or left out words, are merged,
+and a merged span counts if the places verified cover enough of its template.
 
 Templates are a table of positions: Spark broadcasts it where it is small, and joins by a shuffle where it is not.
 """
@@ -72,21 +72,29 @@ def _grams(hashes: Column, n: Column, k: int) -> Column:
     return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), one)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _templates(spark, phrases, passages) -> tuple[DataFrame, DataFrame]:
-    """hash, k, template, position, needed, grams, label; one more row, with k 0, is met once by every document. And the
-    words of each template."""
+def _texts(words: Column, n: Column, k: int) -> Column:
+    """All runs of k words."""
+    one = lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(k)])
+    return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), one)).otherwise(F.array().cast("array<string>"))
+
+
+def _templates(spark, phrases, passages) -> DataFrame:
+    """hash, gram, k, template, position, needed, grams, label; one more row, with k 0, is met once by every document."""
     rows = [(i, k, share, drift, label, text)
             for i, (k, share, drift, (text, label)) in enumerate(
                 [(PHRASE_GRAM, 1.0, 0, x) for x in phrases] + [(PASSAGE_GRAM, COVERAGE, DRIFT, x) for x in passages])]
     listed = spark.createDataFrame(rows, "template int, k int, needed double, drift int, label string, text string")
-    hashed = listed.withColumn("h", F.transform(scan_words(), lambda w: F.xxhash64(w))).withColumn("n", F.size("h"))
-    grams = F.when(F.col("k") == PHRASE_GRAM, _grams(F.col("h"), F.col("n"), PHRASE_GRAM)).otherwise(
-        _grams(F.col("h"), F.col("n"), PASSAGE_GRAM)
+    hashed = listed.withColumn("w", scan_words()).withColumn("h", F.transform("w", lambda w: F.xxhash64(w))).withColumn("n", F.size("h"))
+    short = F.col("k") == PHRASE_GRAM
+    hashes, texts = (
+        F.when(short, of(F.col(c), F.col("n"), PHRASE_GRAM)).otherwise(of(F.col(c), F.col("n"), PASSAGE_GRAM))
+        for of, c in ((_grams, "h"), (_texts, "w"))
     )
-    found = hashed.withColumn("g", grams).select("template", "k", "needed", "drift", "label", F.size("g").alias("grams"),
-                                                 F.posexplode("g").alias("position", "hash"))
-    mark = spark.sql("select -1 template, 0 k, 2D needed, 0 drift, '' label, 1 grams, 0 position, 0L hash")
-    return settle(found.unionByName(mark)), settle(listed.select("template", scan_words().alias("words")))
+    found = hashed.withColumns({"hash": hashes, "gram": texts}).select(
+        "template", "k", "needed", "drift", "label", F.size("hash").alias("grams"), F.posexplode(F.arrays_zip("hash", "gram")).alias("position", "e")
+    ).select("template", "k", "needed", "drift", "label", "grams", "position", "e.hash", "e.gram")
+    mark = spark.sql("select -1 template, 0 k, 2D needed, 0 drift, '' label, 1 grams, 0 position, 0L hash, '' gram")
+    return settle(found.unionByName(mark))
 
 
 def scan(docs: DataFrame, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
@@ -101,12 +109,14 @@ def scan(docs: DataFrame, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
         docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"), scan_words().alias("_w"))
         .withColumn("_h", F.transform("_w", lambda w: F.xxhash64(w)))
         .withColumn("n_words", F.size("_w"))
-        .select("doc_id", "_text", "n_words", "_h")
     )
-    every = F.concat(
-        F.array(F.lit(0).cast("long")), _grams(F.col("_h"), F.col("n_words"), PHRASE_GRAM), _grams(F.col("_h"), F.col("n_words"), PASSAGE_GRAM)
+    n, sizes = F.col("n_words"), (PHRASE_GRAM, PASSAGE_GRAM)
+    every = F.arrays_zip(
+        F.concat(F.array(F.lit(0).cast("long")), *[_grams(F.col("_h"), n, k) for k in sizes]).alias("hash"),
+        F.concat(F.array(F.lit("")), *[_texts(F.col("_w"), n, k) for k in sizes]).alias("gram"),
     )
-    exploded = hashed.select("doc_id", "_text", "n_words", F.posexplode(every).alias("_at", "hash"))
+    exploded = hashed.select("doc_id", "_text", "n_words", F.posexplode(every).alias("_at", "_e")).select(
+        "doc_id", "_text", "n_words", "_at", F.col("_e.hash").alias("hash"), F.col("_e.gram").alias("_gram"))
     # places in the list: the mark, the short grams, the long grams
     long_from = F.greatest(F.col("n_words") - PHRASE_GRAM + 1, F.lit(0)) + 1
     fits = (
@@ -115,26 +125,21 @@ def scan(docs: DataFrame, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
         .otherwise(F.col("_at") >= long_from)
     )
     place = F.when(F.col("k") == PASSAGE_GRAM, F.col("_at") - long_from).otherwise(F.col("_at") - F.signum("k").cast("int"))
-    positions, template_words = _templates(docs.sparkSession, phrases, passages)
     hits = (
-        exploded.join(positions, "hash").filter(fits)
+        exploded.join(_templates(docs.sparkSession, phrases, passages), "hash").filter(fits & (F.col("_gram") == F.col("gram")))
         .withColumn("diagonal", place - F.col("position"))
     )
     document, template = ("doc_id", "_text", "n_words"), ("template", "k", "needed", "drift", "label", "grams")
     votes = hits.groupBy(*document, *template, "diagonal").agg(F.collect_set("position").alias("met"), F.count("*").alias("_rows"))
     along = Window.partitionBy("doc_id", "_text", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > F.col("drift"), F.lit(True))
-    places = F.struct("diagonal", "met")
-    merged = settle(
+    spans = (
         votes.withColumn("_new", apart.cast("int"))
         .withColumn("_span", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(*document, *template, "_span")
-        .agg(F.min("diagonal").alias("start"), F.max("_rows").alias("_rows"), F.collect_list(places).alias("places"),
+        .agg(F.min("diagonal").alias("start"), F.max("_rows").alias("_rows"),
              (F.size(F.array_distinct(F.flatten(F.collect_list("met")))) / F.first("grams")).alias("covered"))
-        .filter("k = 0 or covered >= needed")
     )
-    spans = _verified(docs, merged.filter("k > 0"), template_words).unionByName(
-        merged.filter("k = 0").select(*document, "k", "needed", "label", "start", "_rows", "covered"))
     good = F.col("covered") >= F.col("needed")
     base = good & (F.col("k") == PHRASE_GRAM)
     names = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(c, F.col("label")))), ",")
@@ -150,22 +155,3 @@ def scan(docs: DataFrame, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
         "doc_id", F.col("n_words").cast("long").alias("n_words"), "n_base", "first_word", "last_word",
         "base_labels", "labels", "score")
 
-
-def _verified(docs: DataFrame, spans: DataFrame, template_words: DataFrame) -> DataFrame:
-    """The spans with the share of their template whose words stand in the text at the places voted for; only texts with a
-    span are split again."""
-    found = spans.select("doc_id", "_text").distinct()
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d._text") == F.col("f._text"))
-    named = docs.select("doc_id", "text", key.alias("_text")).alias("d").join(found.alias("f"), same, "left_semi")
-    # one of the rows that repeat id and text
-    texts = named.groupBy("doc_id", "_text").agg(F.first("text").alias("text")).select("doc_id", "_text", scan_words().alias("_w"))
-    same = F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("s._text") == F.col("t._text"))
-    met = spans.alias("s").join(texts.alias("t"), same).join(template_words.alias("m"), F.col("s.template") == F.col("m.template"))
-
-    def equal(diagonal: Column, at: Column) -> Column:
-        return F.slice(F.col("t._w"), diagonal + at + 1, F.col("s.k")) == F.slice(F.col("m.words"), at + 1, F.col("s.k"))
-
-    true = F.flatten(F.transform("s.places", lambda p: F.filter(p["met"], lambda at: equal(p["diagonal"], at))))
-    return met.select("s.doc_id", "s._text", "s.n_words", "s.k", "s.needed", "s.label", "s.start", "s._rows",
-                      (F.size(F.array_distinct(true)) / F.col("s.grams")).alias("covered"))
