@@ -646,3 +646,6 @@ WITH {SCORED}
 SELECT id, count(*) AS n, CAST(sum(CAST(rank <= 1100 AS INTEGER)) AS BIGINT) AS predicted
 FROM curve WHERE replicate = 1 GROUP BY 1""",
 }
+
+#: the same rows, however the panel lies and whenever its months arrive
+ORACLES["feature_block_by_customer"] = ORACLES["arriving_months"] = ORACLES["feature_block"]

@@ -21,6 +21,7 @@ from panelkit.plans.panels import (
     customer_month, customer_points, dead_month, hash_scores, last_day, last_month, supplier_month, table, user_day,
 )
 from panelkit.plans import study
+from panelkit.sources import arrivals
 from panelkit.sources import panel as panel_files
 from panelkit.sources import reports, trials
 
@@ -165,6 +166,30 @@ def feature_block(spark: SparkSession, sf: str) -> DataFrame:
     return _round_all(rows, {c: _block_digits(c) for c in rows.columns if "_delta" in c or "_tend" in c or "_ratio" in c})
 
 
+BLOCK = {"lags": (1, 2), "chained": 2, "slope": True, "ratios": True}
+
+
+def feature_block_by_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature block of a panel laid out by customer: windows over its table neither shuffle nor sort."""
+    name = f"panelkit_{uuid.uuid4().hex}"
+    panel = panel_files.write_by_customer(supplier_month(spark, sf), name, _scratch(spark, "by-customer"), buckets=8)
+    last = panel.agg(F.max(month_ordinal("ym"))).scalar()
+    rows = history.add_history(labels.label_attrition(panel, last=last), MONEY, **BLOCK)
+    return _round_all(rows, {c: _block_digits(c) for c in rows.columns if "_delta" in c or "_tend" in c or "_ratio" in c})
+
+
+def arriving_months(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature block of a panel whose last three months arrive one by one, the last of them twice."""
+    panel = _suppliers(spark, sf)
+    months = search.periods(panel)
+    store = arrivals.Arrivals(_scratch(spark, "arrivals"), MONEY, BLOCK)
+    store.begin(panel.filter(F.col("ym") < months[-3]))
+    for month in (*months[-3:], months[-1]):
+        store.arrive(panel.filter(F.col("ym") == month))
+    rows = store.read(spark)
+    return _round_all(rows, {c: _block_digits(c) for c in rows.columns if "_delta" in c or "_tend" in c or "_ratio" in c})
+
+
 def _block_digits(column: str) -> int:
     if "_delta" in column:
         return 4
@@ -787,7 +812,7 @@ REGISTERED: dict[str, Query] = {
         label_counts, label_counts_suppliers, label_counts_customers, label_pivot, label4_counts, label4_rows, target_modes,
         cluster_class_tenure, tenure_modes,
         lag_delta_chained, lag_delta_anchored, lag_calendar, trend_window, trend_window_nulls, window_ratios,
-        feature_block, history_p95,
+        feature_block, feature_block_by_customer, arriving_months, history_p95,
         intra_row_features, family_sum, distinct_periods, snapshot_union,
         canary_first_order, undersample_exact, undersample_bernoulli, class_weights,
         dead_flags, dead_all_zero, dead_zero_sum, dead_month_interpolated, time_interpolated,
