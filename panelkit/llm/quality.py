@@ -155,17 +155,33 @@ def _distances(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> Dat
 
 
 def _strata(rows: DataFrame, min_rows: int) -> DataFrame:
-    """The stratum of each (lang, source): itself, or with too few rows the rest of its language, or the rest of all."""
-    counted = rows.groupBy("lang", "source").count()
+    """Per (lang, source) the stratum that judges it, and those whose estimates its rows enter (feeds).
+
+    A source of a language is a stratum; with too few rows it joins the other such ones of its language, and where these
+    are too few together it is judged by the whole language. A language of too few rows joins other such languages, and
+    where these are too few it is judged by all rows.
+    """
+    counted = _small(rows.groupBy("lang", "source").count())
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
     small = F.col("count") < min_rows
-    rest = counted.filter(small).groupBy(F.col("lang").alias("_lang")).agg(F.sum("count").alias("_rest"))
-    return (
-        counted.join(rest, F.expr("lang <=> _lang"), "left")
+    per_lang = counted.groupBy(F.col("lang").alias("_lang")).agg(
+        F.sum(F.when(small, F.col("count")).otherwise(0)).alias("_rest"), F.sum("count").alias("_whole"))
+    few = per_lang.agg(F.sum(F.when(F.col("_whole") < min_rows, F.col("_whole")))).scalar()
+    placed = _small(
+        counted.join(per_lang, F.expr("lang <=> _lang"))
         .withColumn("stratum", F.when(~small, F.concat(name("lang"), F.lit("\n"), name("source")))
-                    .when(F.col("_rest") >= min_rows, name("lang")).otherwise(""))
+                    .when(F.col("_rest") >= min_rows, name("lang"))
+                    .when(F.col("_whole") >= min_rows, F.concat(F.lit("*"), name("lang")))
+                    .when(few >= min_rows, "").otherwise("*"))
         .select("lang", "source", "stratum")
     )
+    langs = placed.filter("stratum like '*_%'").select(F.col("stratum").alias("_needed")).distinct()
+    everything = F.coalesce(placed.agg(F.max((F.col("stratum") == "*").cast("int"))).scalar() == 1, F.lit(False))
+    own = F.when(~F.col("stratum").startswith("*"), F.col("stratum"))
+    return (
+        placed.join(langs, F.concat(F.lit("*"), name("lang")) == F.col("_needed"), "left")
+        .select("lang", "source", "stratum", F.array_compact(F.array(own, F.col("_needed"), F.when(everything, F.lit("*")))).alias("feeds"))
+    )
 
 
 def robust_estimates(rows: DataFrame, share=SHARE, starts=STARTS, steps=STEPS, min_rows=MIN_ROWS) -> DataFrame:
@@ -212,9 +228,10 @@ def judge(docs: DataFrame, one_in: float = ONE_IN, also: tuple[str, ...] = (), *
 
     base_failed: fewer than MIN_WORDS words, or over MAX_REPEATED percent of them in repeated windows. Of the others,
     a document goes if its squared robust distance exceeds that of one clean document in `one_in`. Estimates come from
-    all documents that pass the base rules. A null language or source is a value of its own; a language whose strata
-    are all too small is judged with the rest of the corpus, and if that is too small nothing more is rejected. Rows
-    that repeat are judged each. No rows give no rows.
+    all documents that pass the base rules. A null language or source is a value of its own. A source of few documents is
+    judged with others of its language, else by the language; a language of few with other such ones, else by all
+    documents (see _strata). If all documents together are under min_rows, nothing more is rejected. Rows that repeat are
+    judged each. No rows give no rows.
     """
     measured = settle(statistics(docs, *also))
     measured = measured.withColumn(
@@ -229,11 +246,11 @@ def judge(docs: DataFrame, one_in: float = ONE_IN, also: tuple[str, ...] = (), *
     )
     strata = _small(_strata(vectors, settings.get("min_rows", MIN_ROWS)))
     key = F.expr("v.lang <=> s.lang and v.source <=> s.source")
-    located = settle(vectors.alias("v").join(strata.alias("s"), key).select("stratum", "draw", *NAMES))
+    located = settle(vectors.alias("v").join(strata.alias("s"), key).select(F.explode("feeds").alias("stratum"), "draw", *NAMES))
     estimates = robust_estimates(located, **settings).withColumnRenamed("n", "_inside")
     placed = (
         measured.withColumns(_features()).alias("v").join(strata.alias("s"), key, "left")
-        .select("v.*", F.coalesce("stratum", F.lit("")).alias("stratum"))
+        .select("v.*", F.coalesce("stratum", F.lit("*")).alias("stratum"))
     )
     return (
         _distances(placed, estimates, "left")

@@ -38,6 +38,8 @@ NOVEL = 0.6
 DICTIONARY_BYTES = 16_384
 IDENTIFIER = "[A-Za-z_][A-Za-z0-9_]{3,}"
 LEVEL = 12
+#: a longer value is measured in pieces of so many characters, counted from its end
+PIECE = 1024
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, int]]:
@@ -55,7 +57,30 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def candidates(text: str, taken: list[tuple]) -> list[tuple[int, int]]:
+class Taken:
+    """Spans joined where they overlap, so that those at a place are found by bisection."""
+
+    def __init__(self, spans):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted((s[0], s[1]) for s in spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def within(self, low: int, high: int) -> list[tuple[int, int]]:
+        """The joined spans that share a character with the text from low to high."""
+        first = bisect.bisect_right(self.ends, low)
+        return list(zip(self.starts[first:bisect.bisect_left(self.starts, high, first)], self.ends[first:]))
+
+    def meets(self, low: int, high: int) -> bool:
+        at = bisect.bisect_right(self.ends, low)
+        return at < len(self.starts) and self.starts[at] < high
+
+
+def candidates(text: str, taken: Taken | list[tuple]) -> list[tuple[int, int]]:
     """Spans in a sensitive context that meet no base span, in order.
 
     Every value with a sensitive word within reach is one, whatever stands between them, so that no value hides a later
@@ -65,6 +90,7 @@ def candidates(text: str, taken: list[tuple]) -> list[tuple[int, int]]:
     small = text.encode("utf-8", "surrogatepass").lower()
     if not any(w in small for w in SENSITIVE_WORDS):
         return []
+    taken = taken if isinstance(taken, Taken) else Taken(taken)
     ends = sorted(m.end(1) for m in SENSITIVE.finditer(text))
     found = []
     for m in VALUE.finditer(text):
@@ -73,16 +99,16 @@ def candidates(text: str, taken: list[tuple]) -> list[tuple[int, int]]:
         for start in starts:
             k = bisect.bisect_right(ends, start - 1)
             near = k > 0 and start - 1 - ends[k - 1] <= REACH and "\n" not in text[ends[k - 1]:start - 1]
-            if near and not any(s[0] < end and start < s[1] for s in taken):
+            if near and not taken.meets(start, end):
                 found.append((start, end))
     return found
 
 
-def context(text: str, start: int, end: int, taken: list[tuple]) -> str:
+def context(text: str, start: int, end: int, taken: Taken) -> str:
     """The text around a span, without the span and without other secrets."""
     low, high = max(0, start - AROUND), min(len(text), end + AROUND)
     out, at = [], low
-    for a, b in sorted([(start, end), *((s[0], s[1]) for s in taken)]):
+    for a, b in sorted([(start, end), *taken.within(low, high)]):
         if b > at and a < high:
             out.append(text[at:max(a, at)])
             at = max(at, b)
@@ -98,19 +124,34 @@ class Novelty:
         primed = {"dict_data": zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)} if len(dictionary) >= 8 else {}
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_dict_id=False, **primed)
 
-    def share(self, around: str, value: str) -> float:
+    def added(self, around: str, value: str) -> tuple[int, int]:
+        """Bytes that the value adds to the compressed text around it, and its own bytes."""
         before = around.encode("utf-8", "replace")
         own = value.encode("utf-8", "replace")
-        added = len(self.compressor.compress(before + b"\n" + own)) - len(self.compressor.compress(before + b"\n"))
-        return added / len(own)
+        return len(self.compressor.compress(before + b"\n" + own)) - len(self.compressor.compress(before + b"\n")), len(own)
 
 
 def spans_of(text: str, novelty: Novelty) -> list[tuple[int, int, str, int]]:
     base = base_spans(text)
-    new = []
-    for a, b in candidates(text, base):
+    taken = Taken(base)
+    new: list[tuple] = []
+    end, pieces = -1, {}
+
+    def added(a: int, b: int) -> tuple[int, int]:
+        return novelty.added(context(text, a, b, taken), text[a:b])
+
+    for a, b in candidates(text, taken):
+        if b != end:  # values with the same end share all pieces but their first
+            end, pieces = b, {}
         # of values with the same end the longest novel one
-        if not (new and new[-1][1] == b) and novelty.share(context(text, a, b, base), text[a:b]) >= NOVEL:
+        if new and new[-1][1] == b:
+            continue
+        whole = (b - a - 1) // PIECE
+        for n in range(len(pieces), whole):
+            more = added(b - (n + 1) * PIECE, b - n * PIECE)
+            pieces[n] = tuple(x + y for x, y in zip(more, pieces.get(n - 1, (0, 0))))
+        total, size = (x + y for x, y in zip(added(a, b - whole * PIECE), pieces[whole - 1] if whole else (0, 0)))
+        if total / size >= NOVEL:
             new.append((a, b, "novel", a))
     return sorted(base + new, key=lambda s: (s[0], KINDS.index(s[2])))
 
@@ -128,8 +169,8 @@ def dictionary(docs: DataFrame) -> bytes:
             for text in batch.column(0).to_pylist():
                 if text:
                     base = base_spans(text)
-                    found = candidates(text, base)
-                    both = base + [(a, b) for a, b in found]
+                    found = candidates(text, Taken(base))
+                    both = Taken(base + [(a, b) for a, b in found])
                     longest = [v for n, v in enumerate(found) if n == 0 or found[n - 1][1] != v[1]]
                     out += [context(text, a, b, both) for a, b in longest]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["context"])

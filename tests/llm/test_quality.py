@@ -125,3 +125,32 @@ def test_empty_and_kept_documents(spark, edge, empty):
     assert kept.columns == edge.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in edge.collect() if _base(r.text)[0] >= 50 and r.doc_id != 5) + (
         ["5"] if 100 * _base(next(r.text for r in edge.collect() if r.doc_id == 5))[4] <= 50 * 30_000 else [])
+
+
+def test_few_documents_of_a_language_are_judged_by_all(spark):
+    """300 documents of one language and 90 of another, 40 of these junk; and a source of few of the first language."""
+    rng = np.random.RandomState(4)
+    vocabulary = sorted({"".join(rng.choice(list("abcdefghij"), rng.randint(3, 8))) for _ in range(3000)})
+
+    def text(junk):
+        words = list(rng.choice(vocabulary, 150, replace=False))
+        return " ".join(w + "#$%" * 8 if junk and i % 2 else w for i, w in enumerate(words))
+
+    rows = [(i, text(False), "en", "s") for i in range(300)]
+    rows += [(1000 + i, text(i < 40), "xx", "s") for i in range(90)]
+    rows += [(2000 + i, text(i < 3), "en", "t") for i in range(30)]
+    judged = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    gone = {r.doc_id for r in judged if not r.kept}
+    assert gone == {*range(1000, 1040), *range(2000, 2003)}
+    assert all(r.distance is not None for r in judged)
+
+
+def test_strata(spark):
+    sizes = {("en", "a"): 200, ("en", "b"): 30, ("de", "a"): 60, ("de", "b"): 70, ("fr", "a"): 40, (None, None): 50}
+    rows = [(g, s) for (g, s), n in sizes.items() for _ in range(n)]
+    found = {(r.lang, r.source): (r.stratum, sorted(r.feeds)) for r in quality._strata(spark.createDataFrame(rows, "lang string, source string"), 100).collect()}
+    assert found == {
+        ("en", "a"): ("=en\n=a", ["*", "*=en", "=en\n=a"]), ("en", "b"): ("*=en", ["*", "*=en"]),
+        ("de", "a"): ("=de", ["*", "=de"]), ("de", "b"): ("=de", ["*", "=de"]),
+        ("fr", "a"): ("*", ["*"]), (None, None): ("*", ["*"]),
+    }

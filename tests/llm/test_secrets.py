@@ -88,3 +88,59 @@ def test_edges_and_masking(spark, edge, empty):
         else:
             assert (r.text, r.n_chars) == (before.text, before.n_chars)
     assert secrets.mask("k=abcdef x", [(0, 8, "assign", 2), (3, 8, "hex", 3)], "[]") == "k=[] x"
+
+
+def _long(n, seed=4):
+    """Lines with base secrets, novel strings, and runs with many equals signs."""
+    rng = random.Random(seed)
+    draw = lambda k: "".join(rng.choices("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=k))
+    lines = [rng.choice([f"password = {draw(12)}", f"auth bearer {draw(24)}", f"private key {draw(20)}={draw(18)}", "plain words only"]) for _ in range(n)]
+    return "\n".join(lines)
+
+
+def test_spans_are_those_of_a_plain_search():
+    text, novelty = _long(120), secrets.Novelty(b"connect session timeout " * 20)
+    base = secrets.base_spans(text)
+
+    def around(a, b):
+        low, high = max(0, a - secrets.AROUND), min(len(text), b + secrets.AROUND)
+        hidden = {i for s in [(a, b), *base] for i in range(s[0], s[1])}
+        return "".join(text[i] for i in range(low, high) if i not in hidden)
+
+    expected, last = [], None
+    words = [m.end(1) for m in secrets.SENSITIVE.finditer(text)]
+    for m in secrets.VALUE.finditer(text):
+        for a in [m.start(), *(k + 1 for k in range(m.start(), m.end() - 16) if text[k] == "=")]:
+            near = [w for w in words if w <= a - 1 and a - 1 - w <= secrets.REACH]
+            if not near or "\n" in text[max(near):a - 1] or any(s[0] < m.end() and a < s[1] for s in base) or last == m.end():
+                continue
+            added, own = novelty.added(around(a, m.end()), text[a:m.end()])
+            if added / own >= secrets.NOVEL:
+                expected.append((a, m.end()))
+                last = m.end()
+    assert expected and [(a, b) for a, b, k, _ in secrets.spans_of(text, novelty) if k == "novel"] == expected
+
+
+def test_time_follows_the_length_of_a_text():
+    import time
+
+    novelty = secrets.Novelty(b"")
+
+    def seconds(text):
+        began = time.process_time()
+        secrets.spans_of(text, novelty)
+        return time.process_time() - began
+
+    seconds(_long(100))
+    assert seconds(_long(20_000)) < 20 * seconds(_long(2000)) + 0.5
+    run = lambda n: "key " + "key=" * n
+    assert seconds(run(8000)) < 20 * seconds(run(800)) + 0.5
+
+
+def test_long_values_are_measured_in_pieces():
+    rng = random.Random(2)
+    value = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=5000))
+    novelty = secrets.Novelty(b"")
+    text = f"auth bearer {value} end\nauth bearer {'ab' * 2500} end"
+    found = [(a, b) for a, b, k, _ in secrets.spans_of(text, novelty) if k == "novel"]
+    assert found == [(12, 5012)]
