@@ -347,6 +347,8 @@ def rolling_scores(
     """Score every period by an ensemble trained on the periods before it, leaving out the `gap` last.
 
     Periods without a usable past keep their rows with a null score. Up to `parallelism` periods are fitted side by side.
+    All periods are scored in one scan if their trees are small enough to be told to every task (trees.TOLD_BYTES), else
+    by one scan of each.
     """
 
     def fitted(turn: tuple[int, list[int]]) -> Ensemble | None:
@@ -359,6 +361,9 @@ def rolling_scores(
     turns = search.schedule_lists(search.rolling_schedule(df, period, context, gap))
     ensembles = tree_tables.side_by_side(fitted, turns, parallelism)
     usable = [(scored, e) for (scored, _), e in zip(turns, ensembles, strict=True) if e is not None]
+    at_once = tree_tables.score_by_period(dict(usable), df, period, name)
+    if at_once is not None:
+        return at_once
     done = [scored for scored, _ in usable]
     parts = [e.score(df.filter(F.col(period) == scored), name) for scored, e in usable]
     rest = df.filter(~F.col(period).isin(done)) if done else df

@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from panelkit.functions.durable import settle
 from panelkit.operators import gain
 
-NODES = "seed int, tree int, node int, feature int, gain double, rows bigint, value double, weight double"
-
 
 def side_by_side(work: Callable, items: Sequence, parallelism: int) -> list:
     """work(item) for every item, up to `parallelism` at a time on threads with the caller's local properties."""
@@ -77,8 +75,8 @@ def fingerprint(train: DataFrame, columns: Sequence[str], settings: dict) -> str
 
 
 def node_table(models: dict[int, GBTClassificationModel], store: Store, key: str = "nodes") -> DataFrame:
-    """The nodes of all trees as a table, read from the written models: seed, tree, node (in preorder), feature (null in
-    leaves), gain, training rows, value, and the tree's weight."""
+    """The nodes of all trees as a table, read from the written models: seed, tree, node (in preorder), feature, threshold,
+    left, right and gain (null in leaves), training rows, value, and the tree's weight."""
     spark, parts = store.spark, []
     for seed, model in models.items():
         if not store.fitted(key, seed):
@@ -88,7 +86,10 @@ def node_table(models: dict[int, GBTClassificationModel], store: Store, key: str
         parts.append(spark.read.parquet(f"{store.path(key, seed)}/data").select(
             F.lit(seed).alias("seed"), F.col("treeID").alias("tree"), n["id"].alias("node"),
             F.when(n["leftChild"] >= 0, n["split"]["featureIndex"]).alias("feature"),
-            F.when(n["leftChild"] >= 0, n["gain"]).alias("gain"), n["rawCount"].alias("rows"),
+            *[F.when(n["leftChild"] >= 0, e).alias(c) for c, e in (
+                ("threshold", F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0))), ("left", n["leftChild"]),
+                ("right", n["rightChild"]), ("gain", n["gain"]))],
+            n["rawCount"].alias("rows"),
             n["prediction"].alias("value"), F.element_at(weights, F.col("treeID") + 1).alias("weight"),
         ))
     return reduce(DataFrame.unionByName, parts)
@@ -178,6 +179,83 @@ def chosen_trees(gains: DataFrame, patience: int | None = 50) -> int:
     return best
 
 
+# ------------------------------------------------------------------------------------------------- models by period
+
+#: trees of all periods told to every task, in bytes of their nodes; beyond it each period is scored by a scan of its own
+TOLD_BYTES = 64 << 20
+NODE_BYTES = 40
+
+
+class Forest:
+    """The trees of one ensemble as arrays, for many rows at a time."""
+
+    def __init__(self, prepared, rows: list):
+        """Rows are (seed, tree, node, feature, threshold, left, right, contribution)."""
+        self.medians = np.array([prepared.medians[c] for c in prepared.features])
+        self.gaps = [prepared.features.index(c) for c in prepared.gaps]
+        rows = sorted(rows, key=lambda r: r[:3])
+        roots, place = [], {}
+        for n, r in enumerate(rows):
+            place[r[:3]] = n
+            if r[2] == 0:
+                roots.append((r[0], n))
+        self.roots = np.array([n for _, n in roots])
+        seeds = sorted({s for s, _ in roots})
+        self.seed = np.array([seeds.index(s) for s, _ in roots])
+        self.leaf = np.array([r[3] is None for r in rows])
+        self.feature = np.array([0 if r[3] is None else r[3] for r in rows])
+        self.threshold = np.array([0.0 if r[3] is None else r[4] for r in rows])
+        child = lambda r, c: place[r[0], r[1], r[c]]
+        self.left = np.array([n if r[3] is None else child(r, 5) for n, r in enumerate(rows)])
+        self.right = np.array([n if r[3] is None else child(r, 6) for n, r in enumerate(rows)])
+        self.value = np.array([r[7] for r in rows])
+
+    def score(self, values: np.ndarray, missing: np.ndarray) -> np.ndarray:
+        """Mean probability over the seeds; what is missing has the median, and a flag where the training rows had gaps."""
+        x = np.concatenate([np.where(missing, self.medians, values), missing[:, self.gaps].astype(float)], axis=1)
+        at = np.broadcast_to(self.roots, (len(x), len(self.roots)))
+        rows = np.arange(len(x))[:, None]
+        while not self.leaf[at].all():
+            # a leaf is its own child
+            at = np.where(x[rows, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
+        part, seeds = self.value[at], int(self.seed.max()) + 1
+        margins = np.stack([part[:, self.seed == s].sum(axis=1) for s in range(seeds)])
+        return (1.0 / (1.0 + np.exp(-2.0 * margins))).mean(axis=0)
+
+
+def score_by_period(ensembles: dict, df: DataFrame, period: str, name: str, told_bytes: int = TOLD_BYTES) -> DataFrame | None:
+    """All rows with the score of the ensemble of their period, null without one, in a single scan; None if the nodes of
+    all trees measure more than `told_bytes`."""
+    spark, tables = df.sparkSession, {}
+    for at, e in ensembles.items():
+        nodes = e.nodes()
+        if nodes.count() * NODE_BYTES > told_bytes - sum(len(t[1]) for t in tables.values()) * NODE_BYTES:
+            return None
+        known = nodes.select("seed", "tree", "node", "feature", "threshold", "left", "right", F.col("value") * F.col("weight"))
+        tables[at] = (e.prepared, [tuple(r) for r in known.collect()])
+    told = spark.sparkContext.broadcast({at: Forest(*t) for at, t in tables.items()})
+    features = next(iter(ensembles.values())).prepared.features if ensembles else []
+    width = len(features)
+
+    @F.pandas_udf("double")
+    def scored(periods: pd.Series, values: pd.Series) -> pd.Series:
+        out = np.full(len(periods), np.nan)
+        if len(periods):
+            whole = np.array([[np.nan if v is None else v for v in row] for row in values.to_numpy()], dtype=float).reshape(-1, 2 * width)
+            for at in periods.unique():
+                forest = told.value.get(at)
+                if forest is not None:
+                    rows = (periods == at).to_numpy()
+                    out[rows] = forest.score(whole[rows, :width], whole[rows, width:] > 0)
+        return pd.Series(out, dtype="Float64").mask(np.isnan(out))
+
+    if not ensembles:
+        return df.withColumn(name, F.lit(None).cast("double"))
+    value = [F.col(f"`{c}`").cast("double") for c in features]
+    flat = F.array(*[F.coalesce(v, F.lit(0.0)) for v in value], *[v.isNull().cast("double") for v in value])
+    return df.select("*", scored(F.col(period), flat).alias(name))
+
+
 # -------------------------------------------------------------------------------------------------------- evaluator
 
 

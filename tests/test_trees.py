@@ -150,3 +150,19 @@ def test_a_model_cut_short_is_fitted_again(spark, panel, tmp_path):
     assert store.fitted("k", 1) and store.read("k", 1).treeWeights == model.treeWeights
     began = time.perf_counter()
     assert trees.side_by_side(lambda x: time.sleep(0.2) or x, [1, 2, 3], 3) == [1, 2, 3] and time.perf_counter() - began < 0.55
+
+
+def test_all_periods_in_one_scan(spark, panel):
+    """Scores by period equal those of each period's own ensemble, rows with gaps included."""
+    rows = panel.withColumn("signal", F.when(F.col("id") != 3, F.col("signal")))
+    fitted = {m: models.fit_ensemble(rows.filter(F.col("ym") == m - 1), FEATURES, (1, 2), PARAMS) for m in (3, 5)}
+    once = trees.score_by_period(fitted, rows, "ym", "score")
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Union" not in plan
+    got = {(r.id, r.ym): r.score for r in once.collect()}
+    assert all(got[i, m] is None for i in range(60) for m in (1, 2, 4))
+    for m, e in fitted.items():
+        expected = {(r.id, r.ym): r.score for r in e.score(rows.filter(F.col("ym") == m)).collect()}
+        assert {k: v for k, v in got.items() if k[1] == m} == {k: pytest.approx(v, abs=1e-12) for k, v in expected.items()}
+    assert trees.score_by_period(fitted, rows, "ym", "score", told_bytes=500) is None
+    assert trees.score_by_period({}, rows, "ym", "score").filter("score is not null").count() == 0
