@@ -3,13 +3,15 @@
 A text's five-word shingles are labelled with their occurrence. Each sketch draws the few smallest of them by a hash
 and keeps their order in the text, so two texts share it if they share the shingles and their order: edits and moves
 both break it. Texts that share a sketch are candidates; an alignment in the band that the similarity leaves open
-decides. Exact copies are one text from the beginning, and within a bucket only links between texts that are not yet
+decides. Texts of few shingles, of which sketches may miss a pair, meet by the first of their shingles in an order common
+to all texts instead, where two similar ones always meet. Exact copies are one text from the beginning, and within a bucket only links between texts that are not yet
 connected are looked for, so a group of many copies costs about as many alignments as it has members.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from bisect import bisect_left
 
@@ -24,6 +26,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: shingles in a sketch and sketches of a text: two texts of the least similarity share none with odds of 1 to 38,000
 DRAWN, SKETCHES = 4, 20
 SEED = 5
+#: texts of up to so many shingles meet by their first ones alone; longer ones that may be similar to such a text do also
+SHORT = 24
 #: members and words of a block of a bucket; a larger bucket is compared block by block
 BLOCK, BLOCK_WORDS = 1024, 1_000_000
 #: cells with fewer members are compared without bitmaps
@@ -84,6 +88,23 @@ def sketches(labelled: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def first_ones(labelled: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The least shingles by hash, as many as a text may lack of a similar one, and one more: two similar texts have one of
+    these in common, since the least shingle that both have is among them in either text."""
+    most = len(labelled) - math.ceil(similarity * len(labelled) - 1e-9) + 1
+    hashed = np.sort(_mixed(labelled ^ _SHIFT[0]))[:most]
+    return _mixed(hashed + STEP).view(np.int64)
+
+
+def meetings(labelled: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Numbers of the buckets of a text."""
+    if len(labelled) <= SHORT:
+        return first_ones(labelled, similarity)
+    if similarity * len(labelled) <= SHORT:
+        return np.concatenate([sketches(labelled), first_ones(labelled, similarity)])
+    return sketches(labelled)
+
+
 class Text:
     """A text in a bucket: its labelled shingles, sorted, with their places."""
 
@@ -172,7 +193,7 @@ def links(texts: list[Text], left: int = 0, similarity: float = SIMILARITY) -> l
     return found
 
 
-def _sketched(docs: DataFrame) -> DataFrame:
+def _sketched(docs: DataFrame, similarity: float) -> DataFrame:
     """row, digest, words, sketches of the texts of docs, each text once in a task."""
 
     def sketch(batches):
@@ -189,9 +210,10 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 rows.append(row)
                 digests.append(digest)
                 words.append(own.tobytes())
-                found.append(sketches(shingles(own)))
+                found.append(meetings(shingles(own), similarity))
             flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, SKETCHES), pa.int32()), pa.array(flat))
+            ends = np.cumsum([0, *map(len, found)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.int64()), pa.array(digests, pa.binary()), pa.array(words, pa.binary()), lists],
                 names=["row", "digest", "words", "sketches"])
@@ -266,7 +288,7 @@ def connected(links_: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Per distinct text of docs: digest (MD5), root (its class), least (its smallest doc_id), class_id (the smallest
     doc_id of the class)."""
-    sketched = _sketched(docs)
+    sketched = _sketched(docs, similarity)
     first = settle(sketched.groupBy("digest").agg(F.min("row").alias("row")))
     again = settle(sketched.select("row", "digest").join(first.withColumnRenamed("row", "_row"), "digest").filter("row <> _row").select("row"))
     entries = sketched.select(

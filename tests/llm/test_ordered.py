@@ -105,3 +105,36 @@ def test_edges(spark, edge, empty, sf):
     assert found == sorted({c for _, c in own})
     docs = table(spark, sf, "documents")
     assert ordered.one_of_each(docs).count() == ordered.deduplicated(docs).agg(F.countDistinct("class_id")).first()[0]
+
+
+def test_short_texts_always_meet():
+    """Whatever two similar texts, one of them short, their buckets have one in common."""
+    rng = np.random.RandomState(9)
+    seen = 0
+    for _ in range(6000):
+        base = [f"v{rng.randint(50)}" for _ in range(rng.randint(4, 36))]
+        other = _shuffled(rng, base, rng.randint(1, 3))
+        if rng.rand() < 0.5:  # words before or after
+            other = [f"w{rng.randint(99)}"] * rng.randint(2) + base + [f"w{rng.randint(99)}" for _ in range(rng.randint(6))]
+        a, b = (ordered.Text(n, ordered.tokens(" ".join(w).encode())) for n, w in enumerate((base, other)))
+        if min(len(a), len(b)) > ordered.SHORT or not ordered.similar(a, b):
+            continue
+        met = [set(ordered.meetings(ordered.shingles(ordered.tokens(" ".join(w).encode()))).tolist()) for w in (base, other)]
+        assert met[0] & met[1]
+        seen += len(a) != len(b) or (a.sorted != b.sorted).any()
+    assert seen > 500
+
+
+def test_recall_by_length(spark):
+    """All links among texts of 5 to 60 words, each with copies just at the least similarity."""
+    rng, rows = np.random.RandomState(10), []
+    for n, length in enumerate([*range(5, 45), *range(45, 61, 5)] * 2):
+        base = [f"g{n}x{k}" for k in range(length)]
+        for extra in (0, max(1, (length - 4) // 4), 1):
+            rows.append((len(rows), " ".join(base + [f"e{rng.randint(10**6)}" for _ in range(extra)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    own = sorted((str(r.doc_id), str(r.class_id)) for r in ordered.deduplicated(docs).collect())
+    expected = _classes(rows)
+    short = {str(i) for i, t in rows if len(t.split()) - 4 <= ordered.SHORT}
+    assert [r for r in own if r[0] in short] == [r for r in expected if r[0] in short]
+    assert sum(a == b for a, b in zip(own, expected)) >= 0.99 * len(rows)
