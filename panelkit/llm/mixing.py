@@ -158,36 +158,6 @@ def mix(
     )
 
 
-def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The mix as documents: each row whole as often as it is taken whole, then once more with its first words if a
-    part of it is taken. Rows of which nothing is taken go, but for texts without words, of which the mix takes all
-    there is. n_chars follows the text.
-
-    Rows that share id, source and size share the smallest share among them. `mixed_texts` gives each row its own
-    share and the words that were selected.
-    """
-    plan = (
-        mix(docs, **settings).groupBy("doc_id", "source", "size").agg(F.min("taken").alias("_taken"))
-        .select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size")], "_taken")
-    )
-    whole = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size"))).otherwise(1)
-    rest = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(0)
-    copies = F.col("_whole") + (F.col("_rest") > 0).cast("int")
-    cut = F.array_join(F.slice(words("row.text"), 1, F.col("_rest").cast("int")), " ")
-    row = F.col("row")
-    shorter = row.withField("text", cut)
-    if "n_chars" in docs.columns:
-        shorter = shorter.withField("n_chars", F.length(cut).cast(docs.schema["n_chars"].dataType))
-    return (
-        docs.select(F.struct(*docs.columns).alias("row"), n_words("text").alias("_n"))
-        .join(plan, F.expr("row.doc_id <=> _doc_id and row.source <=> _source and _n = _size"))
-        .withColumn("_whole", whole).withColumn("_rest", rest)
-        .withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies.cast("int")))))
-        .select(F.when(F.col("_copy") > F.col("_whole"), shorter).otherwise(row).alias("row"))
-        .select("row.*")
-    )
-
-
 def mixed_texts(
     docs: DataFrame,
     weights=WEIGHTS,

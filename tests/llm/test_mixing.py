@@ -46,7 +46,7 @@ def test_highest_quotients(spark, votes, seats):
 
 
 def test_edges(spark, edge, empty):
-    assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+    assert mixing.mix(empty).count() == 0 and mixing.mixed_texts(empty).count() == 0
     rows = mixing.mix(edge, block_words=4, shard_documents=2).collect()
     again = mixing.mix(edge.repartition(7), block_words=4, shard_documents=2).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again)) and len(rows) == edge.count()
@@ -60,21 +60,10 @@ def test_edges(spark, edge, empty):
         assert r.source_size == sizes[r.source]
     for s in sizes:
         assert target[s] <= 3 * sizes[s] and abs(taken[s] - target[s]) <= 4 * 4
-    mixed = mixing.mixed_documents(edge, block_words=4, shard_documents=2)
+    mixed = mixing.mixed_texts(edge, block_words=4, shard_documents=2)
     assert mixed.columns == edge.columns
 
 
-def test_mixed_documents_have_the_words_taken(spark, sf):
-    docs = table(spark, sf, "documents")
-    rows = mixing.mixed_documents(docs).collect()
-    taken = {r.doc_id: (r.taken, r.size) for r in mixing.mix(docs).collect()}
-    words, whole = defaultdict(int), {r.doc_id: r.text for r in docs.collect()}
-    for r in rows:
-        words[r.doc_id] += len(r.text.split())
-        assert r.text == whole[r.doc_id] or whole[r.doc_id].split()[: len(r.text.split())] == r.text.split()
-    assert {i: n for i, n in words.items() if n} == {i: t for i, (t, _) in taken.items() if t}
-
-
 def test_mixed_texts_are_the_words_selected(spark):
     """Against the repeated stream of words of a single shard; two rows share an id and a size."""
     rows = [(min(i, 11), "\n ".join(f"d{i}w{k}" + (" \t" if k % 3 else "") for k in range(10 + 7 * min(i, 11))) + "\n", f"s{min(i, 11) % 2}") for i in range(13)]
