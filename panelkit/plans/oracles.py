@@ -649,3 +649,13 @@ FROM curve WHERE replicate = 1 GROUP BY 1""",
 
 #: the same rows, however the panel lies and whenever its months arrive
 ORACLES["feature_block_by_customer"] = ORACLES["arriving_months"] = ORACLES["feature_block"]
+
+_NARROWED = ("cevents", "mvalue", "mpurchase", "Visa_mclick", "Master_mview")
+ORACLES["canary_narrowed"] = f"""
+WITH {USER_DAY},
+long AS ({" UNION ALL ".join(f"""SELECT id, period, '{c}' AS feature, CAST("{c}" AS DOUBLE) AS value FROM user_day""" for c in _NARROWED)}),
+marks AS (
+  SELECT quantile_cont(n, 0.5) AS mark FROM (SELECT unnest([{", ".join(f"count(*) FILTER (period % {k} = 0)" for k in (2, 3, 4))}]) AS n FROM user_day)
+),
+kept AS (SELECT feature FROM long GROUP BY 1 HAVING count(*) FILTER (value > 0) > (SELECT mark FROM marks))
+SELECT id, period, feature, value FROM long SEMI JOIN kept USING (feature)"""

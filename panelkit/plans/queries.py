@@ -391,6 +391,20 @@ def canary_selection(spark: SparkSession, sf: str) -> DataFrame:
     return _round_all(selection.selected_features(means, 0.95), {"importance": 4})
 
 
+def canary_narrowed(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of the user panel that beat the canaries, as rows of key, feature and value. A column's importance is the
+    number of its positive values, a canary's the number of rows on every second, third or fourth day."""
+    panel = settle(user_day(spark, sf))
+    columns = ["cevents", *family(panel)]
+    measured = {c: F.count_if(F.col(c) > 0) for c in columns} | {f"canarito_{k}": F.count_if(F.col("period") % k == 0) for k in (2, 3, 4)}
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_{c}").cast("double").alias("importance")) for c in measured]))
+    importances = settle(panel.agg(*[e.alias(f"_{c}") for c, e in measured.items()]).select(pairs.alias("e")).select("e.*"))
+    narrow = selection.select_by_canaries(panel, importances, 0.5, KEY)
+    kept = [c for c in narrow.columns if c not in KEY]
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in kept]))
+    return narrow.select(*KEY, values.alias("e")).select(*KEY, "e.feature", "e.value")
+
+
 # gain
 
 
@@ -819,7 +833,7 @@ REGISTERED: dict[str, Query] = {
         median_drift, median_drift_reference,
         limit_means, scale_by_limit, deflate, scale_by_p95, scale_by_p95_interpolated, period_moments,
         projection_terms, class_quantile_global, class_quantile_rolling,
-        importance_report, importance_detail, canary_selection,
+        importance_report, importance_detail, canary_selection, canary_narrowed,
         gain_curve, gain_peak, gain_cutoffs, gain_best_cutoff, gain_smoothed, update_join_gain, ensemble_mean,
         score_summary, replicate_matrix, mean_gains, experiment_ledger, consensus_submission,
         trial_stats, top_trials, best_trial, trial_log, search_space, rolling_schedule,
