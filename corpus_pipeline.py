@@ -39,9 +39,8 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str, model: str | None
         import public_tokenizers
 
         model = public_tokenizers.path("piece_bpe_32k.model")
-    codec = pieces.Codec(spark, model)
-    coded = docs.select("doc_id", "lang", "source", codec.encode("text").alias("ids"))
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", codec.decode("ids").alias("decoded"))
+    coded = pieces.Codec(spark, model).coded(docs, "doc_id", "lang", "source")
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [

@@ -20,7 +20,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: fixed values: the format's piece types and its stand-in for a blank
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -29,6 +29,8 @@ BLANK = "▁"
 #: start anew when there are too many
 WORDS, PAIRS = 500_000, 400_000
 LONGEST_REMEMBERED = 48
+#: text of a batch that is encoded and decoded at once: a task's memory follows from this, not from the rows of a batch
+SLICE_BYTES = 1 << 20
 
 EACH_BYTE = "panelkit-each-byte"
 codecs.register_error(EACH_BYTE, lambda e: ("�", e.start + 1))
@@ -309,30 +311,48 @@ def _encoder(model: Model) -> Encoder:
     return _ENCODERS[model.digest]
 
 
+def _encoded(encoder: Encoder, texts: pa.Array) -> pa.Array:
+    found = [encoder.encode(text.as_py() or "") for text in texts]
+    offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
+
+
+def _decoded(decoder: Encoder, lists: pa.Array) -> pa.Array:
+    flat = lists.flatten()  # null lists have no values
+    ids = flat.fill_null(-1).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    return pa.array([decoder.decode(x.tolist()) for x in np.split(ids, ends[:-1])] if len(lists) else [], pa.string())
+
+
+def _coded(encoder: Encoder, batches):
+    """Batches whose last column is the text, with ids and decoded in its place, in parts of SLICE_BYTES of text and a row at most."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.columns[-1]), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size, dtype=np.int64) // SLICE_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]
+        for start, end in zip(edges, edges[1:]):
+            *kept, texts = batch.slice(start, end - start).columns
+            ids = _encoded(encoder, texts)
+            yield pa.RecordBatch.from_arrays([*kept, ids, _decoded(encoder, ids)], [*batch.schema.names[:-1], "ids", "decoded"])
+
+
 class Codec:
-    """Encoding and decoding as column functions, for the model file at `path` on the driver.
+    """Encoding and decoding as column functions, or of a table's texts, for the model file at `path` on the driver.
 
     Null texts encode like empty ones, to no tokens, and null lists decode to an empty text. Nothing is cut: a text of
     any length is encoded in its row.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        shared = spark.sparkContext.broadcast(read_model(path))
+        shared = self._shared = spark.sparkContext.broadcast(read_model(path))
 
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
-            encoder = _encoder(shared.value)
-            found = [encoder.encode(text.as_py() or "") for text in texts]
-            offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
+            return _encoded(_encoder(shared.value), texts)
 
         @F.arrow_udf("string")
         def decode(lists: pa.Array) -> pa.Array:
-            decoder = _encoder(shared.value)
-            flat = lists.flatten()  # null lists have no values
-            ids = flat.fill_null(-1).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-            return pa.array([decoder.decode(x.tolist()) for x in np.split(ids, ends[:-1])] if len(lists) else [], pa.string())
+            return _decoded(_encoder(shared.value), lists)
 
         self._encode, self._decode = encode, decode
 
@@ -341,3 +361,13 @@ class Codec:
 
     def decode(self, ids: str | Column = "ids") -> Column:
         return self._decode(ids)
+
+    def coded(self, docs: DataFrame, *keep: str) -> DataFrame:
+        """The named columns, ids and decoded, the text that the ids give back, of every row.
+
+        The column functions hold the results of a whole batch of rows; here they leave a task in small parts.
+        """
+        shared = self._shared
+        rows = docs.select(*keep, F.col("text").cast("string"))
+        schema = T.StructType([*rows.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+        return rows.mapInArrow(lambda batches: _coded(_encoder(shared.value), batches), schema)

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
@@ -71,3 +72,27 @@ def test_out_of_range_and_null_ids(spark, encoder):
     found = {r.i: r.t for r in rows.select("i", codec.decode("ids").alias("t")).collect()}
     assert found == {1: encoder.decode([1618, 0, 305]), 2: "", 3: "", 4: encoder.decode([1618])}
     assert encoder.decode([-1, 40_000, 5]) == encoder.decode([0, 0, 5])
+
+
+def test_a_batch_is_coded_in_small_parts(encoder, library):
+    """Beyond its own texts, a batch takes memory for a part of them only."""
+    texts = [None, "", *(f"the river {i} runs under old stone bridges, é日😀\n" * 400 for i in range(400)), "bridge " * 400_000, None, "end"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    before, most, rows = pa.total_allocated_bytes(), 0, []
+    for part in pieces._coded(encoder, iter([batch])):
+        most = max(most, pa.total_allocated_bytes() - before, part.nbytes)
+        assert part.schema.names == ["doc_id", "ids", "decoded"]
+        rows += [(r["doc_id"], len(r["ids"]), hash(tuple(r["ids"])), r["decoded"]) for r in part.to_pylist()]
+        del part
+    assert batch.nbytes > 10_000_000 and most < 8_000_000
+    expected = [(n, library.encode(t or "")) for n, t in enumerate(texts)]
+    assert rows == [(n, len(ids), hash(tuple(ids)), library.decode(ids)) for n, ids in expected]
+    assert sum(p.num_rows for p in pieces._coded(encoder, iter([batch.slice(0, 0)]))) == 0
+
+
+def test_tables(spark, edge, library):
+    found = pieces.Codec(spark, PATH).coded(edge, "doc_id", "lang").collect()
+    texts = edge.select("doc_id", "lang", "text").collect()
+    expected = [(r.doc_id, r.lang, library.encode(r.text or "")) for r in texts]
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, found), key=key) == sorted(((*r, library.decode(r[2])) for r in expected), key=key)
