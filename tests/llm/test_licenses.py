@@ -80,3 +80,59 @@ def test_many_templates_are_joined_by_a_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert found == {1: ("l333", 1.0), 2: ("", 0.0), 3: ("", 0.0)}
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_put_together_only_where_a_hash_is_met(spark):
+    """The join's one key is the hash and it has no condition, so a gram's text is no work of its own for every place; the
+    texts are split in one projection, not again in a filter that Spark infers."""
+    docs = spark.createDataFrame([(1, "MIT License")], "doc_id long, text string")
+    plan = _plan(licenses.scan(docs))
+    join = re.search(r"BroadcastHashJoin \[(.*?)\], \[(.*?)\], Inner, \w+, (.*)", plan)
+    assert [re.sub(r"#\d+L?", "", join[i]) for i in (1, 2, 3)] == ["hash", "hash", "false"]
+    explode = re.search(r"Generate posexplode\((.*)", plan)[1]
+    assert "concat" not in explode and "transform" not in explode
+    assert plan.count("split(") == 1
+
+
+def _brute(words, templates):
+    """n_base, first, last and labels of a text by comparing words at every place."""
+    starts, labels = [], set()
+    for k, needed, drift, t, label in templates:
+        grams = {}
+        for at in range(len(words) - k + 1):
+            for position in range(len(t) - k + 1):
+                if words[at:at + k] == t[position:position + k]:
+                    grams.setdefault(at - position, set()).add(position)
+        spans, last = [], None
+        for diagonal in sorted(grams):
+            if last is None or diagonal - last > drift:
+                spans.append((diagonal, set()))
+            spans[-1][1].update(grams[diagonal])
+            last = diagonal
+        good = [start for start, met in spans if len(met) / (len(t) - k + 1) >= needed]
+        labels |= {label} if good else set()
+        starts += good if k == licenses.PHRASE_GRAM else []
+    return len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def test_places_of_short_and_long_grams(spark):
+    """Texts of every small size, where the list of grams has no long, no short or few of either, by both joins."""
+    import random
+
+    draw = random.Random(5)
+    phrases, passages = (("a b", "p"), ("b b", "q")), (("a b a a b", "five"), ("b a b b a b a a", "eight"))
+    texts = [" ".join(draw.choice("ab") for _ in range(n)) for n in range(15) for _ in range(4)] + ["a b a a b", "x a b a a b", "x " * 300 + "a b a a b"]
+    templates = [(2, 1.0, 0, t.split(), label) for t, label in phrases] + [(5, licenses.COVERAGE, licenses.DRIFT, t.split(), label) for t, label in passages]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (before, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            found = {r.doc_id: (r.n_base, r.first_word, r.last_word, r.labels) for r in licenses.scan(docs, phrases, passages).collect()}
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert found == {i: _brute(text.split(), templates) for i, text in enumerate(texts)}
