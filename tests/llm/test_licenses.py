@@ -136,3 +136,28 @@ def test_places_of_short_and_long_grams(spark):
         finally:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         assert found == {i: _brute(text.split(), templates) for i, text in enumerate(texts)}
+
+
+def test_pieces_of_a_text_miss_no_place(spark, monkeypatch):
+    """Grams at the seams of pieces of any size are found once, also where a text ends at a seam."""
+    import random
+
+    draw = random.Random(6)
+    phrases, passages = (("a b", "p"), ("b b", "q")), (("a b a a b", "five"), ("b a b b a b a a", "eight"))
+    texts = [" ".join(draw.choice("ab") for _ in range(n)) for n in range(18) for _ in range(2)]
+    templates = [(2, 1.0, 0, t.split(), label) for t, label in phrases] + [(5, licenses.COVERAGE, licenses.DRIFT, t.split(), label) for t, label in passages]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(0, "")], "doc_id long, text string")
+    expected = sorted([(i, len(t.split()), *map(str, _brute(t.split(), templates))) for i, t in enumerate(texts)] + [(0, 0, "0", "None", "None", "")])
+    for size in (1, 4, 7):
+        monkeypatch.setattr(licenses, "PIECE", size)
+        rows = licenses.scan(docs, phrases, passages).collect()
+        assert sorted((r.doc_id, r.n_words, str(r.n_base), str(r.first_word), str(r.last_word), r.labels) for r in rows) == expected
+
+
+def test_what_goes_along_with_a_gram_is_short(spark):
+    """A row that is exploded to its grams has the words of one piece, not of the text: without generated code it is
+    copied for every gram."""
+    docs = spark.createDataFrame([(1, "MIT License " * 5000)], "doc_id long, text string")
+    plan = licenses.scan(docs)._jdf.queryExecution().optimizedPlan().toString()
+    along = plan[plan.index("Generate posexplode("):]
+    assert along.index("Generate explode(") < along.index("split(") and "slice(_w" in along
