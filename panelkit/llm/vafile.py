@@ -2,7 +2,8 @@
 
 Every vector is kept as one small cell number per dimension. A scan over the cells bounds each inner product from both
 sides; only what may still be among the k best is read exactly, in the order of the bounds, until the k-th result is
-certain. Queries and vectors meet in blocks: a cell of the grid (query block, vector block) is one row.
+certain. Queries and vectors meet in blocks: a cell of the grid (query block, vector block) is one row. A task that scans
+many vector blocks keeps the k best lower bounds of its queries, and passes on only what they leave open at last.
 """
 
 from __future__ import annotations
@@ -16,7 +17,11 @@ from panelkit.functions.durable import settle
 SCALE = 64
 #: cells per dimension, chosen to hold about equally many vectors; a cell number is one byte
 CELLS = 64
-VECTOR_BLOCK, QUERY_BLOCK, QUERY_SLICE = 16_384, 1024, 256
+VECTOR_BLOCK, QUERY_BLOCK, QUERY_SLICE, VECTOR_SLICE = 16_384, 1024, 256, 4096
+#: blocks that share a key of the join: vector blocks are copied for every group of query blocks, and the other way round
+QUERY_GROUP, VECTOR_GROUP = 8, 64
+#: candidates that a task holds back, until its queries' bounds have risen; those that are still open then go on
+HELD = 2**19
 #: scaled components are whole numbers up to this size, larger ones are cut to it; scores are cut to the range of a long
 LARGEST = 10**18
 #: scores of vectors whose lengths multiply to less fit a long at every step; others are added up as decimals
@@ -74,6 +79,14 @@ def _packed(rows: DataFrame, size: int, width: int, convert) -> DataFrame:
     return rows.select("row", "q").mapInArrow(pack, "first long, rows binary, body binary")
 
 
+def _raised(best: np.ndarray, i: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """The k best lower bounds of each query (best: one row a query) when lower[n] is one more of query i[n]."""
+    n, k = best.shape
+    query, value = np.concatenate([np.repeat(np.arange(n), k), i]), np.concatenate([best.ravel(), lower])
+    order = np.lexsort((-value, query))
+    return value[order[np.searchsorted(query[order], np.arange(n))[:, None] + np.arange(k)]]
+
+
 def _bounded(grid, width: int, k: int):
     """The scan: candidates of each pair of blocks, with bounds of their scores."""
     inner = [np.array(g[2], dtype=np.int64) for g in grid]
@@ -81,31 +94,75 @@ def _bounded(grid, width: int, k: int):
     for d, (least, most, starts) in enumerate(grid):
         edges = [least, *starts]
         low[d, :len(edges)], high[d, :len(edges)] = edges, [*[s - 1 for s in starts], most]
+    middle, reach, largest = (low + high) / 2, (high - low) / 2, np.maximum(np.abs(low), np.abs(high)).max(axis=1)
 
     def cells(values: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(inner[d], values[:, d], side="right") for d in range(width)], axis=1).astype(np.uint8)
 
+    def meet(queries, q, rows, code, best):
+        """Candidates of a query block in a vector block; best, the queries' k best lower bounds so far, is kept up to date."""
+        slack, dims = 1 + 1e-9 * np.abs(q) @ largest, np.arange(width)
+        for start in range(0, len(rows), VECTOR_SLICE):
+            some, own = rows[start:start + VECTOR_SLICE], code[start:start + VECTOR_SLICE]
+            centre, around = middle[dims, own].T, reach[dims, own].T
+            for at in range(0, len(queries), QUERY_SLICE):
+                part = slice(at, at + QUERY_SLICE)
+                score, apart = q[part] @ centre, np.abs(q[part]) @ around
+                apart += slack[part, None]
+                upper = score + apart
+                lower = np.subtract(score, apart, out=score)
+                itself = queries[part, None] == some[None, :]
+                upper[itself] = lower[itself] = -np.inf
+                kth = least = best[part].min(axis=1)
+                if len(some) > k and np.isneginf(kth).any():
+                    least = np.maximum(kth, np.partition(lower, -k, axis=1)[:, -k])
+                i, j = np.nonzero((upper >= least[:, None]) & ~itself)
+                if not len(i):
+                    continue
+                found = lower[i, j]
+                higher = found > kth[i]
+                if higher.any():
+                    best[part] = _raised(best[part], i[higher], found[higher])
+                yield at + i, some[j], upper[i, j], found
+
+    def still(held):
+        """Keeps what the bounds, as they are by now, leave open; how much that is."""
+        for at, (queries, best, i, *rest) in enumerate(held):
+            open_ = rest[1] >= best.min(axis=1)[i]
+            held[at] = queries, best, i[open_], *(x[open_] for x in rest)
+        return sum(len(x[2]) for x in held)
+
+    def told(held):
+        while held:
+            parts, n = [], 0
+            while held and n < VECTOR_BLOCK:
+                queries, _, i, *rest = held.pop()
+                parts.append((queries[i], *rest))
+                n += len(i)
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["query", "row", "upper", "lower"])
+
     def scan(batches):
-        names = ["query", "row", "upper", "lower"]
-        dims = np.arange(width)
+        group, kept, held, n = None, {}, [], 0
         for batch in batches:
-            for q_rows, q_body, v_rows, v_body in zip(*(c.to_pylist() for c in batch.columns)):
-                queries, rows = np.frombuffer(q_rows, np.int64), np.frombuffer(v_rows, np.int64)
-                q = np.frombuffer(q_body, np.int64).reshape(-1, width).astype(np.float64)
-                code = np.frombuffer(v_body, np.uint8).reshape(-1, width)
-                lo, hi = low[dims, code].T, high[dims, code].T
-                slack = 1 + 1e-9 * np.abs(q) @ np.maximum(np.abs(low), np.abs(high)).max(axis=1)
-                for at in range(0, len(queries), QUERY_SLICE):
-                    part, own = q[at:at + QUERY_SLICE], queries[at:at + QUERY_SLICE]
-                    up, down = np.maximum(part, 0), np.minimum(part, 0)
-                    upper = up @ hi + down @ lo + slack[at:at + QUERY_SLICE, None]
-                    lower = up @ lo + down @ hi - slack[at:at + QUERY_SLICE, None]
-                    itself = own[:, None] == rows[None, :]
-                    upper[itself] = lower[itself] = -np.inf
-                    least = np.partition(lower, -k, axis=1)[:, -k] if len(rows) > k else np.full(len(own), -np.inf)
-                    i, j = np.nonzero((upper >= least[:, None]) & ~itself)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[i]), pa.array(rows[j]), pa.array(upper[i, j]), pa.array(lower[i, j])], names=names)
+            for at in range(len(batch)):  # one meeting at a time in memory
+                now, first = batch.column(0)[at].as_py(), batch.column(1)[at].as_py()
+                queries, q, rows, code = (np.frombuffer(c[at].as_buffer(), t) for c, t in zip(batch.columns[2:], (np.int64, np.int64, np.int64, np.uint8)))
+                if now != group:
+                    still(held)
+                    yield from told(held)
+                    group, kept, n = now, {}, 0
+                if first not in kept:
+                    kept[first] = queries.copy(), np.full((len(queries), k), -np.inf)
+                own, best = kept[first]
+                for found in meet(queries, q.reshape(-1, width).astype(np.float64), rows, code.reshape(-1, width), best):
+                    held.append((own, best, *found))
+                    n += len(found[0])
+                    if n > HELD and (n := still(held)) > HELD // 2:
+                        yield from told(held)
+                        n = 0
+        still(held)
+        yield from told(held)
 
     return cells, scan
 
@@ -144,10 +201,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE
         return none
     across = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     group = lambda n: F.pmod(F.xxhash64("first"), F.lit(n)).cast("int")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    q_groups = max(min(n_queries, tasks), -(-n_queries // QUERY_GROUP))
+    v_groups = max(min(n_file, -(-tasks // q_groups)), -(-n_file // VECTOR_GROUP))
+    # merged, as the optimizer knows the size of the blocks, but not that of their copies, and would broadcast them
     meetings = (
-        queries.select("rows", "body", group(n_queries).alias("_q"), across(n_file).alias("_v")).alias("x")
-        .join(file.select("rows", "body", group(n_file).alias("_v"), across(n_queries).alias("_q")).alias("y"), ["_q", "_v"])
-        .select("x.rows", F.col("x.body").alias("b1"), F.col("y.rows").alias("r2"), F.col("y.body").alias("b2"))
+        file.select("rows", "body", group(v_groups).alias("_v"), across(q_groups).alias("_q")).alias("y")
+        .join(queries.select("first", "rows", "body", group(q_groups).alias("_q"), across(v_groups).alias("_v")).alias("x").hint("merge"), ["_q", "_v"])
+        .select("_q", "x.first", "x.rows", F.col("x.body").alias("b1"), F.col("y.rows").alias("r2"), F.col("y.body").alias("b2"))
     )
     bounds = settle(meetings.mapInArrow(scan, "query long, row long, upper double, lower double"))
     best = Window.partitionBy("query").orderBy(F.desc("lower"))
@@ -168,16 +229,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE
             if waiting.isEmpty():
                 break
             turn = waiting.filter(F.col("place") <= done + size)
+        # merged as well: vectors that are much alike are small files, but not small in memory
         scored = (
             turn.select("query", "row")
-            .join(exact.select(F.col("row").alias("query"), F.col("q").alias("a")), "query")
-            .join(exact.select("row", "vec_id", F.col("q").alias("b")), "row")
+            .join(exact.filter(is_query).select(F.col("row").alias("query"), F.col("q").alias("a")).hint("merge"), "query")
+            .join(exact.select("row", "vec_id", F.col("q").alias("b")).hint("merge"), "row")
             .select("query", "row", "vec_id", _score().alias("score"))
         )
         both = scored if read is None else scored.unionByName(read.drop("rank"))
         read = settle(both.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k))
         done, size = done + size, 2 * size
     ids = exact.filter(is_query).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
-    return read.join(ids, "query").select(
+    return read.join(ids.hint("merge"), "query").select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id",
         F.greatest(F.lit(-(2**63)).cast("decimal(38,0)"), F.least(F.lit(2**63 - 1).cast("decimal(38,0)"), F.col("score"))).cast("long").alias("score"))

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,3 +58,69 @@ def test_long_vectors_and_rows_without_id(spark):
     far = [(0, [1e30, 1.0]), (1, [1e30, -5.0]), (2, [-1e30, 0.0]), (3, [0.5, 0.5])]
     found = _search(spark, far)
     assert [r[2] for r in sorted(found, key=lambda r: r[1])] == [1, 3, 2] and found[0][3] == 2**63 - 1
+
+
+def _plans(spark, monkeypatch, rows):
+    """The plans of what search writes, as they are before anything runs, with their joins."""
+    plans, settle = [], vafile.settle
+
+    def noted(df, *by):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return settle(df, *by)
+
+    monkeypatch.setattr(vafile, "settle", noted)
+    return _search(spark, rows), plans
+
+
+def test_vectors_and_blocks_are_not_broadcast(spark, monkeypatch):
+    rows = [(20 * i, [float(i % 7), 1.0, float(i % 3)]) for i in range(60)]
+    found, plans = _plans(spark, monkeypatch, rows)
+    assert found == _brute(rows, 20)
+    joins = [line for p in plans if "MapInArrow" in p or "zip_with" in p for line in p.splitlines() if "Join" in line]
+    vectors = [line for line in joins if "_q#" in line or "[row#" in line or "[query#" in line]
+    assert len([line for line in joins if "_q#" in line]) == 1 and len(vectors) >= 3
+    assert not [line for line in vectors if "Broadcast" in line]
+
+
+@pytest.mark.parametrize("groups,parts,held", [((8, 64), 8, 2**20), ((2, 3), 1, 100), ((1, 1), 200, 0)])
+def test_bounds_are_kept_from_block_to_block(spark, monkeypatch, groups, parts, held):
+    names = "QUERY_GROUP", "VECTOR_GROUP", "VECTOR_BLOCK", "QUERY_BLOCK", "QUERY_SLICE", "VECTOR_SLICE", "HELD"
+    for name, value in zip(names, (*groups, 50, 7, 3, 20, held)):
+        monkeypatch.setattr(vafile, name, value)
+    rng = np.random.RandomState(2)
+    rows = [(i, [float(x) for x in rng.standard_normal(6)]) for i in range(500)]
+    rows += [(i, rows[20][1]) for i in range(500, 600)] + [(600, rows[20][1])] * 2
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        assert _search(spark, rows, 5) == _brute(rows, 5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_later_blocks_pass_on_less():
+    rng = np.random.RandomState(3)
+    width, n, k = 8, 200, 5
+    values = np.floor(64 * rng.standard_normal((20 * n, width))).astype(np.int64)
+    grid = [(int(c.min()), int(c.max()), sorted({int(x) for x in np.quantile(c, np.arange(1, 64) / 64)} - {int(c.min())})) for c in values.T]
+    cells, scan = vafile._bounded(grid, width, k)
+    asked = values[:10]
+
+    def meeting(at):
+        part = slice(at, at + n)
+        body = [asked.tobytes(), np.arange(part.start, part.stop).tobytes(), cells(values[part]).tobytes()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([0]), pa.array([0]), *(pa.array([b], pa.binary()) for b in (np.arange(10).tobytes(), *body))],
+            names=["group", "first", "rows", "b1", "r2", "b2"])
+
+    def count(found):
+        return sum(len(b) for b in found)
+
+    each = [count(scan([meeting(at)])) for at in range(0, len(values), n)]
+    together = list(scan([meeting(at) for at in range(0, len(values), n)]))
+    assert count(together) < sum(each) / 3
+    kept = {(q, r) for b in together for q, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    scores = asked @ values.T
+    for q in range(10):
+        best = sorted((-int(s), r) for r, s in enumerate(scores[q]) if r != q)[:k]
+        assert all((q, r) in kept for _, r in best)
